@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 
 def schema_frame(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """``(column, type, position)`` rows of a frame's schema."""
+    """``(column_name, type, position)`` rows of a frame's schema."""
     rows = [(name, dtype, i) for i, (name, dtype) in enumerate(df.dtypes)]
-    return spark.createDataFrame(rows, "column string, type string, position int")
+    return spark.createDataFrame(rows, "column_name string, type string, position int")
 
 
 def null_profile(df: DataFrame) -> DataFrame:
@@ -30,10 +30,10 @@ def null_profile(df: DataFrame) -> DataFrame:
         name = c.replace("'", "\\'")
         parts.append(f"'{name}', '{types[c]}', {i}, `__nn_{i}`")
     stacked = wide.selectExpr(
-        "__total", f"stack({len(cols)}, {', '.join(parts)}) as (column, type, position, non_null)"
+        "__total", f"stack({len(cols)}, {', '.join(parts)}) as (column_name, type, position, non_null)"
     )
     return stacked.select(
-        "column",
+        "column_name",
         "type",
         F.col("position").cast("int").alias("position"),
         F.col("__total").alias("total_rows"),
@@ -42,9 +42,16 @@ def null_profile(df: DataFrame) -> DataFrame:
     )
 
 
+def normalize_signed_zero(df: DataFrame) -> DataFrame:
+    """``-0.0`` -> ``0.0`` in float columns (Spark compares them as equal, so
+    which of the two a min/max returns would otherwise be arbitrary)."""
+    floats = {c for c, t in df.dtypes if t in ("double", "float")}
+    return df.select(*[(F.col(f"`{c}`") + F.lit(0.0)).alias(c) if c in floats else F.col(f"`{c}`") for c in df.columns])
+
+
 def column_summary(df: DataFrame, stats: Sequence[str] = ("count", "min", "max")) -> DataFrame:
     """``DataFrame.summary`` transposed to one row per (column, statistic)."""
-    summary = df.summary(*stats)
+    summary = normalize_signed_zero(df).summary(*stats)
     value_cols = [c for c in summary.columns if c != "summary"]
-    long = summary.unpivot("summary", value_cols, "column", "value")
-    return long.select(F.col("column"), F.col("summary").alias("statistic"), F.col("value"))
+    long = summary.unpivot("summary", value_cols, "column_name", "value")
+    return long.select(F.col("column_name"), F.col("summary").alias("statistic"), F.col("value"))

@@ -73,6 +73,8 @@ def check_row_floor(observed_rows: int, floor: int, what: str = "rows") -> int:
 
 def row_floor_report(df: DataFrame, floor: int) -> DataFrame:
     """One row: row count, the floor, and whether the count is above it."""
-    return df.agg(F.count(F.lit(1)).alias("rows")).select(
-        "rows", F.lit(floor).cast("long").alias("floor"), (F.col("rows") > floor).alias("above_floor")
+    return df.agg(F.count(F.lit(1)).alias("row_count")).select(
+        "row_count",
+        F.lit(floor).cast("long").alias("row_floor"),
+        (F.col("row_count") > floor).alias("above_floor"),
     )

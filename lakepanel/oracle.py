@@ -26,9 +26,14 @@ from .constants import (
     PRODUCT_FAMILY_RULES,
 )
 from .plans.driver_views import DUCKDB, complaints_raw_sql, loans_raw_sql
-
-# Panel support threshold used by the registered queries (see queries.py).
-QUERY_MIN_RESOLVED = 20
+from .settings import (
+    HISTORY_RENAMES,
+    HISTORY_SPLIT,
+    QUERY_MIN_RESOLVED,
+    ROW_FLOOR,
+    SUMMARY_COLUMNS,
+    TAXONOMY_CUTOFF,
+)
 
 
 def r6(expr: str, digits: int) -> str:
@@ -289,8 +294,134 @@ PANEL_SQL = {
 }
 
 
+# ------------------------------------------------------------ operators SQL
+_HARD = [
+    "coalesce(loan_amnt IS NOT NULL AND grade IS NOT NULL AND loan_status IS NOT NULL, false)",
+    "coalesce(loan_amnt > 0, false)",
+]
+_SOFT = ["coalesce(int_rate BETWEEN 0 AND 100, false)", "coalesce(dti BETWEEN 0 AND 120, false)"]
+
+_LINEITEM_COLS = [
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+    "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
+]
+_EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props", "_source_file"]
+_DOC_LABEL_COLS = [
+    ("doc_id", "bigint"), ("text", "string"), ("lang", "string"), ("source", "string"),
+    ("n_chars", "bigint"), ("quality", "int"), ("toxic", "int"),
+]
+
+
+def _order_rest(cols, skip) -> str:
+    return ", ".join(f"{c} ASC NULLS LAST" for c in sorted(c for c in cols if c not in skip))
+
+
+def _spine(table: str, col: str) -> str:
+    return f"""
+b AS (SELECT min(CAST({col} AS DATE)) AS s, max(CAST({col} AS DATE)) AS e FROM {table}),
+ms AS (SELECT s, e, CAST(unnest(generate_series(CAST(date_trunc('month', s) AS DATE), e, INTERVAL 1 MONTH)) AS DATE) AS m0 FROM b),
+spine AS (
+  SELECT strftime(m0, '%Y-%m') AS month, greatest(m0, s) AS window_start, least(last_day(m0), e) AS window_end
+  FROM ms
+)"""
+
+
+_DOUBLE_SUMMARY = {"l_quantity", "l_extendedprice", "l_discount", "l_tax"}
+
+
+def _summary_sql() -> str:
+    parts = []
+    for c in SUMMARY_COLUMNS:
+        parts.append(f"SELECT '{c}' AS column_name, 'count' AS statistic, CAST(count({c}) AS VARCHAR) AS value FROM lineitem")
+        v = f"({c} + 0.0)" if c in _DOUBLE_SUMMARY else c
+        parts.append(f"SELECT '{c}', 'min', CAST(min({v}) AS VARCHAR) FROM lineitem")
+        parts.append(f"SELECT '{c}', 'max', CAST(max({v}) AS VARCHAR) FROM lineitem")
+    return "\nUNION ALL ".join(parts)
+
+
+def _null_profile_sql() -> str:
+    parts = [
+        f"SELECT '{c}' AS column_name, '{t}' AS type, {i} AS position, count(*) AS total_rows, "
+        f"count({c}) AS non_null, count(*) - count({c}) AS nulls FROM j"
+        for i, (c, t) in enumerate(_DOC_LABEL_COLS)
+    ]
+    return (
+        "WITH j AS (SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, l.quality, l.toxic "
+        "FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)\n" + "\nUNION ALL ".join(parts)
+    )
+
+
+_HIST_COLS = ", ".join(HISTORY_RENAMES.values())
+
+OPERATOR_SQL = {
+    "rules_report": "WITH " + loans_silver_ctes() + f"""
+SELECT count(*) AS input_rows,
+       CAST(count_if({_HARD[0]} AND {_HARD[1]}) AS BIGINT) AS kept_rows,
+       CAST(count_if(NOT {_HARD[0]}) AS BIGINT) AS hard_core_not_null,
+       CAST(count_if(NOT {_HARD[1]}) AS BIGINT) AS hard_positive_amount,
+       CAST(count_if(NOT {_SOFT[0]}) AS BIGINT) AS soft_plausible_rate,
+       CAST(count_if(NOT {_SOFT[1]}) AS BIGINT) AS soft_plausible_dti,
+       count(*) - CAST(count_if({_HARD[0]} AND {_HARD[1]}) AS BIGINT) AS dropped_rows
+FROM lk""",
+    "reconcile": "WITH " + complaints_silver_ctes() + """,
+bz AS (SELECT TRY_CAST("Complaint ID" AS BIGINT) AS complaint_id,
+              CAST(TRY_CAST("Date received" AS TIMESTAMP) AS DATE) AS date_received FROM craw)
+SELECT 'bronze' AS layer, count(*) AS row_count, CAST(count_if(complaint_id IS NULL) AS BIGINT) AS null_ids,
+       CAST(count_if(date_received IS NULL) AS BIGINT) AS null_dates,
+       min(date_received) AS min_date_received, max(date_received) AS max_date_received FROM bz
+UNION ALL
+SELECT 'silver', count(*), CAST(count_if(complaint_id IS NULL) AS BIGINT), CAST(count_if(date_received IS NULL) AS BIGINT),
+       min(date_received), max(date_received) FROM sc""",
+    "row_floor": f"""
+SELECT count(*) AS row_count, CAST({ROW_FLOOR} AS BIGINT) AS row_floor, count(*) > {ROW_FLOOR} AS above_floor
+FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
+JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey""",
+    "taxonomy_coverage": "WITH " + complaints_silver_ctes() + f"""
+SELECT product, product_family, count(*) AS complaints FROM sc
+WHERE year_month < '{TAXONOMY_CUTOFF}' GROUP BY 1, 2
+ORDER BY complaints DESC, product ASC NULLS FIRST, product_family ASC NULLS FIRST LIMIT 20""",
+    "null_profile": _null_profile_sql(),
+    "column_summary": _summary_sql(),
+    "freq_desc": "WITH " + complaints_silver_ctes() + """
+SELECT product_family, count(*) AS complaints FROM sc GROUP BY 1 ORDER BY 2 DESC, 1 ASC NULLS FIRST""",
+    "counts_by_year": "WITH " + complaints_silver_ctes() + f"""
+SELECT substring(year_month, 1, 4) AS yr, count(*) AS complaints FROM sc
+WHERE product_family IN ({_FAMS}) GROUP BY 1 ORDER BY 1 NULLS FIRST""",
+    "min_max": "WITH " + complaints_silver_ctes() + """
+SELECT min(date_received) AS min_date_received, max(date_received) AS max_date_received,
+       min(year_month) AS min_year_month, max(year_month) AS max_year_month FROM sc""",
+    "top_k": "WITH " + loans_silver_ctes() + "," + _LSEG + """
+SELECT * FROM lseg2 ORDER BY resolved_loans DESC, state ASC NULLS FIRST, issue_month ASC NULLS FIRST LIMIT 5""",
+    "head_rows": with_silver("SELECT loan_id, issue_date, grade, loan_status FROM sl ORDER BY loan_id LIMIT 10"),
+    "dedup_latest": f"""
+SELECT * FROM lineitem
+QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+  ORDER BY l_shipdate DESC NULLS LAST, {_order_rest(_LINEITEM_COLS, ('l_orderkey', 'l_linenumber', 'l_shipdate'))}) = 1""",
+    "history_union": f"""
+WITH bulk AS (
+  SELECT event_id, ts, user_id, event_type, value, props, 'bulk' AS _source_file
+  FROM events WHERE ts < TIMESTAMP '{HISTORY_SPLIT[1]}'
+), hist AS (
+  SELECT {_HIST_COLS}, CAST(NULL AS VARCHAR) AS props, 'history' AS _source_file
+  FROM events WHERE ts >= TIMESTAMP '{HISTORY_SPLIT[0]}'
+), u AS (SELECT * FROM bulk UNION ALL BY NAME SELECT * FROM hist)
+SELECT * FROM u
+QUALIFY row_number() OVER (PARTITION BY event_id
+  ORDER BY _source_file ASC NULLS LAST, {_order_rest(_EVENT_COLS, ('event_id', '_source_file'))}) = 1""",
+    "month_spine": "WITH " + _spine("orders", "o_orderdate") + "\nSELECT * FROM spine",
+    "window_counts": "WITH " + _spine("lineitem", "l_shipdate") + """,
+per AS (SELECT strftime(CAST(o_orderdate AS DATE), '%Y-%m') AS month, count(*) AS orders FROM orders GROUP BY 1)
+SELECT s.month, s.window_start, s.window_end, coalesce(p.orders, 0) AS orders
+FROM spine s LEFT JOIN per p ON s.month = p.month""",
+    "coverage_gaps": "WITH " + _spine("lineitem", "l_shipdate") + """
+SELECT * FROM spine s
+WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE strftime(CAST(o.o_orderdate AS DATE), '%Y-%m') = s.month)""",
+}
+
+
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(PANEL_SQL)
     out.update(MART_SQL)
+    out.update(OPERATOR_SQL)
     return out

@@ -59,15 +59,19 @@ def typed_loans(bronze: DataFrame) -> DataFrame:
     )
 
 
-def silver_loans(
-    bronze: DataFrame,
-    hard_rules: Mapping[str, str] = LOAN_HARD_RULES,
-) -> DataFrame:
-    """Typed loans, one row per ``loan_id``, hard rules applied after dedup.
+def deduped_loans(bronze: DataFrame) -> DataFrame:
+    """Typed loans, keep-list, one row per ``loan_id`` (before any rule).
 
     Survivor per loan: latest ``_ingested_at``, then latest ``_source_file``,
     then the remaining columns (a total order, so reruns agree).
     """
     s = keep_columns(typed_loans(bronze), LOAN_SILVER_COLUMNS)
-    s = latest_per_key(s, ["loan_id"], [f"-{INGESTED_AT}", f"-{SOURCE_FILE}"])
-    return apply_hard_rules(s, hard_rules)
+    return latest_per_key(s, ["loan_id"], [f"-{INGESTED_AT}", f"-{SOURCE_FILE}"])
+
+
+def silver_loans(
+    bronze: DataFrame,
+    hard_rules: Mapping[str, str] = LOAN_HARD_RULES,
+) -> DataFrame:
+    """Loan silver: dedup first, then the hard rules (the two do not commute)."""
+    return apply_hard_rules(deduped_loans(bronze), hard_rules)

@@ -12,10 +12,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .constants import COMPLAINT_RENAMES, INGESTED_AT, LOAN_SILVER_COLUMNS
-from .oracle import QUERY_MIN_RESOLVED
-from .plans import marts, medallion, panel
+from .constants import (
+    COMPLAINT_RENAMES,
+    INGESTED_AT,
+    LENDING_FAMILIES,
+    LOAN_HARD_RULES,
+    LOAN_SILVER_COLUMNS,
+    LOAN_SOFT_RULES,
+    SOURCE_FILE,
+)
+from .functions import derive, parse
+from .operators import aggregate, calendar, columns, dedup, profile, quality, union
+from .settings import (
+    HISTORY_RENAMES,
+    HISTORY_SPLIT,
+    QUERY_MIN_RESOLVED,
+    ROW_FLOOR,
+    SUMMARY_COLUMNS,
+    TAXONOMY_CUTOFF,
+)
+from .plans import driver_views, loans, marts, medallion, panel
 from .plans.complaints import DERIVED
+from .sources import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -88,3 +106,148 @@ def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
 
+
+
+# ---------------------------------------------------------------- quality Q1-Q5
+def rules_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard and soft rule failures over de-duplicated loans (null = fail)."""
+    deduped = loans.deduped_loans(driver_views.loans_bronze(spark, sf_dir))
+    return quality.rule_report(deduped, LOAN_HARD_RULES, LOAN_SOFT_RULES)
+
+
+def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze vs silver complaints: rows, unreadable ids, missing months, date range."""
+    bronze = driver_views.complaints_bronze(spark, sf_dir)
+    typed = bronze.select(
+        parse.to_long("`Complaint ID`").alias("complaint_id"),
+        parse.text_date("`Date received`").alias("date_received"),
+    )
+    silver = medallion.complaints_silver(spark, sf_dir)
+
+    def stats(df: DataFrame, layer: str) -> DataFrame:
+        return df.agg(
+            F.lit(layer).alias("layer"),
+            F.count(F.lit(1)).alias("row_count"),
+            F.count_if(F.col("complaint_id").isNull()).alias("null_ids"),
+            F.count_if(F.col("date_received").isNull()).alias("null_dates"),
+            F.min("date_received").alias("min_date_received"),
+            F.max("date_received").alias("max_date_received"),
+        )
+
+    return stats(typed, "bronze").unionByName(stats(silver, "silver"))
+
+
+def row_floor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Complaint bronze row count against a floor (a broken parse shows here)."""
+    return quality.row_floor_report(driver_views.complaints_bronze(spark, sf_dir), ROW_FLOOR)
+
+
+def taxonomy_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw product x family counts before a cut-off month, top 20."""
+    sc = medallion.complaints_silver(spark, sf_dir).where(F.col("year_month") < TAXONOMY_CUTOFF)
+    return aggregate.frequency_desc(sc, ["product", "product_family"], "complaints").limit(20)
+
+
+# ---------------------------------------------------------------- profiles A9-A10
+def _documents_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = tables.read_table(spark, sf_dir, "documents")
+    labels = tables.read_table(spark, sf_dir, "labels")
+    return docs.join(labels, "doc_id", "left")
+
+
+def null_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.null_profile(_documents_labelled(spark, sf_dir))
+
+
+def column_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = tables.read_table(spark, sf_dir, "lineitem").select(*SUMMARY_COLUMNS)
+    return profile.column_summary(li, ("count", "min", "max"))
+
+
+# ---------------------------------------------------------------- aggregates A11-A14, T1-T3
+def freq_desc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aggregate.frequency_desc(medallion.complaints_silver(spark, sf_dir), ["product_family"], "complaints")
+
+
+def counts_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sc = medallion.complaints_silver(spark, sf_dir).where(F.col("product_family").isin(LENDING_FAMILIES))
+    out = aggregate.frequency(sc, [derive.year_of_key("year_month").alias("yr")], "complaints")
+    return out.orderBy(F.col("yr").asc_nulls_first())
+
+
+def min_max(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aggregate.min_max(medallion.complaints_silver(spark, sf_dir), ["date_received", "year_month"])
+
+
+def top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    seg = segment_loans(spark, sf_dir)
+    return aggregate.top_k(seg, 5, [F.col("resolved_loans").desc(), F.col("state"), F.col("issue_month")])
+
+
+def head_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sl = medallion.loans_silver(spark, sf_dir).select("loan_id", "issue_date", "grade", "loan_status")
+    return aggregate.head_rows(sl, 10, ["loan_id"])
+
+
+# ---------------------------------------------------------------- dedup, union D1-D3, U1
+def dedup_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One line item per (order, line number): latest ship date wins."""
+    li = tables.read_table(spark, sf_dir, "lineitem")
+    return dedup.latest_per_key(li, ["l_orderkey", "l_linenumber"], ["-l_shipdate"])
+
+
+def history_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bulk extract + history backfill with overlapping windows and drifted columns.
+
+    The history extract names its columns differently and lacks ``props``;
+    it is renamed (required names checked), unioned by name, and each event
+    keeps its bulk row where both windows hold it.
+    """
+    ev = tables.read_table(spark, sf_dir, "events")
+    bulk = ev.where(F.col("ts") < F.lit(HISTORY_SPLIT[1]).cast("timestamp_ntz")).withColumn(
+        SOURCE_FILE, F.lit("bulk")
+    )
+    hist_raw = ev.where(F.col("ts") >= F.lit(HISTORY_SPLIT[0]).cast("timestamp_ntz")).select(
+        *[F.col(new).alias(old) for old, new in HISTORY_RENAMES.items()]
+    )
+    hist = columns.rename_columns(hist_raw, HISTORY_RENAMES).withColumn(SOURCE_FILE, F.lit("history"))
+    merged = union.union_by_name(bulk, hist)
+    return dedup.latest_per_key(merged, ["event_id"], [SOURCE_FILE])
+
+
+# ---------------------------------------------------------------- calendar D4, D5, J2
+def month_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return calendar.month_spine(tables.read_table(spark, sf_dir, "orders"), "o_orderdate")
+
+
+def window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spine = calendar.month_spine(tables.read_table(spark, sf_dir, "lineitem"), "l_shipdate")
+    return calendar.window_counts(spine, tables.read_table(spark, sf_dir, "orders"), "o_orderdate", "orders")
+
+
+def coverage_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spine = calendar.month_spine(tables.read_table(spark, sf_dir, "lineitem"), "l_shipdate")
+    landed = tables.read_table(spark, sf_dir, "orders").select(
+        derive.month_key(F.to_date("o_orderdate")).alias("month")
+    )
+    return calendar.coverage_gaps(spine, landed)
+
+
+QUERIES.update({
+    "rules_report": rules_report,
+    "reconcile": reconcile,
+    "row_floor": row_floor,
+    "taxonomy_coverage": taxonomy_coverage,
+    "null_profile": null_profile,
+    "column_summary": column_summary,
+    "freq_desc": freq_desc,
+    "counts_by_year": counts_by_year,
+    "min_max": min_max,
+    "top_k": top_k,
+    "head_rows": head_rows,
+    "dedup_latest": dedup_latest,
+    "history_union": history_union,
+    "month_spine": month_spine,
+    "window_counts": window_counts,
+    "coverage_gaps": coverage_gaps,
+})
