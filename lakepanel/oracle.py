@@ -27,8 +27,10 @@ from .constants import (
 )
 from .plans.driver_views import DUCKDB, complaints_raw_sql, loans_raw_sql
 from .settings import (
+    FIRST_ARRIVAL_LANG,
     HISTORY_RENAMES,
     HISTORY_SPLIT,
+    ORDERS_SPLIT,
     QUERY_MIN_RESOLVED,
     ROW_FLOOR,
     SUMMARY_COLUMNS,
@@ -419,9 +421,32 @@ WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE strftime(CAST(o.o_orderdate AS DA
 }
 
 
+_DOCS = "SELECT doc_id, text, lang, source, n_chars"
+SOURCE_SQL = {
+    "csv_multiline_roundtrip": _DOCS + ", true AS lineage_ok FROM documents",
+    "csv_inferred": "SELECT CAST(doc_id AS INTEGER) AS doc_id, text, lang, source, "
+                    "CAST(n_chars AS INTEGER) AS n_chars FROM documents",
+    "ndjson_month_partitions": """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate,
+       o_orderpriority, strftime(o_orderdate, '%Y-%m') AS dt FROM orders""",
+    "month_file_history": f"""
+SELECT strftime(o_orderdate, '%Y-%m') AS month, count(*) AS orders,
+       count(CASE WHEN o_orderdate >= DATE '{ORDERS_SPLIT[0]}' THEN 1 END) AS with_priority,
+       count(CASE WHEN o_orderdate < DATE '{ORDERS_SPLIT[0]}' THEN 1 END) AS from_files
+FROM orders GROUP BY 1""",
+    "stream_ingest": _DOCS + " FROM documents",
+    "stream_evolution": f"""
+SELECT doc_id, text, lang,
+       CASE WHEN lang <> '{FIRST_ARRIVAL_LANG}' THEN source END AS source,
+       CASE WHEN lang <> '{FIRST_ARRIVAL_LANG}' THEN n_chars END AS n_chars
+FROM documents""",
+}
+
+
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(PANEL_SQL)
     out.update(MART_SQL)
     out.update(OPERATOR_SQL)
+    out.update(SOURCE_SQL)
     return out

@@ -10,6 +10,7 @@ tasks of the stage it was running.  Soft-rule failures are counted by an
 from __future__ import annotations
 
 import threading
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,18 +27,31 @@ _TABLES: dict[tuple[str, str, str], str] = {}
 _OBSERVED: dict[tuple[str, str, str], dict] = {}
 
 
-def _materialise(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+def stored(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], object]) -> str:
+    """Run ``write(path)`` once per session and input folder; return the path.
+
+    ``path`` is a fresh folder below the shared checkpoint folder.  Later
+    callers reuse what was written instead of recomputing the lineage.
+    """
     key = (spark.sparkContext.applicationId, sf_dir, name)
     with _LOCK:
         path = _TABLES.get(key)
         if path is None:
-            path = work_dir(spark, "silver", name)
-            df, obs = build()
-            write_table(df.hint("rebalance"), path)
-            if obs is not None:
-                _OBSERVED[key] = obs.get
+            path = work_dir(spark, *name.split("/"))
+            result = write(path)
+            if result is not None:
+                _OBSERVED[key] = result
             _TABLES[key] = path
-    return spark.read.parquet(path)
+    return path
+
+
+def _materialise(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    def write(path: str):
+        df, obs = build()
+        write_table(df.hint("rebalance"), path)
+        return obs.get if obs is not None else None
+
+    return spark.read.parquet(stored(spark, sf_dir, f"silver/{name}", write))
 
 
 def loans_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,4 +74,4 @@ def complaints_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 def soft_rule_counts(spark: SparkSession, sf_dir: str) -> dict:
     """Soft-rule failure counts observed while loan silver was written."""
     loans_silver(spark, sf_dir)
-    return dict(_OBSERVED.get((spark.sparkContext.applicationId, sf_dir, "loans"), {}))
+    return dict(_OBSERVED.get((spark.sparkContext.applicationId, sf_dir, "silver/loans"), {}))

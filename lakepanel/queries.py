@@ -24,16 +24,20 @@ from .constants import (
 from .functions import derive, parse
 from .operators import aggregate, calendar, columns, dedup, profile, quality, union
 from .settings import (
+    FIRST_ARRIVAL_LANG,
     HISTORY_RENAMES,
     HISTORY_SPLIT,
+    ORDERS_SPLIT,
     QUERY_MIN_RESOLVED,
+    RELAND_MONTH,
     ROW_FLOOR,
     SUMMARY_COLUMNS,
     TAXONOMY_CUTOFF,
 )
+from .streaming.ingest import EvolvingCsvIngest
 from .plans import driver_views, loans, marts, medallion, panel
 from .plans.complaints import DERIVED
-from .sources import tables
+from .sources import files, sinks, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -251,3 +255,140 @@ QUERIES.update({
     "window_counts": window_counts,
     "coverage_gaps": coverage_gaps,
 })
+
+
+# ---------------------------------------------------------------- sources S1-S10, sinks K1-K5
+_DOC_COLS = ["doc_id", "text", "lang", "source", "n_chars"]
+_ORDER_SCHEMA = (
+    "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate date, o_orderpriority string"
+)
+
+
+def landed_documents_csv(spark: SparkSession, sf_dir: str) -> str:
+    """Documents written once as quoted CSV (text holds commas, quotes, newlines)."""
+    def write(path: str) -> None:
+        sinks.write_csv(tables.read_table(spark, sf_dir, "documents").select(*_DOC_COLS), path)
+
+    return medallion.stored(spark, sf_dir, "landing/documents_csv", write) + "/*.csv"
+
+
+def csv_multiline_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze read of multi-line quoted CSV: numeric-id filter, stamps, lineage."""
+    b = files.bronze_csv(spark, landed_documents_csv(spark, sf_dir), id_col="doc_id")
+    return b.select(
+        parse.to_long("doc_id").alias("doc_id"), "text", "lang", "source",
+        parse.to_long("n_chars").alias("n_chars"),
+        F.col(SOURCE_FILE).endswith(".csv").alias("lineage_ok"),
+    )
+
+
+def csv_plain_fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same files read one record per physical line: the broken parse."""
+    return files.read_plain_csv(spark, landed_documents_csv(spark, sf_dir))
+
+
+def csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return files.read_csv_inferred(spark, landed_documents_csv(spark, sf_dir))
+
+
+def line_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return files.line_preview(spark, landed_documents_csv(spark, sf_dir), 3)
+
+
+def _orders_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = tables.read_table(spark, sf_dir, "orders")
+    return o.select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+        F.to_date("o_orderdate").alias("o_orderdate"), "o_orderpriority",
+    )
+
+
+def ndjson_month_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders landed as NDJSON per month, one month landed again, read back."""
+    def write(path: str) -> None:
+        orders = _orders_typed(spark, sf_dir)
+        sinks.land_month_partitions(orders, path, "o_orderdate")
+        again = orders.where(derive.month_key("o_orderdate") == RELAND_MONTH)
+        sinks.land_month_partitions(again, path, "o_orderdate")
+
+    path = medallion.stored(spark, sf_dir, "landing/orders_ndjson", write)
+    return sinks.read_month_partitions(spark, path, _ORDER_SCHEMA)
+
+
+def month_file_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly CSV history files + bulk extract: union by name, dedup, monthly counts."""
+    def write(path: str) -> None:
+        hist = _orders_typed(spark, sf_dir).where(F.col("o_orderdate") < F.lit(ORDERS_SPLIT[1]).cast("date"))
+        hist = hist.drop("o_orderpriority").withColumn("ym", derive.month_key("o_orderdate"))
+        sinks.write_csv(hist, path, partition_by=["ym"])
+
+    path = medallion.stored(spark, sf_dir, "landing/orders_month_files", write)
+    raw = files.read_month_files(spark, f"{path}/*/*.csv", pattern=r"ym=(\d{4}-\d{2})")
+    history = raw.select(
+        parse.to_long("o_orderkey").alias("o_orderkey"),
+        parse.to_long("o_custkey").alias("o_custkey"),
+        "o_orderstatus",
+        parse.to_double("o_totalprice").alias("o_totalprice"),
+        parse.text_date("o_orderdate").alias("o_orderdate"),
+        "file_month",
+        F.lit("history").alias(SOURCE_FILE),
+    )
+    bulk = _orders_typed(spark, sf_dir).where(F.col("o_orderdate") >= F.lit(ORDERS_SPLIT[0]).cast("date"))
+    bulk = bulk.withColumn(SOURCE_FILE, F.lit("bulk"))
+    merged = dedup.latest_per_key(union.union_by_name(bulk, history), ["o_orderkey"], [SOURCE_FILE])
+    month = derive.month_key("o_orderdate")
+    return merged.groupBy(month.alias("month")).agg(
+        F.count(F.lit(1)).alias("orders"),
+        F.count("o_orderpriority").alias("with_priority"),
+        F.count_if(F.col("file_month") == month).alias("from_files"),
+    )
+
+
+# ---------------------------------------------------------------- streaming S4, K3
+def _ingest(spark: SparkSession, sf_dir: str, name: str, batches) -> DataFrame:
+    holder: dict = {}
+
+    def write(base: str) -> None:
+        ing = EvolvingCsvIngest(f"{base}/landing/*/*.csv", f"{base}/bronze", f"{base}/_checkpoint", id_col="doc_id")
+        for i, frame in enumerate(batches(), start=1):
+            sinks.write_csv(frame, f"{base}/landing/batch_{i}")
+            ing.run(spark)
+        ing.run(spark)  # nothing new: must add no rows
+        holder["ing"] = ing
+
+    base = medallion.stored(spark, sf_dir, f"stream/{name}", write)
+    bronze = spark.read.option("mergeSchema", "true").parquet(f"{base}/bronze")
+    return bronze.select(
+        parse.to_long("doc_id").alias("doc_id"), "text", "lang", "source",
+        parse.to_long("n_chars").alias("n_chars"),
+    )
+
+
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents landed as CSV files, ingested by the file stream, read back."""
+    docs = lambda: [tables.read_table(spark, sf_dir, "documents").select(*_DOC_COLS)]
+    return _ingest(spark, sf_dir, "documents", docs)
+
+
+def stream_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Second arrival adds columns in the middle of the header; old rows get nulls."""
+    def batches():
+        docs = tables.read_table(spark, sf_dir, "documents")
+        first = docs.where(F.col("lang") == FIRST_ARRIVAL_LANG).select("doc_id", "text", "lang")
+        later = docs.where(F.col("lang") != FIRST_ARRIVAL_LANG).select("doc_id", "source", "text", "lang", "n_chars")
+        return [first, later]
+
+    return _ingest(spark, sf_dir, "documents_evolving", batches)
+
+
+QUERIES.update({
+    "csv_multiline_roundtrip": csv_multiline_roundtrip,
+    "csv_plain_fragments": csv_plain_fragments,
+    "csv_inferred": csv_inferred,
+    "line_preview": line_preview,
+    "ndjson_month_partitions": ndjson_month_partitions,
+    "month_file_history": month_file_history,
+    "stream_ingest": stream_ingest,
+    "stream_evolution": stream_evolution,
+})

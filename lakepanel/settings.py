@@ -19,3 +19,12 @@ HISTORY_RENAMES = {
     "Type": "event_type",
     "Value": "value",
 }
+# NDJSON landing: this month is landed a second time to show a resumed month
+# replaces only itself.
+RELAND_MONTH = "1996-03"
+# Month-file history: history files hold orders before [1]; the bulk extract
+# starts at [0] (the two overlap).
+ORDERS_SPLIT = ("1998-07-01", "1999-01-01")
+# Streaming schema growth: documents in this language arrive first, with
+# fewer columns; the rest arrive later with new columns in the middle.
+FIRST_ARRIVAL_LANG = "en"

@@ -84,6 +84,8 @@ def month_from_path(pattern: str = r"(\d{4}-\d{2})") -> Column:
     return F.nullif(F.regexp_extract(F.col("_metadata.file_path"), pattern, 1), F.lit(""))
 
 
-def read_month_files(spark: SparkSession, glob: str, month_col: str = "file_month") -> DataFrame:
+def read_month_files(
+    spark: SparkSession, glob: str, month_col: str = "file_month", pattern: str = r"(\d{4}-\d{2})"
+) -> DataFrame:
     """History folder of one quoted CSV per month; the month comes from the path."""
-    return read_quoted_csv(spark, glob).withColumn(month_col, month_from_path())
+    return read_quoted_csv(spark, glob).withColumn(month_col, month_from_path(pattern))

@@ -28,11 +28,15 @@ def save_table(df: DataFrame, name: str, comment: str | None = None, quality: st
         spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('quality' = '{quality}')")
 
 
-def write_csv(df: DataFrame, path: str, files: int | None = None) -> None:
+def write_csv(df: DataFrame, path: str, files: int | None = None,
+              partition_by: list[str] | None = None) -> None:
     """Quoted CSV with header, readable back by ``read_quoted_csv``."""
     if files:
         df = df.repartition(files)
-    (df.write.mode("overwrite").option("header", "true").option("quote", '"').option("escape", '"')
+    (df.write.mode("overwrite")
+     .options(header="true", quote='"', escape='"',
+              ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false")
+     .partitionBy(*(partition_by or []))
      .csv(path))
 
 
@@ -41,10 +45,12 @@ def land_month_partitions(df: DataFrame, path: str, date_col: str, key: str = "d
 
     Dynamic partition overwrite replaces only the months present in ``df``,
     so re-running one month leaves every other month as it was (resumable).
-    Rows are clustered by month first so each month is written by few tasks.
+    Rows are clustered by month first (a REBALANCE, which AQE splits where a
+    month is hot and coalesces where months are small) so each month lands
+    in a few files rather than one file per task.
     """
     month = F.date_format(F.col(date_col), "yyyy-MM")
-    out = df.withColumn(key, month).repartition(key)
+    out = df.withColumn(key, month).hint("rebalance", key)
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(key).json(path))
 

@@ -22,7 +22,14 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import (
+    BinaryType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampType,
+)
 
 from ..constants import NUMERIC_ID_PATTERN
 from ..operators.columns import stamp_ingest
@@ -30,6 +37,16 @@ from ..operators.union import union_by_name
 from ..sources.files import QUOTED_MULTILINE_CSV
 
 
+# Fixed schema of the binaryFile source (only ``path`` is selected, so the
+# file content is never read by the stream).
+BINARY_FILE_SCHEMA = StructType([
+    StructField("path", StringType(), False),
+    StructField("modificationTime", TimestampType(), False),
+    StructField("length", LongType(), False),
+    StructField("content", BinaryType(), True),
+])
+
+
 @dataclass
 class EvolvingCsvIngest:
     landing_glob: str          # e.g. ".../landing/*/*.csv"
@@ -65,6 +82,7 @@ class EvolvingCsvIngest:
         """Process every file not seen before, then stop (``availableNow``)."""
         paths = (
             spark.readStream.format("binaryFile")
+            .schema(BINARY_FILE_SCHEMA)
             .option("maxFilesPerTrigger", self.max_files_per_trigger)
             .load(self.landing_glob)
             .select("path")
