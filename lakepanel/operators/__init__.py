@@ -1,5 +1,5 @@
 """Relational operators composed from the DataFrame API."""
 
-from . import aggregate, calendar, columns, dedup, joins, profile, quality, union
+from . import aggregate, calendar, columns, dedup, joins, partitioning, profile, quality, union
 
-__all__ = ["aggregate", "calendar", "columns", "dedup", "joins", "profile", "quality", "union"]
+__all__ = ["aggregate", "calendar", "columns", "dedup", "joins", "partitioning", "profile", "quality", "union"]

@@ -1,0 +1,19 @@
+"""Parallelism floor for inputs that arrive in too few splits.
+
+A single-file table with one Parquet row group (or one multi-line CSV file)
+is read by ONE task, so all per-row parsing before the first shuffle runs on
+one core.  ``spread`` round-robins such an input over the cluster's default
+parallelism.  At scale the input already has thousands of splits and
+``spread`` returns it unchanged: no extra shuffle is added there.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 
 from ..constants import NUMERIC_ID_PATTERN
 from ..operators.columns import stamp_ingest
-from ..sources.tables import register_tables
+from ..operators.partitioning import spread
+from ..sources.tables import read_table, register_tables
 
 
 @dataclass(frozen=True)
@@ -198,12 +199,14 @@ JOIN region r ON n.n_regionkey = r.r_regionkey
 
 def loans_bronze(spark: SparkSession, sf_dir: str, source: str = "orders.parquet") -> DataFrame:
     """Loan bronze from driver tables: raw text, footer rows removed, stamped."""
-    register_tables(spark, sf_dir, ["orders", "customer", "nation", "region"])
+    register_tables(spark, sf_dir, ["customer", "nation", "region"])
+    spread(read_table(spark, sf_dir, "orders")).createOrReplaceTempView("orders")
     raw = spark.sql(loans_raw_sql(SPARK))
     return stamp_ingest(raw.where(F.col("id").rlike(NUMERIC_ID_PATTERN)), source)
 
 
 def complaints_bronze(spark: SparkSession, sf_dir: str, source: str = "lineitem.parquet") -> DataFrame:
     """Complaint bronze from driver tables: raw text with ingest stamps."""
-    register_tables(spark, sf_dir, ["lineitem", "supplier", "nation", "region"])
+    register_tables(spark, sf_dir, ["supplier", "nation", "region"])
+    spread(read_table(spark, sf_dir, "lineitem")).createOrReplaceTempView("lineitem")
     return stamp_ingest(spark.sql(complaints_raw_sql(SPARK)), source)
