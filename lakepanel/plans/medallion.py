@@ -48,7 +48,9 @@ def stored(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], o
 def _materialise(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     def write(path: str):
         df, obs = build()
-        write_table(df.hint("rebalance"), path)
+        # No extra repartition: the dedup shuffle already hash-partitions the
+        # rows and AQE coalesces small partitions before the write.
+        write_table(df, path)
         return obs.get if obs is not None else None
 
     return spark.read.parquet(stored(spark, sf_dir, f"silver/{name}", write))

@@ -18,6 +18,7 @@ records processed files in the checkpoint, so a rerun ingests only new files;
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,6 +56,7 @@ class EvolvingCsvIngest:
     id_col: str | None = None  # keep rows whose id is numeric
     id_pattern: str = NUMERIC_ID_PATTERN
     max_files_per_trigger: int = 1000
+    header_threads: int = 16
 
     def _header(self, spark: SparkSession, path: str) -> tuple[str, ...]:
         # Reads the header record only (no inference, no data scan).
@@ -65,9 +67,14 @@ class EvolvingCsvIngest:
         paths = [r.path for r in batch.select("path").collect()]
         if not paths:
             return
+        # Header reads are tiny jobs; run them concurrently (the scheduler
+        # accepts jobs from several driver threads).
+        paths = sorted(paths)
+        with ThreadPoolExecutor(max_workers=self.header_threads) as pool:
+            headers = list(pool.map(lambda p: self._header(spark, p), paths))
         groups: dict[tuple[str, ...], list[str]] = {}
-        for p in sorted(paths):
-            groups.setdefault(self._header(spark, p), []).append(p)
+        for p, h in zip(paths, headers):
+            groups.setdefault(h, []).append(p)
         frames = []
         for header, files in groups.items():
             schema = StructType([StructField(c, StringType(), True) for c in header])
