@@ -14,13 +14,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..constants import LOAN_SOFT_RULES
-from ..operators.quality import observe_rules
+from ..constants import LOAN_HARD_RULES, LOAN_SOFT_RULES
+from ..operators.quality import apply_hard_rules, observe_rules
 from ..session import work_dir
 from ..sources.sinks import write_table
 from . import driver_views
 from .complaints import silver_complaints
-from .loans import silver_loans
+from .loans import deduped_loans
 
 _LOCK = threading.Lock()
 _TABLES: dict[tuple[str, str, str], str] = {}
@@ -59,8 +59,11 @@ def _materialise(spark: SparkSession, sf_dir: str, name: str, build) -> DataFram
 def loans_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored loan silver built from the driver-table loan view."""
     def build():
-        df = silver_loans(driver_views.loans_bronze(spark, sf_dir))
-        return observe_rules(df, LOAN_SOFT_RULES, "loan_soft_rules")
+        # Rule failures are counted before the hard rules drop rows, on the
+        # same pass that writes silver.
+        candidates = deduped_loans(driver_views.loans_bronze(spark, sf_dir))
+        observed, obs = observe_rules(candidates, {**LOAN_HARD_RULES, **LOAN_SOFT_RULES}, "loan_rules")
+        return apply_hard_rules(observed, LOAN_HARD_RULES), obs
 
     return _materialise(spark, sf_dir, "loans", build)
 
@@ -73,7 +76,7 @@ def complaints_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _materialise(spark, sf_dir, "complaints", build)
 
 
-def soft_rule_counts(spark: SparkSession, sf_dir: str) -> dict:
-    """Soft-rule failure counts observed while loan silver was written."""
+def rule_counts(spark: SparkSession, sf_dir: str) -> dict:
+    """Hard and soft rule failures observed while loan silver was written."""
     loans_silver(spark, sf_dir)
     return dict(_OBSERVED.get((spark.sparkContext.applicationId, sf_dir, "silver/loans"), {}))

@@ -185,3 +185,60 @@ def test_missing_required_column_raises(spark, tmp_path_factory):
     write_csv(str(d / "c.csv"), header, [{h: "1" for h in header}])
     with pytest.raises(ValueError):
         C.silver_complaints(files.bronze_csv(spark, str(d / "c.csv")))
+
+
+def _land_all(d):
+    write_csv(str(d / "loans" / "a.csv"), LOAN_HEADER, LOANS_FILE_1, footer="Total amount funded in policy code 1: 7500")
+    write_csv(str(d / "loans" / "b.csv"), LOAN_HEADER, LOANS_FILE_2)
+    bulk = [complaint("10", "2015-12-03", "Credit card or prepaid card", "CA"),
+            complaint("11", "2015-12-09", "Payday loan", "CA")]
+    # History month file lacks the Tags column; it overlaps the bulk file on id 11.
+    hist_header = [h for h in COMPLAINT_HEADER if h != "Tags"]
+    hist = [{k: v for k, v in complaint("11", "2015-12-09", "Payday loan", "CA").items() if k != "Tags"},
+            {k: v for k, v in complaint("9", "2015-11-30", "Debt collection", "CA").items() if k != "Tags"}]
+    write_csv(str(d / "cmp" / "complaints.csv"), COMPLAINT_HEADER, bulk)
+    write_csv(str(d / "hist" / "complaints_2015-11.csv"), hist_header, hist)
+
+
+def test_lakehouse_layers_end_to_end(spark, tmp_path_factory):
+    from lakepanel.plans.lakehouse import Lakehouse
+
+    d = tmp_path_factory.mktemp("lake")
+    _land_all(d)
+    lake = Lakehouse(spark, str(d / "out"))
+    lake.build_loans(str(d / "loans" / "*.csv"), row_floor=3)
+    assert lake.report["bronze_loans_rows"] == 7  # 6 + 1 duplicate, footer dropped
+    rules = lake.report["loan_rules"]
+    assert rules["rows"] == 6 and rules["failed_core_not_null"] == 1 and rules["failed_positive_amount"] == 1
+    assert rules["failed_plausible_rate"] == 1 and rules["failed_plausible_dti"] == 1
+    assert lake.read("gold_portfolio_kpis", "gold").first()["total_loans"] == 4
+    lake.build_complaints(str(d / "cmp" / "*.csv"), str(d / "hist" / "*.csv"))
+    sc = {r["complaint_id"]: r for r in lake.read("silver_complaints", "silver").collect()}
+    assert sorted(sc) == [9, 10, 11]
+    lake.build_panel(min_resolved=1)
+    cells = lake.read("gold_state_month_panel", "gold").collect()
+    assert [(r["state"], r["issue_month"], r["complaints"]) for r in cells] == [("CA", "2015-12", 2)]
+    assert lake.read("gold_panel_correlation", "gold").count() == 2
+
+
+def test_lakehouse_row_floor_raises(spark, tmp_path_factory):
+    from lakepanel.operators.quality import RowFloorError
+    from lakepanel.plans.lakehouse import Lakehouse
+
+    d = tmp_path_factory.mktemp("lake_floor")
+    _land_all(d)
+    with pytest.raises(RowFloorError):
+        Lakehouse(spark, str(d / "out")).build_loans(str(d / "loans" / "*.csv"), row_floor=100)
+
+
+def test_lakehouse_catalog_tables_carry_layer_property(spark, tmp_path_factory):
+    from lakepanel.plans.lakehouse import Lakehouse
+
+    d = tmp_path_factory.mktemp("lake_cat")
+    _land_all(d)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS lp_test LOCATION '{d / 'wh'}'")
+    lake = Lakehouse(spark, str(d / "out"), database="lp_test")
+    lake.build_loans(str(d / "loans" / "*.csv"))
+    props = {r["key"]: r["value"] for r in spark.sql("SHOW TBLPROPERTIES lp_test.silver_loans").collect()}
+    assert props.get("quality") == "silver"
+    assert spark.table("lp_test.gold_risk_by_grade").count() == 2
