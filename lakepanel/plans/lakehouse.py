@@ -103,6 +103,7 @@ class Lakehouse:
         )
         self._write(cells, "gold_state_month_panel", "gold")
         stored = self.read("gold_state_month_panel", "gold")
-        self._write(panel.state_rollup(stored), "gold_state_rollup", "gold")
+        # Stored unordered: row order is not a property of a table, readers sort.
+        self._write(panel.state_totals(stored), "gold_state_rollup", "gold")
         self._write(panel.panel_correlation(stored, self.read("gold_state_rollup", "gold")),
                     "gold_panel_correlation", "gold")

@@ -61,18 +61,19 @@ def state_month_panel(
     ).where(F.col("resolved_loans") >= min_resolved)
 
 
-def state_rollup(panel: DataFrame) -> DataFrame:
-    """Per state: ratio of summed counts (not a mean of cell rates)."""
-    return (
-        panel.groupBy("state")
-        .agg(
-            M.null_safe_rate(F.sum("bad_loans"), F.sum("resolved_loans"), scale=1, digits=None).alias("default_rate"),
-            M.per_thousand(F.sum("complaints"), F.sum("loans")).alias("complaints_per_1k_loans"),
-        )
-        .orderBy(F.col("default_rate").desc_nulls_last(), F.col("state"))
+def state_totals(panel: DataFrame) -> DataFrame:
+    """Per state: ratio of summed counts (not a mean of cell rates), unordered."""
+    return panel.groupBy("state").agg(
+        M.null_safe_rate(F.sum("bad_loans"), F.sum("resolved_loans"), scale=1, digits=None).alias("default_rate"),
+        M.per_thousand(F.sum("complaints"), F.sum("loans")).alias("complaints_per_1k_loans"),
     )
 
 
+def state_rollup(panel: DataFrame) -> DataFrame:
+    """The state roll-up as a report: highest default rate first."""
+    return state_totals(panel).orderBy(F.col("default_rate").desc_nulls_last(), F.col("state"))
+
+
 def panel_correlation(panel: DataFrame, rollup: DataFrame, digits: int = 6) -> DataFrame:
     """Pearson r of complaint pressure vs default rate, at cell and at state level.
 
