@@ -25,6 +25,20 @@ def apply_hard_rules(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
     return df if cond is None else df.filter(cond)
 
 
+def rejected_rows(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
+    """The rows the hard rules drop, with one ``pass_<rule>`` flag per rule.
+
+    The complement of ``apply_hard_rules`` over the same input (a quarantine
+    table): every input row lands in exactly one of the two.
+    """
+    flags = {f"pass_{n}": _passes(rule) for n, rule in rules.items()}
+    out = df.withColumns(flags)
+    keep = None
+    for name in flags:
+        keep = F.col(name) if keep is None else keep & F.col(name)
+    return out if keep is None else out.filter(~keep)
+
+
 def observe_rules(
     df: DataFrame,
     rules: Mapping[str, str],

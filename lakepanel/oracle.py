@@ -421,6 +421,34 @@ WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE strftime(CAST(o.o_orderdate AS DA
 }
 
 
+_NUMBER_COLS = ("loan_id, loan_amnt, funded_amnt, int_rate, revol_util, term_months, "
+                "emp_length_years, fico_low, fico_high, fico_avg, open_acc, mort_acc")
+_COMPLAINTS_ONLY = {"loans": False, "complaints": True}
+
+FAMILY_SQL = {
+    "clean_numbers": with_silver(f"SELECT {_NUMBER_COLS} FROM sl"),
+    "clean_dates": with_silver("""
+SELECT loan_id, issue_date, earliest_cr_date, CAST(year(issue_date) AS INTEGER) AS issue_year,
+       CAST(date_trunc('month', issue_date) AS DATE) AS issue_month_start,
+       strftime(issue_date, '%Y-%m') AS issue_month
+FROM sl"""),
+    "credit_age": with_silver("SELECT loan_id, issue_date, earliest_cr_date, credit_age_years FROM sl"),
+    "income_ratio": with_silver("SELECT loan_id, installment, annual_inc, installment_to_income FROM sl"),
+    "status_flags": with_silver(
+        "SELECT loan_status, is_resolved, is_default, count(*) AS loans FROM sl GROUP BY 1, 2, 3"),
+    "loss_fields": with_silver("""
+SELECT loan_id, loan_status, funded_amnt, total_pymnt, total_rec_prncp, recoveries, net_cash, charge_off_loss
+FROM sl"""),
+    "text_flags": with_silver("SELECT complaint_id, timely_response, has_narrative FROM sc", **_COMPLAINTS_ONLY),
+    "classify_family": with_silver(
+        "SELECT product, product_family, count(*) AS complaints FROM sc GROUP BY 1, 2", **_COMPLAINTS_ONLY),
+    "rules_drop": "WITH " + loans_silver_ctes() + f"""
+SELECT loan_id, loan_amnt, grade, loan_status,
+       {_HARD[0]} AS pass_core_not_null, {_HARD[1]} AS pass_positive_amount
+FROM lk WHERE NOT ({_HARD[0]} AND {_HARD[1]})""",
+}
+
+
 _DOCS = "SELECT doc_id, text, lang, source, n_chars"
 SOURCE_SQL = {
     "csv_multiline_roundtrip": _DOCS + ", true AS lineage_ok FROM documents",
@@ -447,6 +475,7 @@ def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(PANEL_SQL)
     out.update(MART_SQL)
+    out.update(FAMILY_SQL)
     out.update(OPERATOR_SQL)
     out.update(SOURCE_SQL)
     return out

@@ -79,6 +79,75 @@ def silver_complaints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return medallion.complaints_silver(spark, sf_dir).select(*cols)
 
 
+# ---------------------------------------------------------------- scalar families X1-X21, Q1
+# Each is a pruned projection (or a small aggregate) of stored silver, so one
+# family of parsers or derived fields can be checked on its own.
+_NUMBER_COLUMNS = [
+    "loan_id", "loan_amnt", "funded_amnt", "int_rate", "revol_util", "term_months",
+    "emp_length_years", "fico_low", "fico_high", "fico_avg", "open_acc", "mort_acc",
+]
+
+
+def clean_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Doubles, percents, digit runs, employment years, decimal-text counters."""
+    return medallion.loans_silver(spark, sf_dir).select(*_NUMBER_COLUMNS)
+
+
+def clean_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Month-name dates with their year, month start and ``yyyy-MM`` key."""
+    sl = medallion.loans_silver(spark, sf_dir)
+    return sl.select(
+        "loan_id", "issue_date", "earliest_cr_date",
+        F.year("issue_date").alias("issue_year"),
+        derive.month_start("issue_date").alias("issue_month_start"),
+        derive.month_key("issue_date").alias("issue_month"),
+    )
+
+
+def credit_age(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return medallion.loans_silver(spark, sf_dir).select(
+        "loan_id", "issue_date", "earliest_cr_date", "credit_age_years"
+    )
+
+
+def income_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return medallion.loans_silver(spark, sf_dir).select(
+        "loan_id", "installment", "annual_inc", "installment_to_income"
+    )
+
+
+def status_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every distinct status text with the flags it maps to."""
+    sl = medallion.loans_silver(spark, sf_dir)
+    return aggregate.frequency(sl, ["loan_status", "is_resolved", "is_default"], "loans")
+
+
+def loss_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return medallion.loans_silver(spark, sf_dir).select(
+        "loan_id", "loan_status", "funded_amnt", "total_pymnt", "total_rec_prncp", "recoveries",
+        "net_cash", "charge_off_loss",
+    )
+
+
+def text_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return medallion.complaints_silver(spark, sf_dir).select("complaint_id", "timely_response", "has_narrative")
+
+
+def classify_family(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every distinct raw product with the family the ordered classifier gives it."""
+    sc = medallion.complaints_silver(spark, sf_dir)
+    return aggregate.frequency(sc, ["product", "product_family"], "complaints")
+
+
+def rules_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """De-duplicated loans the hard rules drop, with the rule results (null = fail)."""
+    deduped = loans.deduped_loans(driver_views.loans_bronze(spark, sf_dir))
+    flags = [f"pass_{n}" for n in LOAN_HARD_RULES]
+    return quality.rejected_rows(deduped, LOAN_HARD_RULES).select(
+        "loan_id", "loan_amnt", "grade", "loan_status", *flags
+    )
+
+
 # ---------------------------------------------------------------- marts G1-G8
 def _mart(fn) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,6 +173,15 @@ QUERIES: dict[str, Query] = {
     "mart_purpose": _mart(marts.purpose_risk),
     "mart_score_band": _mart(marts.fico_band_risk),
     "mart_ratio_band": _mart(marts.dti_band_risk),
+    "clean_numbers": clean_numbers,
+    "clean_dates": clean_dates,
+    "credit_age": credit_age,
+    "income_ratio": income_ratio,
+    "status_flags": status_flags,
+    "loss_fields": loss_fields,
+    "text_flags": text_flags,
+    "classify_family": classify_family,
+    "rules_drop": rules_drop,
 }
 
 

@@ -47,6 +47,23 @@ def test_hard_rules_null_counts_as_failure(spark):
     assert rep["hard_core"] == 2 and rep["hard_positive"] == 3 and rep["soft_soft"] == 3
 
 
+def test_rejected_rows_are_the_complement_of_kept_rows(spark):
+    df = spark.createDataFrame([(1.0, "A"), (0.0, "A"), (-5.0, "B"), (None, "C"), (3.0, None)], "amt double, g string")
+    rules = {"core": "amt IS NOT NULL AND g IS NOT NULL", "positive": "amt > 0"}
+    rejected = quality.rejected_rows(df, rules)
+    assert rejected.columns == ["amt", "g", "pass_core", "pass_positive"]
+    got = {(r.amt, r.g): (r.pass_core, r.pass_positive) for r in rejected.collect()}
+    # A null rule result is a failure (False), never null.
+    assert got == {
+        (0.0, "A"): (True, False),
+        (-5.0, "B"): (True, False),
+        (None, "C"): (False, False),
+        (3.0, None): (False, True),
+    }
+    kept = quality.apply_hard_rules(df, rules)
+    assert kept.count() + rejected.count() == df.count()
+
+
 def test_observe_rules_counts_on_the_write_pass(spark, tmp_dir):
     df = spark.createDataFrame([(1.0,), (250.0,), (None,)], "rate double")
     out, obs = quality.observe_rules(df, {"plausible": "rate BETWEEN 0 AND 100"})
