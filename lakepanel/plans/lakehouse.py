@@ -10,9 +10,10 @@ copy, so every product is a pruned scan of its input layer.
   floor guards against a broken multi-line parse.  Multi-line CSV is read by
   one task per file, so bronze is redistributed on write (REBALANCE) and all
   later stages get full parallelism from the Parquet copy.
-* silver: typed, de-duplicated, hard rules drop rows; hard and soft rule
-  failures are counted by an ``Observation`` on the same write (no extra
-  pass) and returned.
+* silver: typed and de-duplicated candidates are stored once, with hard and
+  soft rule failures counted by an ``Observation`` on that write (no extra
+  pass); silver keeps the candidates that pass every hard rule and a
+  quarantine table keeps the rest, each with its rule results.
 * gold: eight loan marts, the two state x month segments, the panel, its
   state roll-up and the correlations.
 """
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import LOAN_HARD_RULES, LOAN_SOFT_RULES, PANEL_MIN_RESOLVED
-from ..operators.quality import apply_hard_rules, check_row_floor, observe_rules
+from ..operators.quality import apply_hard_rules, check_row_floor, observe_rules, rejected_rows
 from ..operators.union import union_by_name
 from ..operators.columns import stamp_ingest
 from ..sources import files
@@ -74,9 +75,15 @@ class Lakehouse:
         self._bronze(files.bronze_csv(self.spark, csv_glob, id_col="id"), "bronze_loans", row_floor)
         candidates = deduped_loans(self.read("bronze_loans", "bronze"))
         observed, obs = observe_rules(candidates, {**hard_rules, **soft_rules}, "loan_rules")
-        self._write(apply_hard_rules(observed, hard_rules), "silver_loans", "silver",
-                    "Typed, cleaned, de-duplicated loans")
+        self._write(observed, "silver_loan_candidates", "silver")
         self.report["loan_rules"] = obs.get
+        # Silver and its quarantine are two filters over the stored candidates:
+        # every candidate lands in exactly one of them.
+        stored = self.read("silver_loan_candidates", "silver")
+        self._write(apply_hard_rules(stored, hard_rules), "silver_loans", "silver",
+                    "Typed, cleaned, de-duplicated loans")
+        self._write(rejected_rows(stored, hard_rules), "silver_loans_rejected", "silver",
+                    "De-duplicated loans dropped by a hard rule")
         silver = self.read("silver_loans", "silver")
         for name, build in marts.MARTS.items():
             self._write(build(silver), name, "gold")

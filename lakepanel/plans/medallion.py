@@ -3,8 +3,13 @@
 Silver is materialised as Parquet below the shared checkpoint folder and
 read back, so every gold product is a pruned scan of stored silver instead
 of a re-run of the parse/dedup lineage, and a lost executor only costs the
-tasks of the stage it was running.  Soft-rule failures are counted by an
-``Observation`` on the silver write itself (no extra pass).
+tasks of the stage it was running.
+
+Loans are stored in two steps: the de-duplicated candidates (before any
+rule), then silver as the hard-rule filter over them.  The rule report and
+the quarantine of dropped rows are then pruned scans of the candidates, not
+a second run of the parse and dedup shuffle.  Rule failures are counted by
+an ``Observation`` on the candidates write itself (no extra pass).
 """
 
 from __future__ import annotations
@@ -22,7 +27,8 @@ from . import driver_views
 from .complaints import silver_complaints
 from .loans import deduped_loans
 
-_LOCK = threading.Lock()
+# Re-entrant: building silver stores the candidates it reads from first.
+_LOCK = threading.RLock()
 _TABLES: dict[tuple[str, str, str], str] = {}
 _OBSERVED: dict[tuple[str, str, str], dict] = {}
 
@@ -56,14 +62,20 @@ def _materialise(spark: SparkSession, sf_dir: str, name: str, build) -> DataFram
     return spark.read.parquet(stored(spark, sf_dir, f"silver/{name}", write))
 
 
-def loans_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stored loan silver built from the driver-table loan view."""
+def loan_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored de-duplicated loans before the hard rules (driver-table loan view)."""
     def build():
-        # Rule failures are counted before the hard rules drop rows, on the
-        # same pass that writes silver.
+        # Rule failures are counted on the same pass that writes the candidates.
         candidates = deduped_loans(driver_views.loans_bronze(spark, sf_dir))
-        observed, obs = observe_rules(candidates, {**LOAN_HARD_RULES, **LOAN_SOFT_RULES}, "loan_rules")
-        return apply_hard_rules(observed, LOAN_HARD_RULES), obs
+        return observe_rules(candidates, {**LOAN_HARD_RULES, **LOAN_SOFT_RULES}, "loan_rules")
+
+    return _materialise(spark, sf_dir, "loan_candidates", build)
+
+
+def loans_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored loan silver: the candidates that pass every hard rule."""
+    def build():
+        return apply_hard_rules(loan_candidates(spark, sf_dir), LOAN_HARD_RULES), None
 
     return _materialise(spark, sf_dir, "loans", build)
 
@@ -77,6 +89,6 @@ def complaints_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rule_counts(spark: SparkSession, sf_dir: str) -> dict:
-    """Hard and soft rule failures observed while loan silver was written."""
-    loans_silver(spark, sf_dir)
-    return dict(_OBSERVED.get((spark.sparkContext.applicationId, sf_dir, "silver/loans"), {}))
+    """Hard and soft rule failures observed while the loan candidates were written."""
+    loan_candidates(spark, sf_dir)
+    return dict(_OBSERVED.get((spark.sparkContext.applicationId, sf_dir, "silver/loan_candidates"), {}))

@@ -35,7 +35,7 @@ from .settings import (
     TAXONOMY_CUTOFF,
 )
 from .streaming.ingest import EvolvingCsvIngest
-from .plans import driver_views, loans, marts, medallion, panel
+from .plans import driver_views, marts, medallion, panel
 from .plans.complaints import DERIVED
 from .sources import files, sinks, tables
 
@@ -141,7 +141,7 @@ def classify_family(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rules_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     """De-duplicated loans the hard rules drop, with the rule results (null = fail)."""
-    deduped = loans.deduped_loans(driver_views.loans_bronze(spark, sf_dir))
+    deduped = medallion.loan_candidates(spark, sf_dir)
     flags = [f"pass_{n}" for n in LOAN_HARD_RULES]
     return quality.rejected_rows(deduped, LOAN_HARD_RULES).select(
         "loan_id", "loan_amnt", "grade", "loan_status", *flags
@@ -194,7 +194,7 @@ def queries() -> dict[str, Query]:
 # ---------------------------------------------------------------- quality Q1-Q5
 def rules_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hard and soft rule failures over de-duplicated loans (null = fail)."""
-    deduped = loans.deduped_loans(driver_views.loans_bronze(spark, sf_dir))
+    deduped = medallion.loan_candidates(spark, sf_dir)
     return quality.rule_report(deduped, LOAN_HARD_RULES, LOAN_SOFT_RULES)
 
 

@@ -212,6 +212,12 @@ def test_lakehouse_layers_end_to_end(spark, tmp_path_factory):
     assert rules["rows"] == 6 and rules["failed_core_not_null"] == 1 and rules["failed_positive_amount"] == 1
     assert rules["failed_plausible_rate"] == 1 and rules["failed_plausible_dti"] == 1
     assert lake.read("gold_portfolio_kpis", "gold").first()["total_loans"] == 4
+    # 6 candidates: 4 in silver, the 2 that break a hard rule in quarantine.
+    rejected = lake.read("silver_loans_rejected", "silver").collect()
+    assert len(rejected) == 2 and lake.read("silver_loans", "silver").count() == 4
+    # One row lacks a core field (its amount is fine), one has a non-positive amount.
+    assert sorted((r["pass_core_not_null"], r["pass_positive_amount"]) for r in rejected) == [
+        (False, True), (True, False)]
     lake.build_complaints(str(d / "cmp" / "*.csv"), str(d / "hist" / "*.csv"))
     sc = {r["complaint_id"]: r for r in lake.read("silver_complaints", "silver").collect()}
     assert sorted(sc) == [9, 10, 11]

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from lakepanel import queries as Q
 from lakepanel.operators import dedup
-from lakepanel.plans import panel
+from lakepanel.plans import driver_views, loans as loan_plans, panel
 
 from conftest import SF01
 
@@ -63,11 +63,18 @@ def test_complaint_segments_push_family_filter_to_scan(spark):
 
 
 def test_silver_lineage_reduces_per_key_before_the_shuffle(spark):
-    plan = _plan(Q.rules_report(spark, SF01))
+    plan = _plan(loan_plans.deduped_loans(driver_views.loans_bronze(spark, SF01)))
     # Map side: at most one row per loan id leaves each task.
     assert re.search(r"WindowGroupLimit \[loan_id#\d+L?\].*Partial", plan), plan
 
 
+@pytest.mark.parametrize("name", ["rules_report", "rules_drop"])
+def test_rule_products_scan_stored_candidates_not_the_raw_lineage(spark, name):
+    plan = _plan(Q.queries()[name](spark, SF01))
+    assert "WindowGroupLimit" not in plan and "Exchange hashpartitioning" not in plan, plan
+    assert max(_read_schemas(plan)) <= 10
+
+
 def _hot(spark, n=30_000):
     # Key 0 holds a third of all rows; the rest are spread over 2,000 keys.
     pdf = pd.DataFrame({"id": range(n)})
