@@ -51,7 +51,7 @@ def stored(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], o
     return path
 
 
-def _materialise(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+def _materialise(spark: SparkSession, sf_dir: str, name: str, build, layer: str = "silver") -> DataFrame:
     def write(path: str):
         df, obs = build()
         # No extra repartition: the dedup shuffle already hash-partitions the
@@ -59,7 +59,7 @@ def _materialise(spark: SparkSession, sf_dir: str, name: str, build) -> DataFram
         write_table(df, path)
         return obs.get if obs is not None else None
 
-    return spark.read.parquet(stored(spark, sf_dir, f"silver/{name}", write))
+    return spark.read.parquet(stored(spark, sf_dir, f"{layer}/{name}", write))
 
 
 def loan_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,10 +80,22 @@ def loans_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _materialise(spark, sf_dir, "loans", build)
 
 
+def complaints_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored complaint bronze (raw text, header names kept) from the driver tables.
+
+    Silver and the bronze checks (row floor, reconciliation) read this copy
+    instead of re-running the raw join.
+    """
+    def build():
+        return driver_views.complaints_bronze(spark, sf_dir), None
+
+    return _materialise(spark, sf_dir, "complaints", build, layer="bronze")
+
+
 def complaints_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stored complaint silver built from the driver-table complaint view."""
+    """Stored complaint silver built from stored complaint bronze."""
     def build():
-        return silver_complaints(driver_views.complaints_bronze(spark, sf_dir)), None
+        return silver_complaints(complaints_bronze(spark, sf_dir)), None
 
     return _materialise(spark, sf_dir, "complaints", build)
 

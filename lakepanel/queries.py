@@ -35,7 +35,7 @@ from .settings import (
     TAXONOMY_CUTOFF,
 )
 from .streaming.ingest import EvolvingCsvIngest
-from .plans import driver_views, marts, medallion, panel
+from .plans import marts, medallion, panel
 from .plans.complaints import DERIVED
 from .sources import files, sinks, tables
 
@@ -200,7 +200,7 @@ def rules_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze vs silver complaints: rows, unreadable ids, missing months, date range."""
-    bronze = driver_views.complaints_bronze(spark, sf_dir)
+    bronze = medallion.complaints_bronze(spark, sf_dir)
     typed = bronze.select(
         parse.to_long("`Complaint ID`").alias("complaint_id"),
         parse.text_date("`Date received`").alias("date_received"),
@@ -222,7 +222,7 @@ def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def row_floor(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Complaint bronze row count against a floor (a broken parse shows here)."""
-    return quality.row_floor_report(driver_views.complaints_bronze(spark, sf_dir), ROW_FLOOR)
+    return quality.row_floor_report(medallion.complaints_bronze(spark, sf_dir), ROW_FLOOR)
 
 
 def taxonomy_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
