@@ -14,17 +14,40 @@ def schema_frame(spark: SparkSession, df: DataFrame) -> DataFrame:
     return spark.createDataFrame(rows, "column_name string, type string, position int")
 
 
-def null_profile(df: DataFrame) -> DataFrame:
+def presence_flags(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Replace every column not in ``keep`` by a 1-byte presence flag (1 = not null).
+
+    A null profile needs only whether each value is present.  Reducing wide
+    columns (long text) to flags *before* a join means the join's shuffle
+    moves one byte per value instead of the value; Catalyst cannot do this on
+    its own, because it prunes columns, not expressions, below a join.
+    """
+    return df.select(*[
+        F.col(f"`{c}`") if c in keep else F.col(f"`{c}`").isNotNull().cast("byte").alias(c)
+        for c in df.columns
+    ])
+
+
+def null_profile(
+    df: DataFrame, flags: Sequence[str] = (), types: dict[str, str] | None = None
+) -> DataFrame:
     """Per column: total rows, non-null and null counts, and the type.
 
     One aggregation pass over ``df`` (wide row of counters), then a ``stack``
-    to long form; the type comes from the schema, not from data.
+    to long form; the type comes from the schema, not from data.  Columns in
+    ``flags`` were reduced by ``presence_flags`` (a null flag, e.g. from the
+    missing side of an outer join, counts as absent); ``types`` then gives the
+    original column types.
     """
     cols = df.columns
+    flagged = set(flags)
     aggs = [F.count(F.lit(1)).alias("__total")]
-    aggs += [F.count(F.col(f"`{c}`")).alias(f"__nn_{i}") for i, c in enumerate(cols)]
+    aggs += [
+        (F.count_if(F.col(f"`{c}`") == 1) if c in flagged else F.count(F.col(f"`{c}`"))).alias(f"__nn_{i}")
+        for i, c in enumerate(cols)
+    ]
     wide = df.agg(*aggs)
-    types = dict(df.dtypes)
+    types = {**dict(df.dtypes), **(types or {})}
     parts = []
     for i, c in enumerate(cols):
         name = c.replace("'", "\\'")

@@ -232,14 +232,17 @@ def taxonomy_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- profiles A9-A10
-def _documents_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+def null_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Null profile of documents left-joined to labels.
+
+    Document columns are reduced to presence flags before the join, so the
+    join shuffles ids and flags, never the document text.
+    """
     docs = tables.read_table(spark, sf_dir, "documents")
     labels = tables.read_table(spark, sf_dir, "labels")
-    return docs.join(labels, "doc_id", "left")
-
-
-def null_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.null_profile(_documents_labelled(spark, sf_dir))
+    flagged = [c for c in docs.columns if c != "doc_id"]
+    joined = profile.presence_flags(docs, keep=["doc_id"]).join(labels, "doc_id", "left")
+    return profile.null_profile(joined, flags=flagged, types=dict(docs.dtypes))
 
 
 def column_summary(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -92,6 +92,20 @@ def test_null_profile(spark):
     assert got == {"a": ("bigint", 3, 2, 1), "b c": ("string", 3, 1, 2)}
 
 
+def test_null_profile_over_presence_flags_equals_plain_profile(spark):
+    left = spark.createDataFrame(
+        [(1, "long text", None), (2, None, 7), (3, "x", 8), (None, "y", None)], "id long, body string, n int"
+    )
+    right = spark.createDataFrame([(1, "a"), (3, None), (9, "z")], "id long, tag string")
+    plain = profile.null_profile(left.join(right, "id", "left"))
+    flagged_cols = ["body", "n"]
+    flagged = profile.null_profile(
+        profile.presence_flags(left, keep=["id"]).join(right, "id", "left"),
+        flags=flagged_cols, types=dict(left.dtypes),
+    )
+    assert sorted(plain.collect()) == sorted(flagged.collect())
+
+
 def test_column_summary_long_form(spark):
     df = spark.createDataFrame([(1.0, "a"), (-0.0, "b"), (0.0, None)], "x double, s string")
     got = {(r[0], r[1]): r[2] for r in profile.column_summary(df).collect()}

@@ -75,6 +75,17 @@ def test_rule_products_scan_stored_candidates_not_the_raw_lineage(spark, name):
     assert max(_read_schemas(plan)) <= 10
 
 
+def test_null_profile_join_never_shuffles_document_text(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # the shuffle join used at scale
+    try:
+        plan = _plan(Q.null_profile(spark, SF01))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plan
+    # Below the document-side exchange, text is already a one-byte flag.
+    assert "cast(isnotnull(text#" in plan
+
+
 def _hot(spark, n=30_000):
     # Key 0 holds a third of all rows; the rest are spread over 2,000 keys.
     pdf = pd.DataFrame({"id": range(n)})
