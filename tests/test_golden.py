@@ -227,6 +227,29 @@ def test_lakehouse_layers_end_to_end(spark, tmp_path_factory):
     assert lake.read("gold_panel_correlation", "gold").count() == 2
 
 
+def test_lakehouse_incremental_loans_take_only_new_files(spark, tmp_path_factory):
+    from lakepanel.plans.lakehouse import Lakehouse
+
+    d = tmp_path_factory.mktemp("lake_inc")
+    landing = d / "landing"
+    lake = Lakehouse(spark, str(d / "out"))
+    glob = str(landing / "*" / "*.csv")
+    write_csv(str(landing / "a" / "loans_1.csv"), LOAN_HEADER, LOANS_FILE_1,
+              footer="Total amount funded in policy code 1: 7500")
+    lake.build_loans(glob, row_floor=3, incremental=True)
+    assert lake.report["bronze_loans_rows"] == 6  # footer dropped
+    assert lake.read("silver_loans", "silver").count() == 4
+    # A later file repeats loan 2 with a new payment total: the later arrival wins.
+    write_csv(str(landing / "b" / "loans_2.csv"), LOAN_HEADER, LOANS_FILE_2)
+    lake.build_loans(glob, row_floor=3, incremental=True)
+    assert lake.report["bronze_loans_rows"] == 7
+    silver = {r["loan_id"]: r for r in lake.read("silver_loans", "silver").collect()}
+    assert sorted(silver) == [1, 2, 3, 6] and silver[2]["total_pymnt"] == 2200.0
+    # Nothing new landed: bronze is unchanged.
+    lake.build_loans(glob, row_floor=3, incremental=True)
+    assert lake.report["bronze_loans_rows"] == 7
+
+
 def test_lakehouse_row_floor_raises(spark, tmp_path_factory):
     from lakepanel.operators.quality import RowFloorError
     from lakepanel.plans.lakehouse import Lakehouse
