@@ -113,7 +113,8 @@ class Lakehouse:
                     "De-duplicated loans dropped by a hard rule")
         silver = self.read("silver_loans", "silver")
         for name, build in marts.MARTS.items():
-            self._write(build(silver), name, "gold")
+            # Stored unordered; readers sort (row order is not a table property).
+            self._write(build(silver, ordered=False), name, "gold")
 
     # ------------------------------------------------------------- complaints
     def build_complaints(

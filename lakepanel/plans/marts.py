@@ -24,10 +24,16 @@ def mart(
     group: Sequence[Column] = (),
     where: Column | None = None,
     order: Sequence[Column] = (),
+    ordered: bool = True,
 ) -> DataFrame:
+    """One grouped (or global) aggregate; ``order`` is the report order.
+
+    Stored marts are written with ``ordered=False``: row order is not a
+    property of a table, and sorting would add a range shuffle per mart.
+    """
     df = silver if where is None else silver.where(where)
     out = df.groupBy(*group).agg(*metrics) if group else df.agg(*metrics)
-    return out.orderBy(*order) if order else out
+    return out.orderBy(*order) if order and ordered else out
 
 
 def _loans() -> Column:
@@ -46,7 +52,7 @@ def _default_rate() -> Column:
     return M.default_rate().alias("default_rate_pct")
 
 
-def portfolio_kpis(silver: DataFrame) -> DataFrame:
+def portfolio_kpis(silver: DataFrame, ordered: bool = True) -> DataFrame:
     """One row of headline portfolio numbers."""
     return mart(silver, [
         F.count(F.lit(1)).alias("total_loans"),
@@ -61,7 +67,7 @@ def portfolio_kpis(silver: DataFrame) -> DataFrame:
     ])
 
 
-def risk_by_grade(silver: DataFrame) -> DataFrame:
+def risk_by_grade(silver: DataFrame, ordered: bool = True) -> DataFrame:
     return mart(
         silver,
         [
@@ -74,64 +80,70 @@ def risk_by_grade(silver: DataFrame) -> DataFrame:
         group=[F.col("grade")],
         where=F.col("grade").rlike(GRADE_PATTERN),
         order=[F.col("grade")],
+        ordered=ordered,
     )
 
 
-def vintage(silver: DataFrame) -> DataFrame:
+def vintage(silver: DataFrame, ordered: bool = True) -> DataFrame:
     return mart(
         silver,
         [_loans(), _funded_mn(), _avg_rate(), _default_rate()],
         group=[F.year("issue_date").alias("vintage_year")],
         where=F.col("issue_date").isNotNull(),
         order=[F.col("vintage_year")],
+        ordered=ordered,
     )
 
 
-def origination_trend(silver: DataFrame) -> DataFrame:
+def origination_trend(silver: DataFrame, ordered: bool = True) -> DataFrame:
     return mart(
         silver,
         [_loans(), _funded_mn(2), _avg_rate()],
         group=[F.trunc("issue_date", "month").alias("issue_month")],
         where=F.col("issue_date").isNotNull(),
         order=[F.col("issue_month")],
+        ordered=ordered,
     )
 
 
-def _by_dimension(silver: DataFrame, column: str, alias: str) -> DataFrame:
+def _by_dimension(silver: DataFrame, column: str, alias: str, ordered: bool = True) -> DataFrame:
     return mart(
         silver,
         [_loans(), _funded_mn(), _avg_rate(), _default_rate()],
         group=[F.col(column).alias(alias)],
         where=F.col(column).isNotNull(),
         order=[F.col("loans").desc(), F.col(alias)],
+        ordered=ordered,
     )
 
 
-def geo_risk(silver: DataFrame) -> DataFrame:
-    return _by_dimension(silver, "addr_state", "state")
+def geo_risk(silver: DataFrame, ordered: bool = True) -> DataFrame:
+    return _by_dimension(silver, "addr_state", "state", ordered)
 
 
-def purpose_risk(silver: DataFrame) -> DataFrame:
-    return _by_dimension(silver, "purpose", "purpose")
+def purpose_risk(silver: DataFrame, ordered: bool = True) -> DataFrame:
+    return _by_dimension(silver, "purpose", "purpose", ordered)
 
 
-def fico_band_risk(silver: DataFrame) -> DataFrame:
+def fico_band_risk(silver: DataFrame, ordered: bool = True) -> DataFrame:
     return mart(
         silver,
         [_loans(), _avg_rate(), _default_rate()],
         group=[classify.fico_band("fico_avg").alias("fico_band")],
         where=F.col("fico_avg").isNotNull(),
         order=[F.col("fico_band")],
+        ordered=ordered,
     )
 
 
-def dti_band_risk(silver: DataFrame) -> DataFrame:
+def dti_band_risk(silver: DataFrame, ordered: bool = True) -> DataFrame:
     return mart(
         silver,
         [_loans(), _default_rate()],
         group=[classify.dti_band("dti").alias("dti_band")],
         where=F.col("dti").isNotNull() & (F.col("dti") >= 0),
         order=[F.col("dti_band")],
+        ordered=ordered,
     )
 
 
