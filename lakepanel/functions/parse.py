@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..constants import NUMERIC_ID_PATTERN
+
 ColumnOrName = Column | str
 
 
@@ -73,5 +75,6 @@ def has_text(col: ColumnOrName) -> Column:
     return c.isNotNull() & (F.length(c) > 0)
 
 
-def is_numeric_id(col: ColumnOrName, pattern: str = "^[0-9]+$") -> Column:
+def is_numeric_id(col: ColumnOrName, pattern: str = NUMERIC_ID_PATTERN) -> Column:
+    """True for an all-digit id (drops summary footers and CSV fragments)."""
     return _c(col).rlike(pattern)

@@ -22,9 +22,8 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from ..constants import NUMERIC_ID_PATTERN
+from ..functions.parse import is_numeric_id
 from ..operators.columns import stamp_ingest
 from ..operators.partitioning import spread
 from ..sources.tables import read_table, register_tables
@@ -202,7 +201,7 @@ def loans_bronze(spark: SparkSession, sf_dir: str, source: str = "orders.parquet
     register_tables(spark, sf_dir, ["customer", "nation", "region"])
     spread(read_table(spark, sf_dir, "orders")).createOrReplaceTempView("orders")
     raw = spark.sql(loans_raw_sql(SPARK))
-    return stamp_ingest(raw.where(F.col("id").rlike(NUMERIC_ID_PATTERN)), source)
+    return stamp_ingest(raw.where(is_numeric_id("id")), source)
 
 
 def complaints_bronze(spark: SparkSession, sf_dir: str, source: str = "lineitem.parquet") -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..constants import NUMERIC_ID_PATTERN
+from ..functions.parse import is_numeric_id
 from ..operators.columns import stamp_ingest
 
 # Quoted fields may hold the delimiter, doubled quotes and line breaks.
@@ -75,7 +76,7 @@ def bronze_csv(
     """
     df = read_quoted_csv(spark, path)
     if id_col is not None:
-        df = df.where(F.col(f"`{id_col}`").rlike(id_pattern))
+        df = df.where(is_numeric_id(F.col(f"`{id_col}`"), id_pattern))
     return stamp_ingest(df, source)
 
 

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .files import read_ndjson
+
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """Full refresh of a Parquet table (column names may hold spaces or ``?``)."""
@@ -57,5 +59,5 @@ def land_month_partitions(df: DataFrame, path: str, date_col: str, key: str = "d
 
 def read_month_partitions(spark: SparkSession, path: str, schema: str, key: str = "dt") -> DataFrame:
     """Read a ``dt=yyyy-MM`` landing back; the month key stays text."""
-    full_schema = f"{schema}, {key} string"
-    return spark.read.schema(full_schema).json(path)
+    # Declaring the key as text keeps "1996-03" from being read as a date.
+    return read_ndjson(spark, path, f"{schema}, {key} string")

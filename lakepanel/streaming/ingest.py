@@ -33,6 +33,7 @@ from pyspark.sql.types import (
 )
 
 from ..constants import NUMERIC_ID_PATTERN
+from ..functions.parse import is_numeric_id
 from ..operators.columns import stamp_ingest
 from ..operators.union import union_by_name
 from ..sources.files import QUOTED_MULTILINE_CSV
@@ -80,7 +81,7 @@ class EvolvingCsvIngest:
             schema = StructType([StructField(c, StringType(), True) for c in header])
             df = spark.read.options(**QUOTED_MULTILINE_CSV).schema(schema).csv(files)
             if self.id_col is not None:
-                df = df.where(F.col(f"`{self.id_col}`").rlike(self.id_pattern))
+                df = df.where(is_numeric_id(F.col(f"`{self.id_col}`"), self.id_pattern))
             frames.append(stamp_ingest(df))
         out = union_by_name(*frames)
         out.write.mode("overwrite").parquet(f"{self.bronze_path.rstrip('/')}/batch_id={batch_id}")

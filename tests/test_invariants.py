@@ -79,3 +79,15 @@ def test_dedup_matches_brute_force_for_any_input_and_partitioning(spark, rows, p
         if k not in best or rank < best[k][0]:
             best[k] = (rank, (k, v, w))
     assert got == sorted(b for _, b in best.values())
+
+
+def test_rules_observed_on_the_write_equal_the_explicit_report(spark):
+    from lakepanel.plans import medallion
+
+    observed = medallion.rule_counts(spark, SF01)
+    rep = Q.rules_report(spark, SF01).first()
+    assert observed["rows"] == rep["input_rows"]
+    assert observed["failed_core_not_null"] == rep["hard_core_not_null"]
+    assert observed["failed_positive_amount"] == rep["hard_positive_amount"]
+    assert observed["failed_plausible_rate"] == rep["soft_plausible_rate"]
+    assert observed["failed_plausible_dti"] == rep["soft_plausible_dti"]

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from lakepanel.operators import calendar, columns, dedup, profile, quality, union
+from lakepanel.operators import aggregate, calendar, columns, dedup, profile, quality, union
 from lakepanel.operators.columns import MissingColumnsError
 from lakepanel.operators.quality import RowFloorError
 
@@ -138,3 +138,32 @@ def test_union_by_name_fills_missing_columns(spark):
     b = spark.createDataFrame([("y", 2)], "v string, id long")
     got = sorted(tuple(r) for r in union.union_by_name(a, b).collect())
     assert got == [(1, "x", "p"), (2, "y", None)]
+
+
+def test_schema_frame_and_rows_frame(spark):
+    from lakepanel.sources.tables import rows_frame
+
+    df = rows_frame(spark, [(1, "a", 2.5)], "id long, `Date received` string, amt double")
+    got = [tuple(r) for r in profile.schema_frame(spark, df).orderBy("position").collect()]
+    assert got == [("id", "bigint", 0), ("Date received", "string", 1), ("amt", "double", 2)]
+
+
+def test_bounded_broadcast_only_below_its_bound(spark):
+    from lakepanel.operators.joins import bounded_broadcast
+
+    small = spark.range(10).withColumnRenamed("id", "k")
+    big = spark.range(1000).withColumnRenamed("id", "k")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan_small = big.join(bounded_broadcast(small, 100), "k")._jdf.queryExecution().executedPlan().toString()
+        plan_big = small.join(bounded_broadcast(big, 100), "k")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in plan_small
+    assert "BroadcastHashJoin" not in plan_big and "SortMergeJoin" in plan_big
+
+
+def test_multi_count_is_one_pass(spark):
+    df = spark.range(10)
+    out = aggregate.multi_count(df, {"even": F.col("id") % 2 == 0, "big": F.col("id") > 6})
+    assert out.first().asDict() == {"even": 5, "big": 3}
