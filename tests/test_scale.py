@@ -122,3 +122,53 @@ def test_panel_with_a_hot_state_matches_brute_force(spark):
     for c in ("loans", "bad_loans", "resolved_loans"):
         assert (m[c] == m[f"{c}_exp"]).all()
     assert seg.loc[seg.state == "HOT", "loans"].sum() == n // 3
+
+
+def _hash_shuffle_records(df) -> list[int]:
+    """Run ``df`` (collect runs its own plan) and read each hash exchange's
+    ``shuffleRecordsWritten`` from AQE's final plan."""
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().executedPlan()
+    seen, out = set(), []
+
+    def walk(node):
+        name = node.nodeName()
+        if name.endswith("QueryStage"):  # a stage is a leaf holding its plan
+            inner = node.plan()
+            if name == "ShuffleQueryStage" and "hashpartitioning" in inner.toString().splitlines()[0]:
+                if inner.id() not in seen:
+                    seen.add(inner.id())
+                    out.append(inner.metrics().apply("shuffleRecordsWritten").value())
+            walk(inner)
+        kids = node.children()
+        for i in range(kids.size()):
+            walk(kids.apply(i))
+
+    walk(final)
+    return out
+
+
+def test_hot_key_crosses_the_dedup_shuffle_as_one_row_per_map_task(spark):
+    n, hot, tasks = 30_000, 10_000, 8
+    # Key 0 holds a third of all rows; every other key is unique.
+    df = spark.range(n).select(
+        F.when(F.col("id") < hot, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("v")
+    ).repartition(tasks)
+    records = _hash_shuffle_records(dedup.latest_per_key(df, ["k"], ["-v"]))
+    assert len(records) == 1
+    # Without the map-side limit all 30,000 rows would be shuffled.
+    assert n - hot < records[0] <= n - hot + tasks
+
+
+def test_hot_state_crosses_the_segment_shuffle_as_one_row_per_group_and_task(spark):
+    tasks = 8
+    rows = spark.range(24_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.concat(F.lit("S"), (F.col("id") % 7).cast("string")))
+        .alias("addr_state"),
+        F.make_date(F.lit(2015), (F.col("id") % 12 + 1).cast("int"), F.lit(1)).alias("issue_date"),
+        (F.col("id") % 5 == 0).cast("int").alias("is_default"),
+        (F.col("id") % 2 == 0).cast("int").alias("is_resolved"),
+    ).repartition(tasks)
+    groups = 8 * 12  # HOT + S0..S6, twelve months
+    records = _hash_shuffle_records(panel.loan_segments(rows))
+    assert records and records[0] <= groups * tasks
