@@ -4,7 +4,8 @@ The library's inputs are two messy text sources (loans, complaints).  To run
 the whole bronze -> silver -> gold chain on the driver tables, each order
 becomes a loan application and each line item a complaint, rendered as text
 the way the source files spell them (``"Dec-2015"``, ``"13.5%"``,
-``" 36 months"``, ``"10+ years"``, ``"13.0"`` counters, footer rows, blanks).
+``" 36 months"``, ``"10+ years"``, ``"13.0"`` counters, blanks, and one
+funding-total footer row per region file).
 
 The derivation is one SQL template rendered for two dialects, Spark SQL and
 DuckDB, so both engines see byte-identical raw text; everything after the
@@ -80,6 +81,14 @@ WITH base AS (
   JOIN customer c ON o.o_custkey = c.c_custkey
   JOIN nation n ON c.c_nationkey = n.n_nationkey
   JOIN region r ON n.n_regionkey = r.r_regionkey
+), with_footers AS (
+  -- Every order is a loan; each region's file also ends with one
+  -- funding-total footer row, which the numeric-id rule removes.
+  SELECT *, FALSE AS footer FROM base
+  UNION ALL
+  SELECT max(k), max(st), max(od), max(pr), max(ck), max(cname), max(seg), region,
+         sum(price), max(funded), max(bal), TRUE
+  FROM base GROUP BY region
 ), graded AS (
   SELECT *,
     CASE WHEN k % 211 = 10 THEN NULL
@@ -90,10 +99,10 @@ WITH base AS (
             ELSE ROUND(funded * 0.3, 2) END AS paid,
     CASE st WHEN 'O' THEN funded WHEN 'F' THEN ROUND(funded * 0.3, 2)
             ELSE ROUND(funded * 0.2, 2) END AS prncp
-  FROM base
+  FROM with_footers
 )
 SELECT
-  CASE WHEN k % 500 = 499 THEN 'Total amount funded in policy code 1: ' || CAST(price AS STRING)
+  CASE WHEN footer THEN 'Total amount funded in policy code 1: ' || CAST(price AS STRING)
        ELSE CAST(k AS STRING) END AS id,
   CASE WHEN k % 97 = 5 THEN {d.iso_month('od')}
        WHEN k % 7 = 3 THEN lower({d.month_name('od')})
