@@ -38,6 +38,31 @@ from .complaints import silver_complaints
 from .loans import deduped_loans
 
 
+# Catalog comment of every table the builder writes (the layer goes into the
+# ``quality`` table property).
+TABLE_COMMENTS = {
+    "bronze_loans": "Raw loan applications as landed text, footer rows removed, with ingest stamps",
+    "bronze_complaints": "Raw consumer complaints as landed text (bulk and monthly history), with ingest stamps",
+    "silver_loan_candidates": "Typed, de-duplicated loans before the hard rules",
+    "silver_loans": "Typed, cleaned, de-duplicated loans",
+    "silver_loans_rejected": "De-duplicated loans dropped by a hard rule, with each rule's result",
+    "silver_complaints": "Typed, classified, de-duplicated complaints",
+    "gold_portfolio_kpis": "Portfolio headline numbers (one row)",
+    "gold_risk_by_grade": "Volume, pricing, default and loss by loan grade",
+    "gold_vintage": "Volume, pricing and default rate by issue year",
+    "gold_origination_trend": "Monthly origination volume and pricing",
+    "gold_geo_risk": "Volume, pricing and default rate by state",
+    "gold_purpose_risk": "Volume, pricing and default rate by loan purpose",
+    "gold_fico_band_risk": "Default rate and pricing by credit-score band",
+    "gold_dti_band_risk": "Default rate by debt-to-income band",
+    "gold_loan_segments": "Loans, defaults and resolved loans per state and issue month",
+    "gold_complaint_segments": "Lending-related complaints per state and month",
+    "gold_state_month_panel": "Loan default rate vs complaint pressure per state and month",
+    "gold_state_rollup": "Default rate and complaint pressure per state (ratio of summed counts)",
+    "gold_panel_correlation": "Pearson r of complaint pressure vs default rate, by cell and by state",
+}
+
+
 @dataclass
 class Lakehouse:
     spark: SparkSession
@@ -48,6 +73,7 @@ class Lakehouse:
     # ------------------------------------------------------------- storage
     def _write(self, df: DataFrame, name: str, layer: str, comment: str | None = None) -> None:
         if self.database:
+            comment = comment or TABLE_COMMENTS.get(name)
             save_table(df, f"{self.database}.{name}", comment=comment, quality=layer)
         else:
             write_table(df, f"{self.root.rstrip('/')}/{layer}/{name}")
@@ -107,10 +133,8 @@ class Lakehouse:
         # Silver and its quarantine are two filters over the stored candidates:
         # every candidate lands in exactly one of them.
         stored = self.read("silver_loan_candidates", "silver")
-        self._write(apply_hard_rules(stored, hard_rules), "silver_loans", "silver",
-                    "Typed, cleaned, de-duplicated loans")
-        self._write(rejected_rows(stored, hard_rules), "silver_loans_rejected", "silver",
-                    "De-duplicated loans dropped by a hard rule")
+        self._write(apply_hard_rules(stored, hard_rules), "silver_loans", "silver")
+        self._write(rejected_rows(stored, hard_rules), "silver_loans_rejected", "silver")
         silver = self.read("silver_loans", "silver")
         for name, build in marts.MARTS.items():
             # Stored unordered; readers sort (row order is not a table property).
@@ -125,8 +149,7 @@ class Lakehouse:
             history = stamp_ingest(files.read_month_files(self.spark, history_glob))
             bulk = union_by_name(bulk, history)
         self._bronze(bulk, "bronze_complaints", row_floor)
-        self._write(silver_complaints(self.read("bronze_complaints", "bronze")), "silver_complaints", "silver",
-                    "Typed, classified, de-duplicated complaints")
+        self._write(silver_complaints(self.read("bronze_complaints", "bronze")), "silver_complaints", "silver")
 
     # ------------------------------------------------------------- panel
     def build_panel(self, min_resolved: int = PANEL_MIN_RESOLVED) -> None:

@@ -271,3 +271,10 @@ def test_lakehouse_catalog_tables_carry_layer_property(spark, tmp_path_factory):
     props = {r["key"]: r["value"] for r in spark.sql("SHOW TBLPROPERTIES lp_test.silver_loans").collect()}
     assert props.get("quality") == "silver"
     assert spark.table("lp_test.gold_risk_by_grade").count() == 2
+    # Every table carries its layer and a comment.
+    for table, layer in [("bronze_loans", "bronze"), ("silver_loans_rejected", "silver"),
+                         ("gold_risk_by_grade", "gold")]:
+        props = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES lp_test.{table}").collect()}
+        info = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED lp_test.{table}").collect()}
+        assert props.get("quality") == layer
+        assert info.get("Comment"), table
