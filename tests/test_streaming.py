@@ -32,3 +32,16 @@ def test_rerun_new_file_and_new_middle_column(spark, tmp_dir):
     assert sorted(got) == ["1", "2"]
     assert got["2"]["desc"] == "foo" and got["2"]["amt"] == "7" and got["2"]["note"] == "N"
     assert got["1"]["note"] is None
+
+
+def test_a_replayed_batch_rewrites_itself(spark, tmp_dir):
+    # After a driver failure between a batch's write and its commit, the stream
+    # replays the same batch id with the same files: the output must not double.
+    ing = EvolvingCsvIngest(f"{tmp_dir}/landing/*/*.csv", f"{tmp_dir}/bronze", f"{tmp_dir}/ckpt", id_col="id")
+    land(f"{tmp_dir}/landing/m1/a.csv", ["id", "desc"], [["1", "x"], ["2", "y"]])
+    land(f"{tmp_dir}/landing/m1/b.csv", ["id", "note", "desc"], [["3", "n", "z"]])
+    paths = spark.createDataFrame([(f"file:{tmp_dir}/landing/m1/a.csv",), (f"file:{tmp_dir}/landing/m1/b.csv",)], "path string")
+    ing._write_batch(paths, 0)
+    ing._write_batch(paths, 0)  # the replay
+    got = sorted((r["id"], r["desc"], r["note"]) for r in ing.read_bronze(spark).collect())
+    assert got == [("1", "x", None), ("2", "y", None), ("3", "z", "n")]
