@@ -91,3 +91,25 @@ def test_rules_observed_on_the_write_equal_the_explicit_report(spark):
     assert observed["failed_positive_amount"] == rep["hard_positive_amount"]
     assert observed["failed_plausible_rate"] == rep["soft_plausible_rate"]
     assert observed["failed_plausible_dti"] == rep["soft_plausible_dti"]
+
+
+def test_a_failed_layer_write_is_rebuilt_in_a_fresh_folder(spark):
+    import pytest
+
+    from lakepanel.plans import medallion
+
+    calls = []
+
+    def write(path):
+        calls.append(path)
+        if len(calls) == 1:
+            raise RuntimeError("job failed mid-write")
+        spark.range(3).write.parquet(path)
+
+    with pytest.raises(RuntimeError):
+        medallion.stored(spark, "test-retry", "scratch/retry", write)
+    path = medallion.stored(spark, "test-retry", "scratch/retry", write)
+    assert calls[0] != calls[1] and path == calls[1]
+    assert spark.read.parquet(path).count() == 3
+    # Stored once: later callers reuse it.
+    assert medallion.stored(spark, "test-retry", "scratch/retry", write) == path and len(calls) == 2
