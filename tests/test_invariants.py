@@ -1,11 +1,13 @@
 """Invariants across registered queries (sf0.01) and a dedup property test."""
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from lakepanel import queries as Q
 from lakepanel.operators import dedup
+from lakepanel.plans import medallion
 
 from conftest import SF01
 
@@ -82,8 +84,6 @@ def test_dedup_matches_brute_force_for_any_input_and_partitioning(spark, rows, p
 
 
 def test_rules_observed_on_the_write_equal_the_explicit_report(spark):
-    from lakepanel.plans import medallion
-
     observed = medallion.rule_counts(spark, SF01)
     rep = Q.rules_report(spark, SF01).first()
     assert observed["rows"] == rep["input_rows"]
@@ -94,9 +94,6 @@ def test_rules_observed_on_the_write_equal_the_explicit_report(spark):
 
 
 def test_a_failed_layer_write_is_rebuilt_in_a_fresh_folder(spark):
-    import pytest
-
-    from lakepanel.plans import medallion
 
     calls = []
 
