@@ -45,3 +45,16 @@ def test_a_replayed_batch_rewrites_itself(spark, tmp_dir):
     ing._write_batch(paths, 0)  # the replay
     got = sorted((r["id"], r["desc"], r["note"]) for r in ing.read_bronze(spark).collect())
     assert got == [("1", "x", None), ("2", "y", None), ("3", "z", "n")]
+
+
+def test_a_backlog_drains_in_bounded_batches(spark, tmp_dir):
+    # availableNow with maxFilesPerTrigger=1: three files land as three batches,
+    # so one batch never brings more than one path to the driver.
+    ing = EvolvingCsvIngest(f"{tmp_dir}/landing/*/*.csv", f"{tmp_dir}/bronze", f"{tmp_dir}/ckpt",
+                            id_col="id", max_files_per_trigger=1)
+    for i in range(3):
+        land(f"{tmp_dir}/landing/m{i}/f.csv", ["id", "desc"], [[str(i), f"row {i}"]])
+    ing.run(spark)
+    bronze = ing.read_bronze(spark)
+    assert sorted(r["id"] for r in bronze.collect()) == ["0", "1", "2"]
+    assert bronze.select("batch_id").distinct().count() == 3
