@@ -10,7 +10,7 @@ from .parse import ColumnOrName, _c
 
 
 def age_years(later: ColumnOrName, earlier: ColumnOrName, digits: int = 1) -> Column:
-    """Whole years between two dates, ``round(months_between / 12, digits)``."""
+    """Years between two dates (fractional), ``round(months_between / 12, digits)``."""
     return F.round(F.months_between(_c(later), _c(earlier)) / 12, digits)
 
 
