@@ -5,6 +5,7 @@ is chosen so that Java's and Python's number grammars agree on it (ASCII
 digits, '.', '%', '+', '<', blanks, and letters that cannot spell nan/inf).
 """
 
+import datetime as dt
 import re
 
 from hypothesis import HealthCheck, given, settings
@@ -102,3 +103,30 @@ def test_ordered_classifiers(spark, products, scores):
     df = spark.createDataFrame([(s,) for s in scores], "x double")
     bands = [r[0] for r in df.select(classify.fico_band(F.col("x"))).collect()]
     assert bands == [_fico(s) for s in scores]
+
+
+MONTHS = ["Jan", "feb", "MAR", "Apr", "may", "Jun", "jUl", "Aug", "Sep", "Oct", "Nov", "Dec", "Dex", "Sept"]
+MONTH_TEXT = st.one_of(
+    st.none(),
+    st.builds(lambda m, y, pre, post: f"{pre}{m}-{y}{post}",
+              st.sampled_from(MONTHS), st.integers(1900, 2099),
+              st.sampled_from(["", "", "", " "]), st.sampled_from(["", "", "", " "])),
+    st.builds(lambda y, m: f"{y}-{m:02d}", st.integers(1990, 2030), st.integers(1, 12)),  # ISO month: not this format
+)
+
+
+def _month_name_date(text):
+    if text is None:
+        return None
+    try:
+        parsed = dt.datetime.strptime(text, "%b-%Y")  # %b is case-insensitive
+    except ValueError:
+        return None
+    return parsed.date()
+
+
+@SETTINGS
+@given(values=st.lists(MONTH_TEXT, min_size=1, max_size=40))
+def test_month_name_dates(spark, values):
+    got = [g[0] for g in _eval(spark, values, parse.month_name_date("s"))]
+    assert got == [_month_name_date(v) for v in values], list(zip(values, got))
