@@ -186,11 +186,10 @@ QUERIES: dict[str, Query] = {
 
 
 def queries() -> dict[str, Query]:
+    """Every registered query (the registry is filled in below, by section)."""
     return dict(QUERIES)
 
 
-
-
 # ---------------------------------------------------------------- quality Q1-Q5
 def rules_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hard and soft rule failures over de-duplicated loans (null = fail)."""
