@@ -110,3 +110,12 @@ def test_a_failed_layer_write_is_rebuilt_in_a_fresh_folder(spark):
     assert spark.read.parquet(path).count() == 3
     # Stored once: later callers reuse it.
     assert medallion.stored(spark, "test-retry", "scratch/retry", write) == path and len(calls) == 2
+
+
+def test_stored_layers_live_under_the_configured_checkpoint_folder(spark):
+    # The test session names spark.checkpoint.dir, as a cluster would: every
+    # stored layer must be written below it, never in a folder of our own.
+    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir").rstrip("/")
+    path = medallion.stored(spark, "test-where", "scratch/where", lambda p: spark.range(1).write.parquet(p))
+    assert path.removeprefix("file:").startswith(configured.removeprefix("file:"))
+    assert spark.sparkContext.getCheckpointDir().removeprefix("file:").startswith(configured.removeprefix("file:"))
