@@ -16,13 +16,17 @@ def _passes(rule: str) -> Column:
     return F.coalesce(F.expr(rule), F.lit(False))
 
 
+def passes_all(rules: Mapping[str, str]) -> Column:
+    """True when a row passes every rule (a null rule result is a failure)."""
+    cond = F.lit(True)
+    for rule in rules.values():
+        cond = cond & _passes(rule)
+    return cond
+
+
 def apply_hard_rules(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
     """Keep only rows that pass every rule (null = fail)."""
-    cond = None
-    for rule in rules.values():
-        p = _passes(rule)
-        cond = p if cond is None else cond & p
-    return df if cond is None else df.filter(cond)
+    return df.filter(passes_all(rules)) if rules else df
 
 
 def rejected_rows(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:

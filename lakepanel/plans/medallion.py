@@ -5,11 +5,11 @@ read back, so every gold product is a pruned scan of stored silver instead
 of a re-run of the parse/dedup lineage, and a lost executor only costs the
 tasks of the stage it was running.
 
-Loans are stored in two steps: the de-duplicated candidates (before any
-rule), then silver as the hard-rule filter over them.  The rule report and
-the quarantine of dropped rows are then pruned scans of the candidates, not
-a second run of the parse and dedup shuffle.  Rule failures are counted by
-an ``Observation`` on the candidates write itself (no extra pass).
+Loans are stored once, as the de-duplicated candidates (before any rule)
+partitioned by their hard-rule verdict.  Silver, the quarantine and the rule
+report are pruned scans of that one table, not a second write or a second
+run of the parse and dedup shuffle.  Rule failures are counted by an
+``Observation`` on the candidates write itself (no extra pass).
 """
 
 from __future__ import annotations
@@ -18,9 +18,10 @@ import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..constants import LOAN_HARD_RULES, LOAN_SOFT_RULES
-from ..operators.quality import apply_hard_rules, observe_rules
+from ..operators.quality import observe_rules, passes_all
 from ..session import work_dir
 from ..sources.sinks import write_table
 from . import driver_views
@@ -62,22 +63,44 @@ def _materialise(spark: SparkSession, sf_dir: str, name: str, build, layer: str
     return spark.read.parquet(stored(spark, sf_dir, f"{layer}/{name}", write))
 
 
-def loan_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stored de-duplicated loans before the hard rules (driver-table loan view)."""
-    def build():
-        # Rule failures are counted on the same pass that writes the candidates.
+# The stored loan candidates are partitioned by their hard-rule verdict: silver
+# is the ``pass`` partition and the quarantine the ``fail`` one.  Both are read
+# by partition pruning, so silver is never written a second time.
+RULES_PARTITION = "hard_rules"
+
+
+def _loan_candidates_path(spark: SparkSession, sf_dir: str) -> str:
+    def write(path: str):
         candidates = deduped_loans(driver_views.loans_bronze(spark, sf_dir))
-        return observe_rules(candidates, {**LOAN_HARD_RULES, **LOAN_SOFT_RULES}, "loan_rules")
+        # Rule failures are counted on the same pass that writes the candidates.
+        observed, obs = observe_rules(candidates, {**LOAN_HARD_RULES, **LOAN_SOFT_RULES}, "loan_rules")
+        verdict = F.when(passes_all(LOAN_HARD_RULES), F.lit("pass")).otherwise(F.lit("fail"))
+        write_table(observed.withColumn(RULES_PARTITION, verdict), path, partition_by=[RULES_PARTITION])
+        return obs.get
 
-    return _materialise(spark, sf_dir, "loan_candidates", build)
+    return stored(spark, sf_dir, "silver/loan_candidates", write)
+
+
+def _loan_partition(spark: SparkSession, sf_dir: str, verdict: str | None) -> DataFrame:
+    df = spark.read.parquet(_loan_candidates_path(spark, sf_dir))
+    if verdict is not None:
+        df = df.where(F.col(RULES_PARTITION) == verdict)
+    return df.drop(RULES_PARTITION)
+
+
+def loan_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored de-duplicated loans before the hard rules (driver-table loan view)."""
+    return _loan_partition(spark, sf_dir, None)
 
 
 def loans_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stored loan silver: the candidates that pass every hard rule."""
-    def build():
-        return apply_hard_rules(loan_candidates(spark, sf_dir), LOAN_HARD_RULES), None
+    """Loan silver: the candidates that pass every hard rule (one partition)."""
+    return _loan_partition(spark, sf_dir, "pass")
+
 
-    return _materialise(spark, sf_dir, "loans", build)
+def loan_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The candidates a hard rule drops (the other partition)."""
+    return _loan_partition(spark, sf_dir, "fail")
 
 
 def complaints_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:

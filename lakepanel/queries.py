@@ -141,9 +141,10 @@ def classify_family(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rules_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     """De-duplicated loans the hard rules drop, with the rule results (null = fail)."""
-    deduped = medallion.loan_candidates(spark, sf_dir)
+    # Only the quarantine partition is read; rejected_rows re-derives each rule.
+    quarantine = medallion.loan_quarantine(spark, sf_dir)
     flags = [f"pass_{n}" for n in LOAN_HARD_RULES]
-    return quality.rejected_rows(deduped, LOAN_HARD_RULES).select(
+    return quality.rejected_rows(quarantine, LOAN_HARD_RULES).select(
         "loan_id", "loan_amnt", "grade", "loan_status", *flags
     )
 

@@ -21,6 +21,10 @@ SESSION_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.compression.codec": "zstd",
+    # Partitioned writes keep up to two files open per task instead of sorting
+    # each task's rows by the partition value first (a verdict has two values,
+    # a rebalanced month landing mostly one); beyond that Spark sorts.
+    "spark.sql.maxConcurrentOutputFileWriters": "2",
 }
 
 

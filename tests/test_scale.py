@@ -172,3 +172,11 @@ def test_hot_state_crosses_the_segment_shuffle_as_one_row_per_group_and_task(spa
     groups = 8 * 12  # HOT + S0..S6, twelve months
     records = _hash_shuffle_records(panel.loan_segments(rows))
     assert records and records[0] <= groups * tasks
+
+
+@pytest.mark.parametrize("name,verdict", [("silver_loans", "pass"), ("mart_grade", "pass"), ("rules_drop", "fail")])
+def test_loan_silver_and_quarantine_are_pruned_partitions(spark, name, verdict):
+    # Candidates are stored once, partitioned by the hard-rule verdict; silver
+    # and quarantine are read by partition pruning, never rewritten.
+    plan = _plan(Q.queries()[name](spark, SF01))
+    assert re.search(rf"PartitionFilters: \[[^\]]*\(hard_rules#\d+ = {verdict}\)", plan), plan
