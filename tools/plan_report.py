@@ -97,7 +97,12 @@ def summarize(spark, plan: str) -> dict:
             schema = re.search(r"ReadSchema: struct<(.*)>", node)
             ncols = len(schema.group(1).split(",")) if schema and schema.group(1) else 0
             pushed = re.search(r"PushedFilters: \[(.*?)\]\n", node)
-            scans.append((label, f"{ncols}/{width}" if width else str(ncols), pushed.group(1) if pushed else ""))
+            filters = pushed.group(1) if pushed else ""
+            parts = re.search(r"PartitionFilters: \[(.*?)\]\n", node)
+            if parts and parts.group(1):
+                pruned = re.sub(r"#\d+", "", parts.group(1))
+                filters = "; ".join(x for x in (f"partitions {pruned}", filters) if x)
+            scans.append((label, f"{ncols}/{width}" if width else str(ncols), filters))
         elif head.startswith("WindowGroupLimit") and "Partial" in node:
             partial_limit = True
     return {"shuffles": shuffles, "joins": joins, "scans": scans, "partial_limit": partial_limit}
