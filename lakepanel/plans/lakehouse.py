@@ -10,10 +10,11 @@ copy, so every product is a pruned scan of its input layer.
   floor guards against a broken multi-line parse.  Multi-line CSV is read by
   one task per file, so bronze is redistributed on write (REBALANCE) and all
   later stages get full parallelism from the Parquet copy.
-* silver: typed and de-duplicated candidates are stored once, with hard and
-  soft rule failures counted by an ``Observation`` on that write (no extra
-  pass); silver keeps the candidates that pass every hard rule and a
-  quarantine table keeps the rest, each with its rule results.
+* silver: typed and de-duplicated candidates are stored once, partitioned by
+  their hard-rule verdict, with hard and soft rule failures counted by an
+  ``Observation`` on that write (no extra pass).  Silver is the ``pass``
+  partition and the quarantine the ``fail`` one (with each rule's result):
+  views in a catalog, pruned reads of the Parquet folder otherwise.
 * gold: eight loan marts, the two state x month segments, the panel, its
   state roll-up and the correlations.
 """
@@ -27,11 +28,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import LOAN_HARD_RULES, LOAN_SOFT_RULES, PANEL_MIN_RESOLVED
-from ..operators.quality import apply_hard_rules, check_row_floor, observe_rules, rejected_rows
+from ..operators.quality import check_row_floor, observe_rules, passes_all, rejected_rows
 from ..operators.union import union_by_name
 from ..operators.columns import stamp_ingest
 from ..sources import files
-from ..sources.sinks import save_table, write_table
+from ..sources.sinks import save_table, save_view, write_table
 from ..streaming.ingest import EvolvingCsvIngest
 from . import marts, panel
 from .complaints import silver_complaints
@@ -63,22 +64,33 @@ TABLE_COMMENTS = {
 }
 
 
+# The loan candidates are stored once, partitioned by their hard-rule verdict;
+# silver and its quarantine are that table's two partitions (catalog views in
+# database mode), so silver is never written a second time.
+RULES_PARTITION = "hard_rules"
+VERDICT_OF = {"silver_loans": "pass", "silver_loans_rejected": "fail"}
+
+
 @dataclass
 class Lakehouse:
     spark: SparkSession
     root: str                       # folder for Parquet layers
     database: str | None = None     # write catalog tables instead, e.g. "risk"
     report: dict = field(default_factory=dict)
+    hard_rules: Mapping[str, str] = field(default_factory=lambda: dict(LOAN_HARD_RULES))
 
     # ------------------------------------------------------------- storage
-    def _write(self, df: DataFrame, name: str, layer: str, comment: str | None = None) -> None:
+    def _write(self, df: DataFrame, name: str, layer: str, comment: str | None = None,
+               partition_by: list[str] | None = None) -> None:
         if self.database:
             comment = comment or TABLE_COMMENTS.get(name)
-            save_table(df, f"{self.database}.{name}", comment=comment, quality=layer)
+            save_table(df, f"{self.database}.{name}", comment=comment, quality=layer, partition_by=partition_by)
         else:
-            write_table(df, f"{self.root.rstrip('/')}/{layer}/{name}")
+            write_table(df, f"{self.root.rstrip('/')}/{layer}/{name}", partition_by=partition_by)
 
     def read(self, name: str, layer: str) -> DataFrame:
+        if name in VERDICT_OF and not self.database:
+            return self._verdict(VERDICT_OF[name])
         if self.database:
             return self.spark.table(f"{self.database}.{name}")
         reader = self.spark.read
@@ -87,6 +99,24 @@ class Lakehouse:
             reader = reader.option("mergeSchema", "true")
         return reader.parquet(f"{self.root.rstrip('/')}/{layer}/{name}")
 
+    def _verdict(self, verdict: str) -> DataFrame:
+        """One verdict partition of the stored candidates (read by partition pruning)."""
+        part = self.read("silver_loan_candidates", "silver").where(F.col(RULES_PARTITION) == verdict)
+        part = part.drop(RULES_PARTITION)
+        return part if verdict == "pass" else rejected_rows(part, self.hard_rules)
+
+    def _verdict_views(self) -> None:
+        """Catalog views for silver and the quarantine over the partitioned candidates."""
+        cands = f"{self.database}.silver_loan_candidates"
+        cols = ", ".join(f"`{c}`" for c in self.spark.table(cands).columns if c != RULES_PARTITION)
+        flags = ", ".join(f"coalesce(({rule}), false) AS `pass_{n}`" for n, rule in self.hard_rules.items())
+        queries = {
+            "silver_loans": f"SELECT {cols} FROM {cands} WHERE {RULES_PARTITION} = 'pass'",
+            "silver_loans_rejected": f"SELECT {cols}, {flags} FROM {cands} WHERE {RULES_PARTITION} = 'fail'",
+        }
+        for name, query in queries.items():
+            save_view(self.spark, f"{self.database}.{name}", query, TABLE_COMMENTS.get(name), "silver")
+
     def _bronze(self, df: DataFrame, name: str, row_floor: int | None) -> None:
         obs = Observation(f"{name}_rows")
         self._write(df.observe(obs, F.count(F.lit(1)).alias("rows")).hint("rebalance"), name, "bronze")
@@ -128,13 +158,14 @@ class Lakehouse:
             self._bronze(files.bronze_csv(self.spark, csv_glob, id_col="id"), "bronze_loans", row_floor)
         candidates = deduped_loans(self.read("bronze_loans", "bronze"))
         observed, obs = observe_rules(candidates, {**hard_rules, **soft_rules}, "loan_rules")
-        self._write(observed, "silver_loan_candidates", "silver")
+        # One write: every candidate lands in exactly one verdict partition.
+        verdict = F.when(passes_all(hard_rules), F.lit("pass")).otherwise(F.lit("fail"))
+        self._write(observed.withColumn(RULES_PARTITION, verdict), "silver_loan_candidates", "silver",
+                    partition_by=[RULES_PARTITION])
         self.report["loan_rules"] = obs.get
-        # Silver and its quarantine are two filters over the stored candidates:
-        # every candidate lands in exactly one of them.
-        stored = self.read("silver_loan_candidates", "silver")
-        self._write(apply_hard_rules(stored, hard_rules), "silver_loans", "silver")
-        self._write(rejected_rows(stored, hard_rules), "silver_loans_rejected", "silver")
+        self.hard_rules = dict(hard_rules)
+        if self.database:
+            self._verdict_views()
         silver = self.read("silver_loans", "silver")
         for name, build in marts.MARTS.items():
             # Stored unordered; readers sort (row order is not a table property).

@@ -20,9 +20,26 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
     writer.parquet(path)
 
 
-def save_table(df: DataFrame, name: str, comment: str | None = None, quality: str | None = None) -> None:
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def save_view(spark: SparkSession, name: str, query: str, comment: str | None = None,
+              quality: str | None = None) -> None:
+    """A catalog view over stored tables (no data written), with comment and layer property."""
+    about = f" COMMENT {_quoted(comment)}" if comment else ""
+    spark.sql(f"CREATE OR REPLACE VIEW {name}{about} AS {query}")
+    if quality:
+        spark.sql(f"ALTER VIEW {name} SET TBLPROPERTIES ('quality' = {_quoted(quality)})")
+
+
+def save_table(df: DataFrame, name: str, comment: str | None = None, quality: str | None = None,
+               partition_by: list[str] | None = None) -> None:
     """Full refresh of a catalog table, with optional comment and layer property."""
-    df.write.mode("overwrite").saveAsTable(name)
+    writer = df.write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.saveAsTable(name)
     spark = df.sparkSession
     if comment:
         spark.sql(f"COMMENT ON TABLE {name} IS '{comment.replace(chr(39), chr(39) * 2)}'")
