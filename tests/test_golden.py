@@ -271,6 +271,11 @@ def test_lakehouse_catalog_tables_carry_layer_property(spark, tmp_path_factory):
     props = {r["key"]: r["value"] for r in spark.sql("SHOW TBLPROPERTIES lp_test.silver_loans").collect()}
     assert props.get("quality") == "silver"
     assert spark.table("lp_test.gold_risk_by_grade").count() == 2
+    # The quarantine view derives each rule's result in SQL, as rejected_rows does.
+    flags = sorted((r["pass_core_not_null"], r["pass_positive_amount"])
+                   for r in spark.table("lp_test.silver_loans_rejected").collect())
+    assert flags == [(False, True), (True, False)]
+    assert spark.table("lp_test.silver_loans").count() == 4
     # Every table carries its layer and a comment.
     for table, layer in [("bronze_loans", "bronze"), ("silver_loans_rejected", "silver"),
                          ("gold_risk_by_grade", "gold")]:
