@@ -13,6 +13,11 @@ from pyspark.sql import DataFrame
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a scan over ``min_partitions`` (default parallelism) when it has fewer splits.
+
+    Call it on a table scan.  ``getNumPartitions`` then only plans the scan's
+    file splits; no job runs and no data is touched.
+    """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df
