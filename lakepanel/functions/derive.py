@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..constants import DEFAULT_STATUS_PATTERN, RESOLVED_STATUS_PATTERN
+from .metrics import dec, dround
 from .parse import ColumnOrName, _c
 
 
@@ -14,17 +15,15 @@ def age_years(later: ColumnOrName, earlier: ColumnOrName, digits: int = 1) -> Co
     return F.round(F.months_between(_c(later), _c(earlier)) / 12, digits)
 
 
-def guarded_ratio(num: Column, den: ColumnOrName, digits: int | None = None) -> Column:
-    """``num / den`` only where ``den > 0``; null otherwise (never divides by zero)."""
-    d = _c(den)
-    q = num / d
-    if digits is not None:
-        q = F.round(q, digits)
-    return F.when(d > 0, q)
-
-
 def installment_to_income(installment: ColumnOrName, annual_inc: ColumnOrName) -> Column:
-    return guarded_ratio(_c(installment) * 12, annual_inc, 4)
+    """``installment * 12 / annual_inc`` to 4 dp; null when income is not positive.
+
+    Computed on exact decimals and rounded half-up (the convention of
+    ``metrics.dround``), so a ratio lying exactly on a rounding edge, such as
+    15.20285, rounds as written instead of by its binary double.
+    """
+    value = dec(installment) * F.lit(12) / dec(annual_inc)
+    return F.when(_c(annual_inc) > 0, dround(value, 4))
 
 
 def status_flag(status: ColumnOrName, pattern: str) -> Column:

@@ -102,7 +102,7 @@ lp AS (
 ld AS (
   SELECT *,
     {sround("datediff('month', earliest_cr_date, issue_date) / 12", 1)} AS credit_age_years,
-    CASE WHEN annual_inc > 0 THEN {sround('installment * 12 / annual_inc', 4)} END AS installment_to_income,
+    CASE WHEN annual_inc > 0 THEN {r6(f"{m('installment')} * 12 / {m('annual_inc')}", 4)} END AS installment_to_income,
     CASE WHEN regexp_matches(lower(loan_status), 'fully paid|charged off|default') THEN 1 ELSE 0 END AS is_resolved,
     CASE WHEN regexp_matches(lower(loan_status), 'charged off|default') THEN 1 ELSE 0 END AS is_default,
     total_pymnt - funded_amnt AS net_cash
