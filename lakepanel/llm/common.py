@@ -48,17 +48,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The UTF-8 bytes of a string column, its n + 1 offsets from 0, and its null mask.
+    """The bytes of a string (UTF-8) or binary column, its n + 1 offsets from 0, and its null mask.
 
     A null counts as an empty text.  No per-row Python: the Arrow buffers are
     viewed as numpy arrays.
     """
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = column.cast(pa.large_string())
+    plain = pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type)
+    column = column.cast(pa.large_binary() if plain else pa.large_string())
     nulls = np.asarray(column.is_null())
     if nulls.any():
-        column = column.fill_null("")
+        column = column.fill_null(b"" if plain else "")
     offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
     data = column.buffers()[2]
     raw = np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, line_dedup, token_count, token_store
+from . import langid, line_dedup, substring_dedup, token_count, token_store
 
 TOKENIZER_JSON = "word_bpe_49k.json"
 TOKENIZER_MODEL = "piece_bpe_32k.model"
@@ -23,6 +23,12 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_boilerplate(_table(spark, sf_dir, "pages"), max_ratio=0.3, min_pages=5)
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words of 50-word windows seen in a smaller document."""
+    out = substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"), width=50)
+    return out.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from the folds that are not held out."""
     docs = _table(spark, sf_dir, "documents").withColumn("held_out", langid.held_out(F.col("doc_id")))
@@ -45,6 +51,7 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_line_dedup": op1_line_dedup,
+        "op2_substring_dedup": op2_substring_dedup,
         "op3_language_id": op3_language_id,
         "op9_token_counts": op9_token_counts,
         "op10_token_store": op10_token_store,
