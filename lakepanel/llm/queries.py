@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, line_dedup, substring_dedup, token_count, token_store
+from . import langid, line_dedup, substring_dedup, suffix_dedup, token_count, token_store
 
 TOKENIZER_JSON = "word_bpe_49k.json"
 TOKENIZER_MODEL = "piece_bpe_32k.model"
@@ -36,6 +36,12 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model, keep=["doc_id", "held_out"])
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of 400-byte strings that start elsewhere too."""
+    out = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"), width=400)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token count of every document."""
     return token_count.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER_MODEL))
@@ -53,6 +59,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_line_dedup": op1_line_dedup,
         "op2_substring_dedup": op2_substring_dedup,
         "op3_language_id": op3_language_id,
+        "op8_suffix_dedup": op8_suffix_dedup,
         "op9_token_counts": op9_token_counts,
         "op10_token_store": op10_token_store,
     }

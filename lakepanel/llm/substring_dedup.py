@@ -95,22 +95,13 @@ def repeated_word_spans(
     gram: int = 8,
     group_limit: int = 20_000,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """``(documents, spans, copies)``: spans are ``doc_id, start, stop`` in words of first copies."""
+    """``(documents, spans, copies)``: spans are ``doc_id, content, start, stop`` in words of first copies."""
     ship_package(docs.sparkSession)
     plan = Plan(word_units, width, gram, group_limit)
-    base = windows.prepared(docs, doc_id, text)
-    copies = windows.first_copies(base.where("doc_id IS NOT NULL AND text IS NOT NULL"))
+    base = windows.prepared(docs, doc_id, text, null_ids=False)
+    copies = windows.first_copies(base)
     rows = stored(windows.runs(base, copies, plan, own_repeats=False), "word_runs")
-    dealt, chunks = windows.grouped(rows, CHUNK_BYTES)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in chunks(batches):
-            row, start, stop = repeated_in_groups(table, width)
-            low = np.asarray(table.column("low"))[row]
-            ids = np.asarray(table.column("doc_id"))[row]
-            yield pa.record_batch([pa.array(ids), pa.array(low + start), pa.array(low + stop)], ["doc_id", "start", "stop"])
-
-    spans = dealt.mapInArrow(run, "doc_id bigint, start bigint, stop bigint")
+    spans = windows.group_spans(rows, CHUNK_BYTES, width, repeated_in_groups)
     hot = windows.hot_spans(rows, width, F.min("doc_id"), F.col("seen") < F.col("doc_id"))
     return base, spans.unionByName(hot), copies
 
@@ -150,6 +141,6 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     return (
         windows.spans_by_document(base, spans, copies)
-        .select("doc_id", "text", "spans", "first_id")
+        .select("given_id", "text", "spans", "first_id")
         .mapInArrow(run, "doc_id bigint, n_words bigint, n_removed bigint, kept_text string, kept_sha256 string")
     )

@@ -211,29 +211,40 @@ def anchors(docs: DataFrame, plan: Plan) -> DataFrame:
     return docs.select("doc_id", "text", "content").mapInArrow(run, "key bigint, content bigint, doc_id bigint, n bigint")
 
 
-def first_copies(docs: DataFrame) -> DataFrame:
-    """``doc_id, first_id, copies`` of the documents whose text occurs more than once."""
-    keyed = docs.select("doc_id", "content", F.xxhash64(F.lit(1), "text").alias("content_2"), F.octet_length("text").alias("size"))
+#: A row is known by its id and its content: ids may repeat.
+ROW = ["doc_id", "content"]
+
+
+def prepared(docs: DataFrame, doc_id: str, text: str, null_ids: bool) -> DataFrame:
+    """``given_id, doc_id, text, content``; with ``null_ids``, rows without an id take part under one stand-in."""
+    given = F.col(doc_id).cast("long")
+    own = F.coalesce(given, F.lit(-(1 << 63))) if null_ids else given
+    return docs.select(given.alias("given_id"), own.alias("doc_id"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("content"))
+
+
+def known(base: DataFrame) -> DataFrame:
+    return base.where("doc_id IS NOT NULL AND text IS NOT NULL")
+
+
+def first_copies(base: DataFrame) -> DataFrame:
+    """``doc_id, content, first_id, copies`` of the rows whose text occurs more than once."""
+    keyed = known(base).select(*ROW, F.xxhash64(F.lit(1), "text").alias("content_2"), F.octet_length("text").alias("size"))
     key = ["content", "content_2", "size"]
     groups = keyed.groupBy(*key).agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"))
-    return keyed.join(groups.where("copies > 1"), key).groupBy("doc_id").agg(
+    return keyed.join(groups.where("copies > 1"), key).groupBy(*ROW).agg(
         F.first("first_id").alias("first_id"), F.first("copies").alias("copies")
     )
 
 
-def prepared(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).withColumn("content", F.xxhash64("text"))
-
-
 def runs(docs: DataFrame, copies: DataFrame, plan: Plan, own_repeats: bool) -> DataFrame:
     """The runs that share an anchor with another text (or, with ``own_repeats``, inside theirs).
 
-    ``hot, key, key2, doc_id, low, body``: a run's bytes; of groups beyond the
+    ``hot, key, key2, doc_id, content, low, body``: a run's bytes; of groups beyond the
     limit one row per window, with the window's two hashes and no bytes.
     Only the first document of equal texts is cut.
     """
-    known = docs.where("doc_id IS NOT NULL AND text IS NOT NULL")
-    found = stored(anchors(known, plan), "anchors")
+    docs = known(docs)
+    found = stored(anchors(docs, plan), "anchors")
     other = F.min("content") != F.max("content")
     shared = (
         found.groupBy("key")
@@ -242,10 +253,10 @@ def runs(docs: DataFrame, copies: DataFrame, plan: Plan, own_repeats: bool) -> D
         .select("key", (F.col("rows") > plan.group_limit).alias("hot"))
     )
     wanted = (
-        found.select("key", "doc_id")
+        found.select("key", *ROW)
         .join(shared, "key")
-        .join(copies.where("doc_id <> first_id").select("doc_id"), "doc_id", "left_anti")
-        .groupBy("doc_id")
+        .join(copies.where("doc_id <> first_id").select(*ROW), ROW, "left_anti")
+        .groupBy(*ROW)
         .agg(
             F.collect_set(F.when(~F.col("hot"), F.col("key"))).alias("keys"),
             F.collect_set(F.when(F.col("hot"), F.col("key"))).alias("hot_keys"),
@@ -257,12 +268,12 @@ def runs(docs: DataFrame, copies: DataFrame, plan: Plan, own_repeats: bool) -> D
             for part in pieces(batch, "text", 2 << 20):
                 raw, offsets, _ = text_buffers(part.column(1))
                 units = plan.cut(raw, offsets)
-                ids = np.asarray(part.column(0))
+                ids = np.asarray(part.column(0)), np.asarray(part.column(4))
                 sets = [[np.sort(np.array(s, np.int64)) for s in part.column(c).to_pylist()] for c in (2, 3)]
                 yield from _emit(plan, raw, units, ids, sets)
 
-    return known.select("doc_id", "text").join(wanted, "doc_id").select("doc_id", "text", "keys", "hot_keys").mapInArrow(
-        run, "hot boolean, key bigint, key2 bigint, doc_id bigint, low bigint, body binary"
+    return docs.select(*ROW, "text").join(wanted, ROW).select("doc_id", "text", "keys", "hot_keys", "content").mapInArrow(
+        run, "hot boolean, key bigint, key2 bigint, doc_id bigint, content bigint, low bigint, body binary"
     )
 
 
@@ -278,10 +289,10 @@ def _member(keys: np.ndarray, text: np.ndarray, sets: list[np.ndarray]) -> np.nd
     return out
 
 
-_RUN_COLUMNS = ["hot", "key", "key2", "doc_id", "low", "body"]
+_RUN_COLUMNS = ["hot", "key", "key2", "doc_id", "content", "low", "body"]
 
 
-def _emit(plan: Plan, raw: np.ndarray, units: Units, ids: np.ndarray, sets: list) -> Iterator[pa.RecordBatch]:
+def _emit(plan: Plan, raw: np.ndarray, units: Units, ids: tuple, sets: list) -> Iterator[pa.RecordBatch]:
     bytes_ = raw.tobytes()
     for found in find_runs(units, plan.width, plan.gram):
         key = found.key.view(np.int64)
@@ -297,7 +308,8 @@ def _emit(plan: Plan, raw: np.ndarray, units: Units, ids: np.ndarray, sets: list
                         pa.array(np.zeros(len(keep), bool)),
                         pa.array(key[keep]),
                         pa.array(key[keep]),
-                        pa.array(ids[text]),
+                        pa.array(ids[0][text]),
+                        pa.array(ids[1][text]),
                         pa.array(low - units.first[text]),
                         pa.array([bytes_[a:b] for a, b in zip(starts, ends, strict=True)], pa.binary()),
                     ],
@@ -315,7 +327,8 @@ def _emit(plan: Plan, raw: np.ndarray, units: Units, ids: np.ndarray, sets: list
                     pa.array(np.ones(len(window), bool)),
                     _signed(substring_hash(h, plan.width, 0)[window - base]),
                     _signed(substring_hash(h, plan.width, 1)[window - base]),
-                    pa.array(ids[text]),
+                    pa.array(ids[0][text]),
+                    pa.array(ids[1][text]),
                     pa.array(window - units.first[text]),
                     pa.nulls(len(window), pa.binary()),
                 ],
@@ -349,22 +362,22 @@ def grouped(run_rows: DataFrame, chunk_bytes: int) -> tuple[DataFrame, object]:
             if table.num_rows:
                 yield table
 
-    rows = run_rows.where("NOT hot").select("key", "doc_id", "low", "body")
+    rows = run_rows.where("NOT hot").select("key", *ROW, "low", "body")
     return rows.repartition(F.col("key")).sortWithinPartitions("key"), chunks
 
 
 def hot_spans(run_rows: DataFrame, width: int, agg: Column, keep: Column) -> DataFrame:
-    """``doc_id, start, stop`` of the repeated windows of groups beyond the limit.
+    """``doc_id, content, start, stop`` of the repeated windows of groups beyond the limit.
 
     ``agg`` is computed per window content with map-side combining; ``keep``
     decides from it (column ``seen``) and the window's ``doc_id``.
     """
-    windows = run_rows.where("hot").select("key", "key2", "doc_id", "low")
+    windows = run_rows.where("hot").select("key", "key2", *ROW, "low")
     seen = windows.groupBy("key", "key2").agg(agg.alias("seen"))
     return (
         windows.join(seen, ["key", "key2"])
         .where(keep)
-        .select("doc_id", F.col("low").alias("start"), (F.col("low") + width).alias("stop"))
+        .select(*ROW, F.col("low").alias("start"), (F.col("low") + width).alias("stop"))
     )
 
 
@@ -388,7 +401,20 @@ def covered(n: int, spans: list[dict] | None) -> np.ndarray:
     return np.cumsum(edge[:n]) > 0
 
 
-def spans_by_document(docs: DataFrame, spans: DataFrame, copies: DataFrame) -> DataFrame:
-    """``doc_id, text, spans, first_id, copies`` of every row of ``docs``."""
-    by_doc = spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
-    return docs.select("doc_id", "text").join(by_doc, "doc_id", "left").join(copies, "doc_id", "left")
+def group_spans(run_rows: DataFrame, chunk_bytes: int, width: int, find) -> DataFrame:
+    """``doc_id, content, start, stop`` that ``find(table, width)`` gives for chunks of whole groups."""
+    dealt, chunks = grouped(run_rows, chunk_bytes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in chunks(batches):
+            row, start, stop = find(table, width)
+            low, ids, content = (np.asarray(table.column(c))[row] for c in ("low", *ROW))
+            yield pa.record_batch([pa.array(x) for x in (ids, content, low + start, low + stop)], [*ROW, "start", "stop"])
+
+    return dealt.mapInArrow(run, "doc_id bigint, content bigint, start bigint, stop bigint")
+
+
+def spans_by_document(base: DataFrame, spans: DataFrame, copies: DataFrame) -> DataFrame:
+    """``given_id, text, spans, first_id, copies`` of every row of ``base``."""
+    by_row = spans.groupBy(*ROW).agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+    return base.join(by_row, ROW, "left").join(copies, ROW, "left")
