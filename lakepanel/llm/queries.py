@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, line_dedup, substring_dedup, suffix_dedup, token_count, token_store
+from . import hash_forest, langid, line_dedup, setsketch, substring_dedup, suffix_dedup, token_count, token_store
 
 TOKENIZER_JSON = "word_bpe_49k.json"
 TOKENIZER_MODEL = "piece_bpe_32k.model"
@@ -36,6 +36,16 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model, keep=["doc_id", "held_out"])
 
 
+def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every twentieth one, against all."""
+    return hash_forest.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document, on 4-word shingles at 0.8."""
+    return setsketch.near_duplicates(_table(spark, sf_dir, "documents"), size=4, percent=80)
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the bytes of 400-byte strings that start elsewhere too."""
     out = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"), width=400)
@@ -59,6 +69,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_line_dedup": op1_line_dedup,
         "op2_substring_dedup": op2_substring_dedup,
         "op3_language_id": op3_language_id,
+        "op6_nearest": op6_nearest,
+        "op7_near_duplicates": op7_near_duplicates,
         "op8_suffix_dedup": op8_suffix_dedup,
         "op9_token_counts": op9_token_counts,
         "op10_token_store": op10_token_store,
