@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import hash_forest, langid, line_dedup, setsketch, substring_dedup, suffix_dedup, token_count, token_store
+from . import (
+    decontam,
+    hash_forest,
+    langid,
+    line_dedup,
+    mixing,
+    setsketch,
+    substring_dedup,
+    suffix_dedup,
+    token_count,
+    token_store,
+)
 
 TOKENIZER_JSON = "word_bpe_49k.json"
 TOKENIZER_MODEL = "piece_bpe_32k.model"
@@ -36,6 +47,20 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model, keep=["doc_id", "held_out"])
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies of every document in a mix whose entropy is halfway to an even one."""
+    docs = _table(spark, sf_dir, "documents")
+    plan = mixing.plan(docs, evenness=0.5)
+    out = mixing.copies(docs.select("doc_id", "source"), plan)
+    return out.select("doc_id", "source", "n_copies")
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in every document."""
+    out = decontam.verdicts(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "contaminated", "n_regions", "items")
+
+
 def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest vectors of every twentieth one, against all."""
     return hash_forest.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
@@ -69,6 +94,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_line_dedup": op1_line_dedup,
         "op2_substring_dedup": op2_substring_dedup,
         "op3_language_id": op3_language_id,
+        "op4_mixing": op4_mixing,
+        "op5_decontamination": op5_decontamination,
         "op6_nearest": op6_nearest,
         "op7_near_duplicates": op7_near_duplicates,
         "op8_suffix_dedup": op8_suffix_dedup,
@@ -118,5 +145,46 @@ FROM plain p LEFT JOIN per_page x USING (rid)
 """
 
 
+# Temperature mixing: plain bisection in a recursive query, and one running sum
+# per source over its whole permutation instead of blocks.
+OP4_SQL = r"""
+WITH RECURSIVE sized AS (
+  SELECT doc_id, coalesce(source, '') AS source,
+         len(list_filter(string_split_regex(coalesce(text, ''), '[ \t\n\v\f\r]+'), lambda x: x <> '')) AS n_tokens,
+         md5(coalesce(doc_id::VARCHAR, 'null')) AS place
+  FROM documents),
+sources AS (
+  SELECT source, sum(n_tokens)::BIGINT AS tokens, sum(n_tokens) / (SELECT sum(n_tokens) FROM sized) AS share
+  FROM sized GROUP BY source HAVING sum(n_tokens) > 0),
+goal AS (
+  SELECT h + 0.5 * (ln(n) - h) AS target
+  FROM (SELECT count(*) AS n, sum(-share * ln(share)) AS h FROM sources)),
+halving AS (
+  SELECT 0 AS k, 0.0::DOUBLE AS low, 1.0::DOUBLE AS high
+  UNION ALL
+  SELECT k + 1, CASE WHEN met THEN low ELSE mid END, CASE WHEN met THEN mid ELSE high END
+  FROM (
+    SELECT k, low, high, (low + high) / 2 AS mid,
+           ln(sum(share ** ((low + high) / 2)))
+             - (low + high) / 2 * sum(share ** ((low + high) / 2) * ln(share)) / sum(share ** ((low + high) / 2))
+             <= (SELECT target FROM goal) AS met
+    FROM halving, sources WHERE k < 50 GROUP BY k, low, high)),
+chosen AS (SELECT high AS alpha FROM halving WHERE k = 50),
+quotas AS (
+  SELECT source, tokens,
+         floor(share ** alpha / sum(share ** alpha) OVER () * sum(tokens) OVER ())::BIGINT AS quota
+  FROM sources, chosen),
+running AS (
+  SELECT s.doc_id, s.source, q.quota, q.tokens,
+         sum(s.n_tokens) OVER (PARTITION BY s.source ORDER BY s.place RANGE UNBOUNDED PRECEDING) AS paid
+  FROM sized s LEFT JOIN quotas q USING (source))
+SELECT doc_id, source,
+       CASE WHEN tokens IS NULL THEN 1
+            ELSE quota // tokens + CASE WHEN paid <= quota - quota // tokens * tokens AND quota % tokens > 0 THEN 1 ELSE 0 END
+       END::BIGINT AS n_copies
+FROM running
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": OP1_SQL}
+    return {"op1_line_dedup": OP1_SQL, "op4_mixing": OP4_SQL}
