@@ -143,7 +143,7 @@ def score(model: Model, text: str | None) -> tuple[str, float]:
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """``docs``' columns ``keep`` (default: all) plus ``lang_pred`` and ``score``."""
+    """``docs``' columns ``keep`` (default: all) plus ``lang_pred`` and ``score``, which replace columns so named."""
     ship_package(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -152,10 +152,9 @@ def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] |
         own = shared.value
         return pd.DataFrame([score(own, body) for body in texts], columns=["lang_pred", "score"])
 
-    kept = [F.col(c) for c in (docs.columns if keep is None else keep)]
-    return docs.select(*kept, scored(F.col(text)).alias("__scored")).select(
-        *[F.col(c) for c in (docs.columns if keep is None else keep)], "__scored.lang_pred", "__scored.score"
-    )
+    names = [c for c in (docs.columns if keep is None else keep) if c.lower() not in ("lang_pred", "score")]
+    kept = docs.select(*[F.col(c) for c in names], scored(F.col(text)).alias("__scored"))
+    return kept.select(*names, "__scored.lang_pred", "__scored.score")
 
 
 def held_out(doc_id: Column, folds: int = 5) -> Column:

@@ -165,18 +165,19 @@ def _cuts(sized: DataFrame, quotas: DataFrame) -> DataFrame:
     return second.join(last, "source", "left").select("source", F.coalesce("last", "block").alias("cut"))
 
 
-def copies(docs: DataFrame, plan_: DataFrame, doc_id: str = "doc_id", source: str = "source") -> DataFrame:
-    """``docs`` with the columns ``epochs_`` replaced by one: ``n_copies`` of each row in the mix."""
+def copies(docs: DataFrame, plan_: DataFrame, doc_id: str = "doc_id", source: str = "source", name: str = "n_copies") -> DataFrame:
+    """``docs`` with a column ``name`` (replaced if there is one): how often each row is in the mix."""
     named = plan_.select(F.col("source").alias("__source"), F.col("epochs").alias("__epochs"), F.col("cut").alias("__cut"))
-    more = (place_in_permutation(docs[doc_id]) <= F.col("__cut")).cast("long")
+    docs = docs.withColumn("__named", _named(F.col(source)))
+    more = (place_in_permutation(F.col(doc_id)) <= F.col("__cut")).cast("long")
     return (
-        docs.join(named, _named(docs[source]) == F.col("__source"), "left")
-        .withColumn("n_copies", F.coalesce(F.col("__epochs") + more, F.lit(1).cast("long")))
-        .drop("__source", "__epochs", "__cut")
+        docs.join(named, F.col("__named") == F.col("__source"), "left")
+        .withColumn(name, F.coalesce(F.col("__epochs") + more, F.lit(1).cast("long")))
+        .drop("__source", "__epochs", "__cut", "__named")
     )
 
 
 def realise(docs: DataFrame, plan_: DataFrame, doc_id: str = "doc_id", source: str = "source") -> DataFrame:
     """The mix: every row of ``docs`` as often as its copies say, with the same columns."""
-    counted = copies(docs, plan_, doc_id, source).where("n_copies > 0")
-    return counted.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n_copies")))).drop("__copy", "n_copies")
+    counted = copies(docs, plan_, doc_id, source, "__copies").where("__copies > 0")
+    return counted.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))).select(*docs.columns)
