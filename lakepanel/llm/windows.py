@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from .common import pieces, stored, text_buffers
 
-SEGMENT = 1 << 20  # windows handled at once: bounds a task's arrays for texts of any length
+SEGMENT = 1 << 17  # windows handled at once: bounds a task's arrays for texts of any length
 _POSITION_BITS = 28
 _U = np.uint64
 
@@ -59,15 +59,14 @@ def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     return both[0], both[1]
 
 
-_POWER_CACHE: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
+_POWER_CACHE: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def prefix_sums(h: np.ndarray, which: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Polynomial prefix sums of ``h`` and the inverse powers to compare substrings with."""
-    size = 1 << max(12, int(len(h)).bit_length())
-    if (which, size) not in _POWER_CACHE:
-        _POWER_CACHE[which, size] = _powers(_BASES[which], size)
-    power, inverse = _POWER_CACHE[which, size]
+    if which not in _POWER_CACHE or len(_POWER_CACHE[which][0]) < len(h):
+        _POWER_CACHE[which] = _powers(_BASES[which], 1 << max(18, int(len(h)).bit_length()))
+    power, inverse = _POWER_CACHE[which]
     sums = np.zeros(len(h) + 1, np.uint64)
     np.cumsum(h * power[: len(h)], out=sums[1:])
     return sums, inverse
@@ -109,7 +108,7 @@ def word_units(raw: np.ndarray, offsets: np.ndarray) -> Units:
     at = 0
     while at < len(start):
         low = int(start[at])
-        stop = max(int(np.searchsorted(end, low + (1 << 21), side="right")), at + 1)
+        stop = max(int(np.searchsorted(end, low + (1 << 18), side="right")), at + 1)
         sums, inverse = prefix_sums(BYTE_HASH[raw[low : int(end[stop - 1])]])
         a, b = start[at:stop] - low, end[at:stop] - low
         hashes[at:stop] = _mix((sums[b] - sums[a]) * inverse[a] + (b - a).astype(np.uint64))
