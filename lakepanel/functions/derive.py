@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..constants import DEFAULT_STATUS_PATTERN, RESOLVED_STATUS_PATTERN
-from .metrics import dec, dround
+from .metrics import dec, round_ratio
 from .parse import ColumnOrName, _c
 
 
@@ -18,12 +18,13 @@ def age_years(later: ColumnOrName, earlier: ColumnOrName, digits: int = 1) -> Co
 def installment_to_income(installment: ColumnOrName, annual_inc: ColumnOrName) -> Column:
     """``installment * 12 / annual_inc`` to 4 dp; null when income is not positive.
 
-    Computed on exact decimals and rounded half-up (the convention of
-    ``metrics.dround``), so a ratio lying exactly on a rounding edge, such as
-    15.20285, rounds as written instead of by its binary double.
+    Computed on exact decimals of the values as written (8 places) and rounded
+    half-up once, so a ratio lying exactly on a rounding edge, such as
+    15.20285, rounds as written instead of by its binary double.  The guard
+    looks at the very value that is divided by.
     """
-    value = dec(installment) * F.lit(12) / dec(annual_inc)
-    return F.when(_c(annual_inc) > 0, dround(value, 4))
+    income = dec(annual_inc, "decimal(24,8)")
+    return round_ratio(dec(installment, "decimal(20,8)") * F.lit(12).cast("decimal(2,0)"), F.when(income > 0, income), 4)
 
 
 def status_flag(status: ColumnOrName, pattern: str) -> Column:

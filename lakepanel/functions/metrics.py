@@ -27,37 +27,44 @@ def dsum(col: ColumnOrName, dtype: str = MONEY) -> Column:
     return F.sum(dec(col, dtype))
 
 
-def dround(value: Column, digits: int) -> Column:
-    """Round an exact decimal expression half-up and hand it out as double.
+def round_ratio(num: Column, den: Column, digits: int) -> Column:
+    """``num / den`` rounded half-up to ``digits``, once, as double; null when ``den`` is 0 or null.
 
-    The value is first fixed to 6 decimals (the scale Spark gives a decimal
-    quotient), so the result does not depend on the operand types.
+    Both sides are exact decimals.  The quotient is never materialised at an
+    intermediate scale: whole units of the last digit come from the exact
+    remainder, and the remainder alone decides the rounding.
     """
-    return F.round(value.cast("decimal(38,6)"), digits).cast("double")
+    den = F.when(den != 0, den)
+    scaled = num * F.lit(10**digits).cast(f"decimal({digits + 1},0)")
+    rest = scaled % den
+    whole = ((scaled - rest) / den).cast("decimal(38,0)")
+    up = F.when(F.abs(rest) * 2 >= F.abs(den), F.signum(num.cast("double")) * F.signum(den.cast("double")))
+    units = whole + F.coalesce(up, F.lit(0.0)).cast("decimal(1,0)")
+    return (units.cast("decimal(30,0)") / F.lit(10**digits).cast(f"decimal({digits + 1},0)")).cast("double")
 
 
 def scaled_sum(col: ColumnOrName, divisor: int, digits: int, dtype: str = MONEY) -> Column:
     """``round(sum(col) / divisor, digits)``, e.g. funded amount in millions."""
-    return dround(dsum(col, dtype) / F.lit(divisor).cast("decimal(20,0)"), digits)
+    return round_ratio(dsum(col, dtype), F.lit(divisor).cast("decimal(20,0)"), digits)
 
 
 def exact_avg(col: ColumnOrName, digits: int, dtype: str = RATE) -> Column:
     """``round(avg(col), digits)`` computed on decimals (nulls ignored)."""
     d = dec(col, dtype)
-    n = F.count(d)
-    return dround(F.sum(d) / F.when(n > 0, n), digits)
+    return round_ratio(F.sum(d), F.count(d).cast("decimal(20,0)"), digits)
 
 
 def null_safe_rate(num: Column, den: Column, scale: float | int = 100, digits: int | None = 2) -> Column:
     """``scale * num / den`` with the denominator null when it is not positive.
 
-    ``scale=100`` gives percent, ``scale=1`` a fraction.
+    ``scale=100`` gives percent, ``scale=1`` a fraction.  With ``digits``,
+    counts are taken as whole numbers.
     """
     safe_den = F.when(den > 0, den)
     if digits is None:
         return F.lit(scale) * num / safe_den
-    value = F.lit(scale).cast("decimal(10,0)") * num.cast("decimal(38,0)") / safe_den.cast("decimal(38,0)")
-    return dround(value, digits)
+    value = F.lit(scale).cast("decimal(10,0)") * num.cast("decimal(20,0)")
+    return round_ratio(value, safe_den.cast("decimal(20,0)"), digits)
 
 
 def default_rate(flag_default: str = "is_default", flag_resolved: str = "is_resolved",
@@ -70,14 +77,19 @@ def ratio_of_sums_pct(num: ColumnOrName, den: ColumnOrName, digits: int = 2) ->
     """``100 * sum(num) / sum(den)`` on exact money sums; null when sum(den) <= 0."""
     n = dsum(num)
     d = dsum(den)
-    return dround(F.lit(100).cast("decimal(10,0)") * n / F.when(d > 0, d), digits)
+    return round_ratio(F.lit(100).cast("decimal(3,0)") * n, F.when(d > 0, d), digits)
 
 
 def weighted_avg(value: ColumnOrName, weight: ColumnOrName, digits: int = 2) -> Column:
     """``sum(w * x) / sum(w)``.  Rows whose ``x`` is null still count in ``sum(w)``."""
-    num = F.sum(dec(weight) * dec(value, RATE))
+    num = F.sum(dec(weight, "decimal(18,2)") * dec(value, "decimal(12,4)"))
     den = dsum(weight)
-    return dround(num / F.when(den > 0, den), digits)
+    return round_ratio(num, F.when(den > 0, den), digits)
+
+
+def count_unfit(col: ColumnOrName, dtype: str = MONEY) -> Column:
+    """How many non-null values (NaN, or too large) an exact sum leaves out."""
+    return F.count_if(_c(col).isNotNull() & dec(col, dtype).isNull())
 
 
 def per_thousand(num: ColumnOrName, den: ColumnOrName) -> Column:

@@ -1,21 +1,10 @@
-"""Join helpers with an explicit size check before broadcasting."""
+"""Joins of aggregates on a shared grain; the strategy is left to Catalyst and AQE."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only when it provably holds at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows.  Larger inputs are returned
-    unchanged, so the planner keeps a shuffle join for them.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
 
 
 def join_on_grain(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:

@@ -78,3 +78,13 @@ def column_summary(df: DataFrame, stats: Sequence[str] = ("count", "min", "max")
     value_cols = [c for c in summary.columns if c != "summary"]
     long = summary.unpivot("summary", value_cols, "column_name", "value")
     return long.select(F.col("column_name"), F.col("summary").alias("statistic"), F.col("value"))
+
+
+def column_moments(df: DataFrame, digits: int) -> DataFrame:
+    """``column_name, mean, stddev`` (sample) of numeric columns, rounded; one pass."""
+    aggs = []
+    for c in df.columns:
+        value = F.col(f"`{c}`").cast("double")
+        aggs += [F.round(F.avg(value), digits).alias(f"{c}__mean"), F.round(F.stddev_samp(value), digits).alias(f"{c}__std")]
+    parts = ", ".join(f"'{c}', `{c}__mean`, `{c}__std`" for c in df.columns)
+    return df.agg(*aggs).selectExpr(f"stack({len(df.columns)}, {parts}) as (column_name, mean, stddev)")

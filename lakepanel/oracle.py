@@ -4,27 +4,12 @@ Only the raw text views are shared with the Spark side (one template, two
 dialects, see ``plans.driver_views``).  Parsing, de-duplication, rules and
 aggregation are re-stated here in plain SQL.
 
-Rounding convention shared with ``functions.metrics``: money is summed as
-DECIMAL; a quotient is fixed to 6 decimals and then rounded half-up.  DuckDB
-turns decimal division into DOUBLE, hence ``r6`` below.
+Money is summed exactly and every quotient is rounded half-up once.  DuckDB
+turns decimal division into DOUBLE, so ``half_up`` works on whole numbers.
 """
 
 from __future__ import annotations
 
-from .constants import (
-    COMPLAINT_RENAMES,
-    DTI_BANDS,
-    DTI_TOP_BAND,
-    FICO_BANDS,
-    FICO_TOP_BAND,
-    LENDING_FAMILIES,
-    LOAN_COUNTER_COLUMNS,
-    LOAN_DOUBLE_COLUMNS,
-    LOAN_PERCENT_COLUMNS,
-    LOAN_SILVER_COLUMNS,
-    PRODUCT_FAMILY_DEFAULT,
-    PRODUCT_FAMILY_RULES,
-)
 from .plans.driver_views import DUCKDB, complaints_raw_sql, loans_raw_sql
 from .settings import (
     FIRST_ARRIVAL_LANG,
@@ -32,15 +17,58 @@ from .settings import (
     HISTORY_SPLIT,
     ORDERS_SPLIT,
     QUERY_MIN_RESOLVED,
+    MOMENT_COLUMNS,
     ROW_FLOOR,
     SUMMARY_COLUMNS,
     TAXONOMY_CUTOFF,
 )
 
 
-def r6(expr: str, digits: int) -> str:
-    """Quotient fixed to 6 decimals, rounded half-up, as DOUBLE."""
-    return f"CAST(round(CAST({expr} AS DECIMAL(38,6)), {digits}) AS DOUBLE)"
+# Fixed values, stated here on their own: a slip in ``constants`` must not pass
+# by being shared.
+COMPLAINT_RENAMES = {'Date received': 'date_received',
+ 'Product': 'product',
+ 'Sub-product': 'sub_product',
+ 'Issue': 'issue',
+ 'Sub-issue': 'sub_issue',
+ 'Consumer complaint narrative': 'narrative',
+ 'Company public response': 'company_public_response',
+ 'Company': 'company',
+ 'State': 'state',
+ 'ZIP code': 'zip_code',
+ 'Tags': 'tags',
+ 'Submitted via': 'submitted_via',
+ 'Date sent to company': 'date_sent_to_company',
+ 'Company response to consumer': 'company_response',
+ 'Timely response?': 'timely_response',
+ 'Complaint ID': 'complaint_id'}
+DTI_BANDS = [(10, '1: <10'), (20, '2: 10-20'), (30, '3: 20-30'), (40, '4: 30-40')]
+DTI_TOP_BAND = '5: 40+'
+FICO_BANDS = [(660, '1: <660 (subprime)'), (700, '2: 660-699'), (740, '3: 700-739'), (780, '4: 740-779')]
+FICO_TOP_BAND = '5: 780+'
+LENDING_FAMILIES = ['personal_loan', 'credit_card', 'debt_collection']
+LOAN_COUNTER_COLUMNS = ['open_acc', 'total_acc', 'delinq_2yrs', 'inq_last_6mths', 'pub_rec', 'pub_rec_bankruptcies', 'mort_acc']
+LOAN_DOUBLE_COLUMNS = ['loan_amnt', 'funded_amnt', 'installment', 'annual_inc', 'dti', 'revol_bal', 'tot_cur_bal', 'out_prncp',
+ 'total_pymnt', 'total_rec_prncp', 'total_rec_int', 'recoveries', 'last_pymnt_amnt']
+LOAN_PERCENT_COLUMNS = ['int_rate', 'revol_util']
+LOAN_SILVER_COLUMNS = ['loan_id', 'issue_date', 'earliest_cr_date', 'credit_age_years', 'loan_amnt', 'funded_amnt', 'term_months',
+ 'int_rate', 'installment', 'grade', 'sub_grade', 'emp_length_years', 'emp_title', 'home_ownership',
+ 'annual_inc', 'verification_status', 'purpose', 'title', 'addr_state', 'zip_code', 'dti', 'fico_low',
+ 'fico_high', 'fico_avg', 'revol_util', 'revol_bal', 'open_acc', 'total_acc', 'delinq_2yrs', 'inq_last_6mths',
+ 'pub_rec', 'pub_rec_bankruptcies', 'mort_acc', 'tot_cur_bal', 'application_type', 'installment_to_income',
+ 'loan_status', 'is_resolved', 'is_default', 'out_prncp', 'total_pymnt', 'total_rec_prncp', 'total_rec_int',
+ 'recoveries', 'last_pymnt_amnt', 'net_cash', 'charge_off_loss', '_ingested_at', '_source_file']
+PRODUCT_FAMILY_DEFAULT = 'other'
+PRODUCT_FAMILY_RULES = [('personal_loan', '(?i)personal loan|payday|consumer loan|installment'), ('credit_card', '(?i)credit card'),
+ ('mortgage', '(?i)mortgage'), ('debt_collection', '(?i)debt collection'),
+ ('credit_reporting', '(?i)credit report')]
+
+
+def half_up(num: str, den: str, digits: int) -> str:
+    """``num / den`` (whole-number SQL) rounded half-up once; null where ``den`` is not positive."""
+    n, d = f"CAST({num} AS HUGEINT)", f"CAST({den} AS HUGEINT)"
+    units = f"(2 * abs({n}) * {10**digits} + {d}) // (2 * {d})"
+    return f"(CASE WHEN {d} > 0 THEN CAST(CASE WHEN {n} < 0 THEN -({units}) ELSE {units} END AS DOUBLE) / {10**digits} END)"
 
 
 def sround(expr: str, digits: int) -> str:
@@ -48,12 +76,19 @@ def sround(expr: str, digits: int) -> str:
     return f"CAST(round(CAST({expr} AS DECIMAL(38,12)), {digits}) AS DOUBLE)"
 
 
-def m(col: str) -> str:
-    return f"CAST({col} AS DECIMAL(20,2))"
+def cents(col: str) -> str:
+    """A money column in whole cents."""
+    return f"CAST(CAST({col} AS DECIMAL(20,2)) * 100 AS HUGEINT)"
+
+
+def parts(col: str) -> str:
+    """A rate column in whole ten-thousandths."""
+    return f"CAST(CAST({col} AS DECIMAL(20,4)) * 10000 AS HUGEINT)"
 
 
-def rate_dec(col: str) -> str:
-    return f"CAST({col} AS DECIMAL(20,4))"
+def tiny(col: str) -> str:
+    """A column in whole hundred-millionths."""
+    return f"CAST(CAST({col} AS DECIMAL(28,8)) * 100000000 AS HUGEINT)"
 
 
 def _sql_str(s: str) -> str:
@@ -102,7 +137,7 @@ lp AS (
 ld AS (
   SELECT *,
     {sround("datediff('month', earliest_cr_date, issue_date) / 12", 1)} AS credit_age_years,
-    CASE WHEN annual_inc > 0 THEN {r6(f"{m('installment')} * 12 / {m('annual_inc')}", 4)} END AS installment_to_income,
+    {half_up(f"{tiny('installment')} * 12", tiny('annual_inc'), 4)} AS installment_to_income,
     CASE WHEN regexp_matches(lower(loan_status), 'fully paid|charged off|default') THEN 1 ELSE 0 END AS is_resolved,
     CASE WHEN regexp_matches(lower(loan_status), 'charged off|default') THEN 1 ELSE 0 END AS is_default,
     total_pymnt - funded_amnt AS net_cash
@@ -219,21 +254,19 @@ def _corr(df: str) -> str:
 
 # ------------------------------------------------------------------ marts SQL
 def _avg(col: str, digits: int, money: bool = False) -> str:
-    d = m(col) if money else rate_dec(col)
-    return r6(f"sum({d}) / NULLIF(count({d}), 0)", digits)
+    units, unit = (cents(col), 100) if money else (parts(col), 10000)
+    return half_up(f"sum({units})", f"count({col}) * {unit}", digits)
 
 
 def _scaled(col: str, divisor: str, digits: int) -> str:
-    return r6(f"sum({m(col)}) / {divisor}", digits)
+    return half_up(f"sum({cents(col)})", f"CAST({divisor} AS HUGEINT) * 100", digits)
 
 
 def _ratio_pct(num: str, den: str, digits: int = 2) -> str:
-    return r6(f"100 * sum({m(num)}) / (CASE WHEN sum({m(den)}) > 0 THEN sum({m(den)}) END)", digits)
+    return half_up(f"100 * sum({cents(num)})", f"sum({cents(den)})", digits)
 
 
-_DEFAULT_RATE = r6(
-    "100.0 * sum(is_default) / (CASE WHEN sum(is_resolved) > 0 THEN sum(is_resolved) END)", 2
-) + " AS default_rate_pct"
+_DEFAULT_RATE = half_up("100 * sum(is_default)", "sum(is_resolved)", 2) + " AS default_rate_pct"
 _LOANS = "count(*) AS loans"
 _FUNDED1 = _scaled("funded_amnt", "1000000", 1) + " AS funded_mn"
 _RATE = _avg("int_rate", 2) + " AS avg_int_rate_pct"
@@ -249,7 +282,7 @@ MART_SQL = {
 SELECT count(*) AS total_loans,
        {_scaled('funded_amnt', '1000000000', 2)} AS total_funded_bn,
        {_avg('loan_amnt', 0, money=True)} AS avg_loan_amnt,
-       {r6(f"sum({m('funded_amnt')} * {rate_dec('int_rate')}) / (CASE WHEN sum({m('funded_amnt')}) > 0 THEN sum({m('funded_amnt')}) END)", 2)} AS wavg_int_rate_pct,
+       {half_up(f"sum({cents('funded_amnt')} * {parts('int_rate')})", f"sum({cents('funded_amnt')}) * 10000", 2)} AS wavg_int_rate_pct,
        {_avg('fico_avg', 0)} AS avg_fico,
        {_avg('dti', 1)} AS avg_dti,
        {_DEFAULT_RATE},
@@ -323,7 +356,7 @@ def _spine(table: str, col: str) -> str:
 b AS (SELECT min(CAST({col} AS DATE)) AS s, max(CAST({col} AS DATE)) AS e FROM {table}),
 ms AS (SELECT s, e, CAST(unnest(generate_series(CAST(date_trunc('month', s) AS DATE), e, INTERVAL 1 MONTH)) AS DATE) AS m0 FROM b),
 spine AS (
-  SELECT strftime(m0, '%Y-%m') AS month, greatest(m0, s) AS window_start, least(last_day(m0), e) AS window_end
+  SELECT strftime(m0, '%Y-%m') AS month, m0 AS window_start, least(last_day(m0), e) AS window_end
   FROM ms
 )"""
 
@@ -335,7 +368,7 @@ def _summary_sql() -> str:
     parts = []
     for c in SUMMARY_COLUMNS:
         parts.append(f"SELECT '{c}' AS column_name, 'count' AS statistic, CAST(count({c}) AS VARCHAR) AS value FROM lineitem")
-        v = f"({c} + 0.0)" if c in _DOUBLE_SUMMARY else c
+        v = f"({c} + 0.0)" if c in _DOUBLE_SUMMARY else f"CAST({c} AS DATE)" if c == "l_shipdate" else c
         parts.append(f"SELECT '{c}', 'min', CAST(min({v}) AS VARCHAR) FROM lineitem")
         parts.append(f"SELECT '{c}', 'max', CAST(max({v}) AS VARCHAR) FROM lineitem")
     return "\nUNION ALL ".join(parts)
@@ -381,9 +414,37 @@ JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey =
     "taxonomy_coverage": "WITH " + complaints_silver_ctes() + f"""
 SELECT product, product_family, count(*) AS complaints FROM sc
 WHERE year_month < '{TAXONOMY_CUTOFF}' GROUP BY 1, 2
-ORDER BY complaints DESC, product ASC NULLS FIRST, product_family ASC NULLS FIRST LIMIT 20""",
+ORDER BY complaints DESC, product ASC NULLS FIRST, product_family ASC NULLS FIRST""",
     "null_profile": _null_profile_sql(),
     "column_summary": _summary_sql(),
+    "column_moments": "\nUNION ALL ".join(
+        f"SELECT '{c}' AS column_name, round(avg(CAST({c} AS DOUBLE)), 6) AS mean, "
+        f"round(stddev_samp(CAST({c} AS DOUBLE)), 6) AS stddev FROM lineitem"
+        for c in MOMENT_COLUMNS
+    ),
+    "reconcile_segments": "WITH " + loans_silver_ctes() + "," + complaints_silver_ctes() + "," + _LSEG + "," + _CSEG + f"""
+SELECT 'complaints_with_narrative' AS what, count(*) AS row_count, CAST(count_if(has_narrative) AS BIGINT) AS selected,
+       CAST(count_if(year_month IS NULL) AS BIGINT) AS null_months, min(year_month) AS first_month, max(year_month) AS last_month FROM sc
+UNION ALL
+SELECT 'resolved_loans', count(*), CAST(count_if(is_resolved = 1) AS BIGINT), CAST(count_if(issue_date IS NULL) AS BIGINT),
+       strftime(min(issue_date), '%Y-%m'), strftime(max(issue_date), '%Y-%m') FROM sl
+UNION ALL
+SELECT 'loan_cells_kept', count(*), CAST(count_if(resolved_loans >= {QUERY_MIN_RESOLVED}) AS BIGINT),
+       CAST(count_if(issue_month IS NULL) AS BIGINT), min(issue_month), max(issue_month) FROM lseg2
+UNION ALL
+SELECT 'complaint_cells', count(*), CAST(count_if(complaints > 0) AS BIGINT), CAST(count_if(issue_month IS NULL) AS BIGINT),
+       min(issue_month), max(issue_month) FROM cseg""",
+    "year_counts_all": "WITH " + complaints_silver_ctes() + f""",
+bz AS (SELECT strftime(CAST(TRY_CAST("Date received" AS TIMESTAMP) AS DATE), '%Y') AS yr FROM craw)
+SELECT 'bronze' AS layer, yr, count(*) AS complaints FROM bz GROUP BY 2
+UNION ALL SELECT 'silver', substring(year_month, 1, 4), count(*) FROM sc GROUP BY 2
+UNION ALL SELECT 'lending', substring(year_month, 1, 4), count(*) FROM sc WHERE product_family IN ({_FAMS}) GROUP BY 2""",
+    "table_schemas": "\nUNION ALL ".join(
+        f"SELECT '{c}' AS column_name, '{t}' AS type, CAST({i} AS INTEGER) AS position, "
+        f"(SELECT count(*) FROM {table}) AS row_count, '{table}' AS table_name"
+        for table, columns in (("documents", _DOC_LABEL_COLS[:5]), ("labels", [_DOC_LABEL_COLS[0], *_DOC_LABEL_COLS[5:]]))
+        for i, (c, t) in enumerate(columns)
+    ),
     "freq_desc": "WITH " + complaints_silver_ctes() + """
 SELECT product_family, count(*) AS complaints FROM sc GROUP BY 1 ORDER BY 2 DESC, 1 ASC NULLS FIRST""",
     "counts_by_year": "WITH " + complaints_silver_ctes() + f"""
@@ -405,16 +466,16 @@ WITH bulk AS (
   FROM events WHERE ts < TIMESTAMP '{HISTORY_SPLIT[1]}'
 ), hist AS (
   SELECT {_HIST_COLS}, CAST(NULL AS VARCHAR) AS props, 'history' AS _source_file
-  FROM events WHERE ts >= TIMESTAMP '{HISTORY_SPLIT[0]}'
+  FROM events WHERE ts >= TIMESTAMP '{HISTORY_SPLIT[0]}' OR ts IS NULL
 ), u AS (SELECT * FROM bulk UNION ALL BY NAME SELECT * FROM hist)
 SELECT * FROM u
 QUALIFY row_number() OVER (PARTITION BY event_id
   ORDER BY _source_file ASC NULLS LAST, {_order_rest(_EVENT_COLS, ('event_id', '_source_file'))}) = 1""",
     "month_spine": "WITH " + _spine("orders", "o_orderdate") + "\nSELECT * FROM spine",
-    "window_counts": "WITH " + _spine("lineitem", "l_shipdate") + """,
-per AS (SELECT strftime(CAST(o_orderdate AS DATE), '%Y-%m') AS month, count(*) AS orders FROM orders GROUP BY 1)
-SELECT s.month, s.window_start, s.window_end, coalesce(p.orders, 0) AS orders
-FROM spine s LEFT JOIN per p ON s.month = p.month""",
+    "window_counts": "WITH " + _spine("lineitem", "l_shipdate") + """
+SELECT s.month, s.window_start, s.window_end, count(o.o_orderkey) AS orders
+FROM spine s LEFT JOIN orders o ON CAST(o.o_orderdate AS DATE) BETWEEN s.window_start AND s.window_end
+GROUP BY ALL""",
     "coverage_gaps": "WITH " + _spine("lineitem", "l_shipdate") + """
 SELECT * FROM spine s
 WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE strftime(CAST(o.o_orderdate AS DATE), '%Y-%m') = s.month)""",
@@ -459,14 +520,14 @@ SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS D
        o_orderpriority, strftime(o_orderdate, '%Y-%m') AS dt FROM orders""",
     "month_file_history": f"""
 SELECT strftime(o_orderdate, '%Y-%m') AS month, count(*) AS orders,
-       count(CASE WHEN o_orderdate >= DATE '{ORDERS_SPLIT[0]}' THEN 1 END) AS with_priority,
+       count(CASE WHEN o_orderdate >= DATE '{ORDERS_SPLIT[0]}' OR o_orderdate IS NULL THEN 1 END) AS with_priority,
        count(CASE WHEN o_orderdate < DATE '{ORDERS_SPLIT[0]}' THEN 1 END) AS from_files
 FROM orders GROUP BY 1""",
     "stream_ingest": _DOCS + " FROM documents",
     "stream_evolution": f"""
 SELECT doc_id, text, lang,
-       CASE WHEN lang <> '{FIRST_ARRIVAL_LANG}' THEN source END AS source,
-       CASE WHEN lang <> '{FIRST_ARRIVAL_LANG}' THEN n_chars END AS n_chars
+       CASE WHEN lang IS DISTINCT FROM '{FIRST_ARRIVAL_LANG}' THEN source END AS source,
+       CASE WHEN lang IS DISTINCT FROM '{FIRST_ARRIVAL_LANG}' THEN n_chars END AS n_chars
 FROM documents""",
 }
 

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
-from ..constants import COMPLAINT_RENAMES, INGESTED_AT
+from ..constants import COMPLAINT_RENAMES, INGESTED_AT, SOURCE_FILE
 from ..functions import classify, derive, parse
 from ..operators.columns import keep_columns, rename_columns
 from ..operators.dedup import latest_per_key
@@ -14,11 +14,21 @@ from ..operators.dedup import latest_per_key
 DERIVED = ["has_narrative", "year_month", "product_family"]
 
 
-def silver_complaints(bronze: DataFrame, renames: Mapping[str, str] = COMPLAINT_RENAMES) -> DataFrame:
+# Which copy of a complaint survives: the latest load, then the latest file.
+SURVIVOR = (f"-{INGESTED_AT}", f"-{SOURCE_FILE}")
+
+
+def silver_complaints(
+    bronze: DataFrame,
+    renames: Mapping[str, str] = COMPLAINT_RENAMES,
+    precedence: Sequence[str] = SURVIVOR,
+) -> DataFrame:
     """One row per complaint id (null ids removed).
 
     Raises before any job when a required raw column is missing.  Survivor
-    per id: latest ``_ingested_at``, then the remaining columns in name order.
+    per id: first under ``precedence`` (bronze columns, ``-`` for descending;
+    those that bronze lacks are skipped), then the remaining columns in name
+    order.  Precedence columns outside the silver schema are dropped afterwards.
     """
     df = rename_columns(bronze, renames, require=True)
     df = df.withColumns({
@@ -33,6 +43,6 @@ def silver_complaints(bronze: DataFrame, renames: Mapping[str, str] = COMPLAINT_
     keep = [*renames.values(), *DERIVED]
     if INGESTED_AT in df.columns:
         keep.append(INGESTED_AT)
-    df = keep_columns(df, keep)
-    order = [f"-{INGESTED_AT}"] if INGESTED_AT in df.columns else []
-    return latest_per_key(df, ["complaint_id"], order)
+    order = [spec for spec in precedence if spec.lstrip("-") in df.columns]
+    ranked = keep_columns(df, [*keep, *(c for c in (s.lstrip("-") for s in order) if c not in keep)])
+    return keep_columns(latest_per_key(ranked, ["complaint_id"], order), keep)

@@ -26,7 +26,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.parse import is_numeric_id
 from ..operators.columns import stamp_ingest
-from ..operators.partitioning import spread
 from ..sources.tables import read_table, register_tables
 
 
@@ -218,7 +217,7 @@ JOIN region r ON n.n_regionkey = r.r_regionkey
 def loans_bronze(spark: SparkSession, sf_dir: str, source: str = "orders.parquet") -> DataFrame:
     """Loan bronze from driver tables: raw text, footer rows removed, stamped."""
     register_tables(spark, sf_dir, ["customer", "nation", "region"])
-    spread(read_table(spark, sf_dir, "orders")).createOrReplaceTempView("orders")
+    read_table(spark, sf_dir, "orders").createOrReplaceTempView("orders")
     raw = spark.sql(loans_raw_sql(SPARK))
     return stamp_ingest(raw.where(is_numeric_id("id")), source)
 
@@ -226,5 +225,5 @@ def loans_bronze(spark: SparkSession, sf_dir: str, source: str = "orders.parquet
 def complaints_bronze(spark: SparkSession, sf_dir: str, source: str = "lineitem.parquet") -> DataFrame:
     """Complaint bronze from driver tables: raw text with ingest stamps."""
     register_tables(spark, sf_dir, ["supplier", "nation", "region"])
-    spread(read_table(spark, sf_dir, "lineitem")).createOrReplaceTempView("lineitem")
+    read_table(spark, sf_dir, "lineitem").createOrReplaceTempView("lineitem")
     return stamp_ingest(spark.sql(complaints_raw_sql(SPARK)), source)

@@ -32,7 +32,7 @@ from ..operators.quality import check_row_floor, observe_rules, passes_all, reje
 from ..operators.union import union_by_name
 from ..operators.columns import stamp_ingest
 from ..sources import files
-from ..sources.sinks import save_table, save_view, write_table
+from ..sources.sinks import save_comment, save_table, save_view, write_table
 from ..streaming.ingest import EvolvingCsvIngest
 from . import marts, panel
 from .complaints import silver_complaints
@@ -81,12 +81,13 @@ class Lakehouse:
 
     # ------------------------------------------------------------- storage
     def _write(self, df: DataFrame, name: str, layer: str, comment: str | None = None,
-               partition_by: list[str] | None = None) -> None:
+               partition_by: list[str] | None = None, check=None) -> None:
         if self.database:
             comment = comment or TABLE_COMMENTS.get(name)
-            save_table(df, f"{self.database}.{name}", comment=comment, quality=layer, partition_by=partition_by)
+            save_table(df, f"{self.database}.{name}", comment=comment, quality=layer, partition_by=partition_by,
+                       check=check)
         else:
-            write_table(df, f"{self.root.rstrip('/')}/{layer}/{name}", partition_by=partition_by)
+            write_table(df, f"{self.root.rstrip('/')}/{layer}/{name}", partition_by=partition_by, check=check)
 
     def read(self, name: str, layer: str) -> DataFrame:
         if name in VERDICT_OF and not self.database:
@@ -119,8 +120,9 @@ class Lakehouse:
 
     def _bronze(self, df: DataFrame, name: str, row_floor: int | None) -> None:
         obs = Observation(f"{name}_rows")
-        self._write(df.observe(obs, F.count(F.lit(1)).alias("rows")).hint("rebalance"), name, "bronze")
-        self._check_rows(name, obs.get["rows"], row_floor)
+        # Too small a load is refused before it replaces the stored one.
+        self._write(df.observe(obs, F.count(F.lit(1)).alias("rows")).hint("rebalance"), name, "bronze",
+                    check=lambda: self._check_rows(name, obs.get["rows"], row_floor))
 
     def _check_rows(self, name: str, rows: int, row_floor: int | None) -> None:
         self.report[f"{name}_rows"] = rows
@@ -128,12 +130,20 @@ class Lakehouse:
             check_row_floor(rows, row_floor, name)
 
     def _bronze_stream(self, csv_glob: str, name: str, row_floor: int | None, id_col: str | None) -> None:
-        """Land only files not seen before (schema may grow); a rerun adds nothing."""
-        if self.database:
-            raise ValueError("incremental bronze is kept as Parquet below root; use database=None")
+        """Land only files not seen before (schema may grow); a rerun adds nothing.
+
+        With a database, bronze is an external table over the landed batches.
+        """
         base = f"{self.root.rstrip('/')}/bronze"
         ingest = EvolvingCsvIngest(csv_glob, f"{base}/{name}", f"{base}/_checkpoints/{name}", id_col=id_col)
         ingest.run(self.spark)
+        if self.database:
+            # Registered anew, so that columns added by this run are known.
+            table = f"{self.database}.{name}"
+            schema = ingest.read_bronze(self.spark).drop("batch_id").schema
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+            self.spark.catalog.createTable(table, path=f"{base}/{name}/*", source="parquet", schema=schema)
+            save_comment(self.spark, table, TABLE_COMMENTS.get(name), "bronze")
         self._check_rows(name, self.read(name, "bronze").count(), row_floor)
 
     # ------------------------------------------------------------- loans

@@ -14,6 +14,7 @@ run of the parse and dedup shuffle.  Rule failures are counted by an
 
 from __future__ import annotations
 
+import hashlib
 import threading
 from collections.abc import Callable
 
@@ -30,17 +31,29 @@ from .loans import deduped_loans
 
 # Re-entrant: building silver stores the candidates it reads from first.
 _LOCK = threading.RLock()
-_TABLES: dict[tuple[str, str, str], str] = {}
-_OBSERVED: dict[tuple[str, str, str], dict] = {}
+_TABLES: dict[tuple[str, str, str, str], str] = {}
+_OBSERVED: dict[tuple[str, str, str, str], dict] = {}
+
+
+def input_state(spark: SparkSession, folder: str) -> str:
+    """Names, sizes and times of the files in ``folder`` and its table folders."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    seen = []
+    for entry in fs.listStatus(path):
+        inner = fs.listStatus(entry.getPath()) if entry.isDirectory() else [entry]
+        seen += [f"{f.getPath()} {f.getLen()} {f.getModificationTime()}" for f in inner]
+    return hashlib.sha256("\n".join(sorted(seen)).encode()).hexdigest()
 
 
 def stored(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], object]) -> str:
     """Run ``write(path)`` once per session and input folder; return the path.
 
     ``path`` is a fresh folder below the shared checkpoint folder.  Later
-    callers reuse what was written instead of recomputing the lineage.
+    callers reuse what was written instead of recomputing the lineage, as long
+    as the input files are the same.
     """
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    key = (spark.sparkContext.applicationId, sf_dir, input_state(spark, sf_dir), name)
     with _LOCK:
         path = _TABLES.get(key)
         if path is None:
@@ -126,4 +139,6 @@ def complaints_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rule_counts(spark: SparkSession, sf_dir: str) -> dict:
     """Hard and soft rule failures observed while the loan candidates were written."""
     loan_candidates(spark, sf_dir)
-    return dict(_OBSERVED.get((spark.sparkContext.applicationId, sf_dir, "silver/loan_candidates"), {}))
+    return dict(_OBSERVED.get(
+        (spark.sparkContext.applicationId, sf_dir, input_state(spark, sf_dir), "silver/loan_candidates"), {}
+    ))

@@ -27,6 +27,7 @@ from .settings import (
     FIRST_ARRIVAL_LANG,
     HISTORY_RENAMES,
     HISTORY_SPLIT,
+    MOMENT_COLUMNS,
     ORDERS_SPLIT,
     QUERY_MIN_RESOLVED,
     RELAND_MONTH,
@@ -220,15 +221,64 @@ def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats(typed, "bronze").unionByName(stats(silver, "silver"))
 
 
+def reconcile_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loans, complaints and their segments: rows, narratives, null months, cells total and kept, month range."""
+    loans, complaints = medallion.loans_silver(spark, sf_dir), medallion.complaints_silver(spark, sf_dir)
+
+    def stats(df: DataFrame, what: str, month: str, special) -> DataFrame:
+        return df.agg(
+            F.lit(what).alias("what"),
+            F.count(F.lit(1)).alias("row_count"),
+            F.count_if(special).alias("selected"),
+            F.count_if(F.col(month).isNull()).alias("null_months"),
+            F.min(month).alias("first_month"),
+            F.max(month).alias("last_month"),
+        )
+
+    parts = [
+        stats(complaints, "complaints_with_narrative", "year_month", F.col("has_narrative")),
+        stats(loans.withColumn("m", derive.month_key("issue_date")), "resolved_loans", "m", F.col("is_resolved") == 1),
+        stats(panel.loan_segments(loans), "loan_cells_kept", "issue_month", F.col("resolved_loans") >= QUERY_MIN_RESOLVED),
+        stats(panel.complaint_segments(complaints), "complaint_cells", "issue_month", F.col("complaints") > 0),
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
+def year_counts_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Complaints per year: bronze, all families, lending families."""
+    bronze = medallion.complaints_bronze(spark, sf_dir)
+    typed = bronze.select(derive.month_key(parse.text_date("`Date received`")).alias("year_month"))
+    silver = medallion.complaints_silver(spark, sf_dir)
+    lending = silver.where(F.col("product_family").isin(LENDING_FAMILIES))
+    out = None
+    for layer, df in (("bronze", typed), ("silver", silver), ("lending", lending)):
+        part = df.groupBy(F.lit(layer).alias("layer"), derive.year_of_key("year_month").alias("yr")).agg(
+            F.count(F.lit(1)).alias("complaints")
+        )
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def table_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns, types and row counts of documents and labels, as a schema listing."""
+    out = None
+    for name in ("documents", "labels"):
+        df = tables.read_table(spark, sf_dir, name)
+        listed = profile.schema_frame(spark, df).crossJoin(df.agg(F.count(F.lit(1)).alias("row_count")))  # one row
+        listed = listed.withColumn("table_name", F.lit(name))
+        out = listed if out is None else out.unionByName(listed)
+    return out
+
+
 def row_floor(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Complaint bronze row count against a floor (a broken parse shows here)."""
     return quality.row_floor_report(medallion.complaints_bronze(spark, sf_dir), ROW_FLOOR)
 
 
 def taxonomy_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw product x family counts before a cut-off month, top 20."""
+    """Raw product x family counts before a cut-off month, every pair."""
     sc = medallion.complaints_silver(spark, sf_dir).where(F.col("year_month") < TAXONOMY_CUTOFF)
-    return aggregate.frequency_desc(sc, ["product", "product_family"], "complaints").limit(20)
+    return aggregate.frequency_desc(sc, ["product", "product_family"], "complaints")
 
 
 # ---------------------------------------------------------------- profiles A9-A10
@@ -247,9 +297,17 @@ def null_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def column_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = tables.read_table(spark, sf_dir, "lineitem").select(*SUMMARY_COLUMNS)
+    # Spark's summary leaves out dates and times; they are summarised as text.
+    li = li.withColumn("l_shipdate", F.to_date("l_shipdate").cast("string"))
     return profile.column_summary(li, ("count", "min", "max"))
 
 
+def column_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean and sample standard deviation of the numeric columns, to 6 decimals."""
+    li = tables.read_table(spark, sf_dir, "lineitem").select(*MOMENT_COLUMNS)
+    return profile.column_moments(li, 6)
+
+
 # ---------------------------------------------------------------- aggregates A11-A14, T1-T3
 def freq_desc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregate.frequency_desc(medallion.complaints_silver(spark, sf_dir), ["product_family"], "complaints")
@@ -293,7 +351,10 @@ def history_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     bulk = ev.where(F.col("ts") < F.lit(HISTORY_SPLIT[1]).cast("timestamp_ntz")).withColumn(
         SOURCE_FILE, F.lit("bulk")
     )
-    hist_raw = ev.where(F.col("ts") >= F.lit(HISTORY_SPLIT[0]).cast("timestamp_ntz")).select(
+    # Rows without a time are in the history extract: no split may lose them.
+    hist_raw = ev.where(
+        F.coalesce(F.col("ts") >= F.lit(HISTORY_SPLIT[0]).cast("timestamp_ntz"), F.lit(True))
+    ).select(
         *[F.col(new).alias(old) for old, new in HISTORY_RENAMES.items()]
     )
     hist = columns.rename_columns(hist_raw, HISTORY_RENAMES).withColumn(SOURCE_FILE, F.lit("history"))
@@ -326,6 +387,10 @@ QUERIES.update({
     "taxonomy_coverage": taxonomy_coverage,
     "null_profile": null_profile,
     "column_summary": column_summary,
+    "column_moments": column_moments,
+    "reconcile_segments": reconcile_segments,
+    "year_counts_all": year_counts_all,
+    "table_schemas": table_schemas,
     "freq_desc": freq_desc,
     "counts_by_year": counts_by_year,
     "min_max": min_max,
@@ -403,7 +468,7 @@ def month_file_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     def write(path: str) -> None:
         hist = _orders_typed(spark, sf_dir).where(F.col("o_orderdate") < F.lit(ORDERS_SPLIT[1]).cast("date"))
         hist = hist.drop("o_orderpriority").withColumn("ym", derive.month_key("o_orderdate"))
-        sinks.write_csv(hist, path, partition_by=["ym"])
+        sinks.write_csv(hist.hint("rebalance", "ym"), path, partition_by=["ym"])
 
     path = medallion.stored(spark, sf_dir, "landing/orders_month_files", write)
     raw = files.read_month_files(spark, f"{path}/*/*.csv", pattern=r"ym=(\d{4}-\d{2})")
@@ -416,7 +481,9 @@ def month_file_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         "file_month",
         F.lit("history").alias(SOURCE_FILE),
     )
-    bulk = _orders_typed(spark, sf_dir).where(F.col("o_orderdate") >= F.lit(ORDERS_SPLIT[0]).cast("date"))
+    # Rows without a date are in the bulk extract: no split may lose them.
+    recent = F.coalesce(F.col("o_orderdate") >= F.lit(ORDERS_SPLIT[0]).cast("date"), F.lit(True))
+    bulk = _orders_typed(spark, sf_dir).where(recent)
     bulk = bulk.withColumn(SOURCE_FILE, F.lit("bulk"))
     merged = dedup.latest_per_key(union.union_by_name(bulk, history), ["o_orderkey"], [SOURCE_FILE])
     month = derive.month_key("o_orderdate")
@@ -429,15 +496,12 @@ def month_file_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- streaming S4, K3
 def _ingest(spark: SparkSession, sf_dir: str, name: str, batches) -> DataFrame:
-    holder: dict = {}
-
     def write(base: str) -> None:
         ing = EvolvingCsvIngest(f"{base}/landing/*/*.csv", f"{base}/bronze", f"{base}/_checkpoint", id_col="doc_id")
         for i, frame in enumerate(batches(), start=1):
             sinks.write_csv(frame, f"{base}/landing/batch_{i}")
             ing.run(spark)
         ing.run(spark)  # nothing new: must add no rows
-        holder["ing"] = ing
 
     base = medallion.stored(spark, sf_dir, f"stream/{name}", write)
     bronze = spark.read.option("mergeSchema", "true").parquet(f"{base}/bronze")
@@ -458,7 +522,7 @@ def stream_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     def batches():
         docs = tables.read_table(spark, sf_dir, "documents")
         first = docs.where(F.col("lang") == FIRST_ARRIVAL_LANG).select("doc_id", "text", "lang")
-        later = docs.where(F.col("lang") != FIRST_ARRIVAL_LANG).select("doc_id", "source", "text", "lang", "n_chars")
+        later = docs.where(~F.col("lang").eqNullSafe(FIRST_ARRIVAL_LANG)).select("doc_id", "source", "text", "lang", "n_chars")
         return [first, later]
 
     return _ingest(spark, sf_dir, "documents_evolving", batches)

@@ -65,7 +65,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not configured:
-        # Local runs and tests only: a cluster names a shared folder instead.
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        # Local runs and tests only: one machine, so any folder is shared.
         configured = tempfile.mkdtemp(prefix="lakepanel-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -8,7 +8,12 @@ ROW_FLOOR = 1000
 # Months before this key are checked for taxonomy coverage.
 TAXONOMY_CUTOFF = "1998-01"
 # Columns summarised by ``column_summary``.
-SUMMARY_COLUMNS = ["l_quantity", "l_extendedprice", "l_discount", "l_linenumber", "l_returnflag"]
+SUMMARY_COLUMNS = [
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+    "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
+]
+# Numeric ones, whose mean and standard deviation are reported.
+MOMENT_COLUMNS = SUMMARY_COLUMNS[:8]
 # History backfill: the history extract starts at [0], the bulk extract ends at [1].
 HISTORY_SPLIT = ("2024-01-10", "2024-01-20")
 # History extract header -> canonical name (it has no ``props`` column).

@@ -1,23 +1,53 @@
 """Sinks: full-refresh tables, month-partitioned NDJSON landing.
 
-Every write is a Spark job commit: output appears only when all tasks
-succeed, so a lost executor means a retried task, never a partial table.
+Tables are published in two steps: the new version is written beside the old
+one by a Spark job commit, checked, and then switched in by renaming.  A job
+that fails, or a check that raises, leaves the old table as it was.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .files import read_ndjson
 
 
-def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Full refresh of a Parquet table (column names may hold spaces or ``?``)."""
-    writer = df.write.mode("overwrite")
+def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
+                check: Callable[[], object] | None = None) -> None:
+    """Full refresh of a Parquet table (column names may hold spaces or ``?``).
+
+    ``check`` runs after the new version is complete and before it replaces
+    the old one; if it raises, the old table stays.
+    """
+    spark = df.sparkSession
+    path = path.rstrip("/")
+    tag = uuid.uuid4().hex[:12]
+    target, staged, old = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, f"{path}__new_{tag}", f"{path}__old_{tag}"))
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    writer = df.write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    try:
+        writer.parquet(staged.toString())
+        if check:
+            check()
+    except BaseException:
+        fs.delete(staged, True)
+        raise
+    replaces = fs.exists(target)
+    if replaces and not fs.rename(target, old):
+        raise OSError(f"cannot move {path} aside")
+    if not fs.rename(staged, target):
+        if replaces:
+            fs.rename(old, target)
+        raise OSError(f"cannot publish {path}")
+    if replaces:
+        fs.delete(old, True)
+    spark.catalog.refreshByPath(path)
 
 
 def _quoted(text: str) -> str:
@@ -33,18 +63,40 @@ def save_view(spark: SparkSession, name: str, query: str, comment: str | None =
         spark.sql(f"ALTER VIEW {name} SET TBLPROPERTIES ('quality' = {_quoted(quality)})")
 
 
+def save_comment(spark: SparkSession, name: str, comment: str | None, quality: str | None) -> None:
+    """Comment and layer property of a catalog table."""
+    if comment:
+        spark.sql(f"COMMENT ON TABLE {name} IS {_quoted(comment)}")
+    if quality:
+        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('quality' = {_quoted(quality)})")
+
+
 def save_table(df: DataFrame, name: str, comment: str | None = None, quality: str | None = None,
-               partition_by: list[str] | None = None) -> None:
-    """Full refresh of a catalog table, with optional comment and layer property."""
-    writer = df.write.mode("overwrite")
+               partition_by: list[str] | None = None, check: Callable[[], object] | None = None) -> None:
+    """Full refresh of a catalog table, with optional comment and layer property.
+
+    Written under another name, checked, then renamed (see ``write_table``).
+    """
+    spark = df.sparkSession
+    tag = uuid.uuid4().hex[:12]
+    staged, old = f"{name}__new_{tag}", f"{name}__old_{tag}"
+    writer = df.write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(name)
-    spark = df.sparkSession
-    if comment:
-        spark.sql(f"COMMENT ON TABLE {name} IS '{comment.replace(chr(39), chr(39) * 2)}'")
-    if quality:
-        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('quality' = '{quality}')")
+    try:
+        writer.saveAsTable(staged)
+        if check:
+            check()
+        save_comment(spark, staged, comment, quality)
+    except BaseException:
+        spark.sql(f"DROP TABLE IF EXISTS {staged}")
+        raise
+    replaces = spark.catalog.tableExists(name)
+    if replaces:
+        spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
+    spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
+    if replaces:
+        spark.sql(f"DROP TABLE {old}")
 
 
 def write_csv(df: DataFrame, path: str, files: int | None = None,

@@ -11,6 +11,11 @@ after it.  So the stream carries only file *paths*:
       -> numeric-id filter, ingest stamps
       -> overwrite folder batch_id=<n>     (a replayed batch rewrites itself)
 
+Headers are read by the driver straight from the file system (a few kilobytes
+per file, several at once); no Spark job is started per file.  A file without
+the id column is set aside: its path and header go to ``rejected_path``, the
+batch's other files land.
+
 Readers use ``read_bronze`` (Parquet with ``mergeSchema``).  The file source
 records processed files in the checkpoint, so a rerun ingests only new files;
 ``maxFilesPerTrigger`` bounds how many paths one batch brings to the driver.
@@ -18,6 +23,8 @@ records processed files in the checkpoint, so a rerun ingests only new files;
 
 from __future__ import annotations
 
+import csv
+import io
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -59,23 +66,45 @@ class EvolvingCsvIngest:
     max_files_per_trigger: int = 1000
     header_threads: int = 16
 
+    @property
+    def rejected_path(self) -> str:
+        return f"{self.bronze_path.rstrip('/')}_rejected_files"
+
     def _header(self, spark: SparkSession, path: str) -> tuple[str, ...]:
-        # Reads the header record only (no inference, no data scan).
-        return tuple(spark.read.options(**QUOTED_MULTILINE_CSV).csv(path).columns)
+        """The header record of a file ('' of an empty file); it may hold quoted line feeds."""
+        jvm = spark._jvm
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).open(target)
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        try:
+            lines: list[str] = []
+            while (line := reader.readLine()) is not None:
+                lines.append(line)
+                if sum(x.count('"') for x in lines) % 2 == 0:
+                    break
+        finally:
+            reader.close()
+        text = "\n".join(lines).removeprefix("\ufeff")
+        return tuple(next(csv.reader(io.StringIO(text)), ()))
 
     def _write_batch(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        paths = [r.path for r in batch.select("path").collect()]
+        paths = sorted(r.path for r in batch.select("path").collect())
         if not paths:
             return
-        # Header reads are tiny jobs; run them concurrently (the scheduler
-        # accepts jobs from several driver threads).
-        paths = sorted(paths)
         with ThreadPoolExecutor(max_workers=self.header_threads) as pool:
             headers = list(pool.map(lambda p: self._header(spark, p), paths))
         groups: dict[tuple[str, ...], list[str]] = {}
+        rejected = []
         for p, h in zip(paths, headers):
-            groups.setdefault(h, []).append(p)
+            if h and self.id_col is not None and self.id_col not in h:
+                rejected.append((p, list(h), f"no column {self.id_col}"))
+            elif h:
+                groups.setdefault(h, []).append(p)
+        if rejected:
+            spark.createDataFrame(rejected, "path string, header array<string>, reason string").coalesce(1).write.mode(
+                "overwrite"
+            ).parquet(f"{self.rejected_path}/batch_id={batch_id}")
         frames = []
         for header, files in groups.items():
             schema = StructType([StructField(c, StringType(), True) for c in header])
@@ -83,8 +112,8 @@ class EvolvingCsvIngest:
             if self.id_col is not None:
                 df = df.where(is_numeric_id(F.col(f"`{self.id_col}`"), self.id_pattern))
             frames.append(stamp_ingest(df))
-        out = union_by_name(*frames)
-        out.write.mode("overwrite").parquet(f"{self.bronze_path.rstrip('/')}/batch_id={batch_id}")
+        if frames:
+            union_by_name(*frames).write.mode("overwrite").parquet(f"{self.bronze_path.rstrip('/')}/batch_id={batch_id}")
 
     def run(self, spark: SparkSession) -> None:
         """Process every file not seen before, then stop (``availableNow``)."""

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from lakepanel.operators import aggregate, calendar, columns, dedup, profile, quality, union
 from lakepanel.operators.columns import MissingColumnsError
-from lakepanel.operators.joins import bounded_broadcast
 from lakepanel.operators.quality import RowFloorError
 from lakepanel.sources.tables import rows_frame
 
@@ -133,6 +132,17 @@ def test_window_counts_zero_fill_and_gaps(spark):
     assert counts == {"2012-01": 2, "2012-02": 0, "2012-03": 1, "2012-04": 0}
     landed = recs.select(F.date_format("d", "yyyy-MM").alias("month"))
     assert sorted(r["month"] for r in calendar.coverage_gaps(spine, landed).collect()) == ["2012-02", "2012-04"]
+    few = calendar.coverage_gaps(spine, landed, min_rows=2).collect()
+    assert sorted(r["month"] for r in few) == ["2012-02", "2012-03", "2012-04"]
+
+
+def test_window_counts_leave_out_records_beyond_the_last_window(spark):
+    bounds = spark.createDataFrame([(dt.date(2012, 1, 5), dt.date(2012, 2, 10))], "start date, end date")
+    spine = calendar.month_spine_from_bounds(bounds)
+    days = [dt.date(2011, 12, 31), dt.date(2012, 1, 1), dt.date(2012, 2, 10), dt.date(2012, 2, 11)]
+    recs = spark.createDataFrame([(d,) for d in days], "d date")
+    got = {(r["window_start"], r["window_end"]): r["n"] for r in calendar.window_counts(spine, recs, "d", "n").collect()}
+    assert got == {(dt.date(2012, 1, 1), dt.date(2012, 1, 31)): 1, (dt.date(2012, 2, 1), dt.date(2012, 2, 10)): 1}
 
 
 def test_union_by_name_fills_missing_columns(spark):
@@ -148,18 +158,6 @@ def test_schema_frame_and_rows_frame(spark):
     assert got == [("id", "bigint", 0), ("Date received", "string", 1), ("amt", "double", 2)]
 
 
-def test_bounded_broadcast_only_below_its_bound(spark):
-    small = spark.range(10).withColumnRenamed("id", "k")
-    big = spark.range(1000).withColumnRenamed("id", "k")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        plan_small = big.join(bounded_broadcast(small, 100), "k")._jdf.queryExecution().executedPlan().toString()
-        plan_big = small.join(bounded_broadcast(big, 100), "k")._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "BroadcastHashJoin" in plan_small
-    assert "BroadcastHashJoin" not in plan_big and "SortMergeJoin" in plan_big
-
 
 def test_multi_count_is_one_pass(spark):
     df = spark.range(10)
