@@ -14,12 +14,21 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import work_dir
 
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 2048
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the Python workers, once per SparkContext.
 
+    Also bounds the rows of an Arrow batch where the session allows more: with
+    long texts, the default of 10,000 rows makes batches of tens of megabytes.
+
     The zip is built in the driver's temporary folder and distributed by
     Spark itself, so executors need no shared folder and no PYTHONPATH.
     """
+    if int(spark.conf.get(ARROW_ROWS)) > BATCH_ROWS:
+        spark.conf.set(ARROW_ROWS, str(BATCH_ROWS))
     sc = spark.sparkContext
     if getattr(sc, "_lakepanel_shipped", False):
         return

@@ -34,7 +34,7 @@ from .common import ship_package, stored, text_buffers
 from .suffix_array import permuted_common_prefixes, suffix_array
 from .windows import Plan, byte_units, covered, merge_windows
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def repeated_in_shard(table: pa.Table, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -27,6 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -338,28 +339,36 @@ def _emit(plan: Plan, raw: np.ndarray, units: Units, ids: tuple, sets: list) ->
 def grouped(run_rows: DataFrame, chunk_bytes: int) -> tuple[DataFrame, object]:
     """Runs with equal anchors side by side, and an iterator of chunks of whole groups."""
 
+    def pieces_of(table: pa.Table) -> Iterator[pa.Table]:
+        """Whole groups, together up to ``chunk_bytes``; a larger group is a piece of its own."""
+        keys = np.asarray(table.column("key"))
+        begin = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        ends = np.append(begin[1:], len(keys))
+        total = np.cumsum(np.asarray(pc.binary_length(table.column("body"))))
+        at = 0
+        while at < len(begin):
+            before = total[begin[at] - 1] if begin[at] else 0
+            stop = max(int(np.searchsorted(total[ends - 1], before + chunk_bytes, side="right")), at + 1)
+            yield table.slice(begin[at], ends[stop - 1] - begin[at]).combine_chunks()
+            at = stop
+
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         held: list[pa.RecordBatch] = []
-        size = 0
         for batch in batches:
-            while batch.num_rows:
-                held.append(batch)
-                size += batch.nbytes
-                batch = batch.slice(batch.num_rows)
-                if size < chunk_bytes:
-                    break
-                table = pa.Table.from_batches(held).combine_chunks()
-                keys = np.asarray(table.column("key"))
-                # The last group may go on in the next batch.
-                cut = int(np.searchsorted(keys, keys[-1]))
-                if cut:
-                    yield table.slice(0, cut)
-                held = table.slice(cut).to_batches()
-                size = sum(b.nbytes for b in held)
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            keys = np.asarray(batch.column(batch.schema.get_field_index("key")))
+            # The last group may go on in the next batch.
+            cut = int(np.searchsorted(keys, keys[-1]))
+            if cut:
+                yield from pieces_of(pa.Table.from_batches([*held[:-1], batch.slice(0, cut)]))
+                held = [batch.slice(cut)]
+            elif len(held) > 1 and held[-2].column("key")[-1].as_py() != keys[0]:
+                yield from pieces_of(pa.Table.from_batches(held[:-1]))
+                held = [batch]
         if held:
-            table = pa.Table.from_batches(held).combine_chunks()
-            if table.num_rows:
-                yield table
+            yield from pieces_of(pa.Table.from_batches(held))
 
     rows = run_rows.where("NOT hot").select("key", *ROW, "low", "body")
     return rows.repartition(F.col("key")).sortWithinPartitions("key"), chunks
