@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 from ..session import work_dir
 from .common import pieces, ship_package, stored
 
-CACHE_ENTRIES = 1 << 20
+CACHE_ENTRIES = 3 << 19
 LONGEST_KEY = 64
 
 # ------------------------------------------------------------- variable length
@@ -151,17 +151,20 @@ class ChunkEncoder:
         for raw in raws:
             parts = self.cut(raw)
             ids = list(map(get, parts))
-            missing = None in ids
-            if missing:
-                new.update(p for p, i in zip(parts, ids, strict=True) if i is None)
-            found.append((parts, ids) if missing else b"".join(ids))
+            missing, at = [], -1
+            if None in ids:
+                for _ in range(ids.count(None)):
+                    at = ids.index(None, at + 1)
+                    missing.append((at, parts[at]))
+                new.update(part for _, part in missing)
+            found.append((ids, missing))
         if new:
             self._learn(list(new))
-        own = self.ids
-        out = [
-            x if isinstance(x, bytes) else b"".join([own[p] if i is None else i for p, i in zip(*x, strict=True)])
-            for x in found
-        ]
+        own, out = self.ids, []
+        for ids, missing in found:
+            for at, part in missing:
+                ids[at] = own[part]
+            out.append(b"".join(ids))
         for part in new:
             if len(part) > LONGEST_KEY:
                 del own[part]
