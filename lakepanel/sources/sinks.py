@@ -71,32 +71,46 @@ def save_comment(spark: SparkSession, name: str, comment: str | None, quality: s
         spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('quality' = {_quoted(quality)})")
 
 
+def _location(spark: SparkSession, name: str) -> str | None:
+    """Folder of a catalog table; None if there is no such table."""
+    if not spark.catalog.tableExists(name):
+        return None
+    rows = spark.sql(f"DESCRIBE FORMATTED {name}").where("col_name = 'Location'").collect()
+    return rows[0]["data_type"] if rows else None
+
+
 def save_table(df: DataFrame, name: str, comment: str | None = None, quality: str | None = None,
                partition_by: list[str] | None = None, check: Callable[[], object] | None = None) -> None:
     """Full refresh of a catalog table, with optional comment and layer property.
 
-    Written under another name, checked, then renamed (see ``write_table``).
+    Every version is written to a folder of its own in the database's
+    location and checked there; then the table is pointed at it, and the
+    folder of the version before goes.
     """
     spark = df.sparkSession
-    tag = uuid.uuid4().hex[:12]
-    staged, old = f"{name}__new_{tag}", f"{name}__old_{tag}"
+    database, _, short = name.rpartition(".")
+    base = spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri
+    path = f"{base.rstrip('/')}/{short}__{uuid.uuid4().hex[:12]}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
     writer = df.write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     try:
-        writer.saveAsTable(staged)
+        writer.parquet(path)
         if check:
             check()
-        save_comment(spark, staged, comment, quality)
     except BaseException:
-        spark.sql(f"DROP TABLE IF EXISTS {staged}")
+        fs.delete(folder, True)
         raise
-    replaces = spark.catalog.tableExists(name)
-    if replaces:
-        spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
-    spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
-    if replaces:
-        spark.sql(f"DROP TABLE {old}")
+    old = _location(spark, name)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"CREATE TABLE {name} USING parquet LOCATION {_quoted(path)}")
+    if partition_by:
+        spark.sql(f"MSCK REPAIR TABLE {name}")
+    save_comment(spark, name, comment, quality)
+    if old and f"/{short}__" in old:
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(old), True)
 
 
 def write_csv(df: DataFrame, path: str, files: int | None = None,
