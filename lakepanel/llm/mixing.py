@@ -26,9 +26,10 @@ columns are kept by ``realise`` and ignored by ``copies``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from .common import stored
 
@@ -51,12 +52,16 @@ def _named(source: Column) -> Column:
     return F.coalesce(source.cast("string"), F.lit(""))
 
 
-def find_exponent(sources: DataFrame, target_entropy: float | None, max_repeats: float | None, budget: float | None) -> float:
-    """The exponent for a table of ``source, tokens, share``; smallest that meets the limit, or where the entropy is met."""
+def find_exponent(sources: DataFrame, target_entropy: float | None, max_repeats: float | None, budget_share: float | None) -> float:
+    """The exponent for a table of ``source, tokens, share``; smallest that meets the limit, or where the entropy is met.
+
+    ``budget_share`` is the budget as a multiple of the tokens there are; None
+    is the least budget that uses every source whole.
+    """
     low, high = 0.0, 1.0
     steps = 1 << HALVINGS
     for _ in range(PASSES):
-        grid = sources.select("share", "total", F.explode(F.sequence(F.lit(0), F.lit(steps))).alias("g"))
+        grid = sources.select("share", F.explode(F.sequence(F.lit(0), F.lit(steps))).alias("g"))
         alpha = F.lit(low) + F.col("g") * F.lit((high - low) / steps)
         grid = grid.withColumn("alpha", alpha).withColumn("power", F.pow("share", "alpha"))
         rows = (
@@ -66,7 +71,6 @@ def find_exponent(sources: DataFrame, target_entropy: float | None, max_repeats:
                 F.sum(F.col("power") * F.log("share")).alias("y"),
                 F.max(F.pow("share", F.col("alpha") - 1)).alias("most"),
                 F.max(F.pow("share", 1 - F.col("alpha"))).alias("least"),
-                F.first("total").alias("total"),
             )
             .orderBy("g")
             .collect()  # 33 rows
@@ -74,13 +78,11 @@ def find_exponent(sources: DataFrame, target_entropy: float | None, max_repeats:
         met = []
         for r in rows:
             if target_entropy is not None:
-                import math
-
                 met.append(math.log(r["z"]) - r["alpha"] * r["y"] / r["z"] <= target_entropy)
-            elif budget is None:
+            elif budget_share is None:
                 met.append(r["most"] * r["least"] <= max_repeats)
             else:
-                met.append(r["most"] / r["z"] * budget / r["total"] <= max_repeats)
+                met.append(r["most"] / r["z"] * budget_share <= max_repeats)
         k = next((i for i, ok in enumerate(met) if ok), steps)
         low, high = rows[max(k - 1, 0)]["alpha"], rows[k]["alpha"]
         if k == 0:
@@ -112,24 +114,21 @@ def plan(
     )
     sized = stored(sized, "mixing_sizes")
     totals = sized.groupBy("source").agg(F.sum("n_tokens").alias("tokens")).where("tokens > 0")
-    whole = totals.agg(F.sum("tokens").alias("total"))
-    sources = stored(
-        totals.crossJoin(F.broadcast(whole)).withColumn("share", F.col("tokens") / F.col("total")), "mixing_sources"
-    )  # the right side is one row
-    stats = sources.agg(F.count("*").alias("n"), F.sum(-F.col("share") * F.log("share")).alias("h"), F.first("total").alias("total")).first()
+    totals = stored(totals, "mixing_sources")
+    total = totals.agg(F.sum("tokens")).first()[0]
+    sources = totals.withColumn("share", F.col("tokens") / F.lit(total))
+    stats = sources.agg(F.count("*").alias("n"), F.sum(-F.col("share") * F.log("share")).alias("h")).first()
     if not stats["n"]:
         return sources.select(
             "source", "tokens", F.lit(1.0).alias("weight"), F.col("tokens").alias("quota"), F.lit(1).cast("long").alias("epochs"), F.lit("").alias("cut")
         )
     target = None
     if evenness is not None:
-        import math
-
         target = stats["h"] + evenness * (math.log(stats["n"]) - stats["h"])
-    spend = None if cover else float(stats["total"] if budget is None else budget)
-    alpha = find_exponent(sources, target, max_repeats, spend)
+    spend = float(total if budget is None else budget)
+    alpha = find_exponent(sources, target, max_repeats, None if cover else spend / total)
     powered = sources.withColumn("power", F.pow("share", F.lit(alpha)))
-    sums = powered.agg(F.sum("power").alias("z"), F.max(F.col("total") * F.pow("share", F.lit(1 - alpha))).alias("spread")).first()
+    sums = powered.agg(F.sum("power").alias("z"), F.max(F.lit(total) * F.pow("share", F.lit(1 - alpha))).alias("spread")).first()
     weight = F.col("power") / F.lit(sums["z"])
     if cover:
         quota = F.greatest(F.floor(weight * F.lit(sums["spread"] * sums["z"])), F.col("tokens"))
