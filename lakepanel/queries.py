@@ -264,8 +264,7 @@ def table_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = None
     for name in ("documents", "labels"):
         df = tables.read_table(spark, sf_dir, name)
-        listed = profile.schema_frame(spark, df).crossJoin(df.agg(F.count(F.lit(1)).alias("row_count")))  # one row
-        listed = listed.withColumn("table_name", F.lit(name))
+        listed = profile.schema_frame(spark, df).withColumns({"row_count": F.lit(df.count()), "table_name": F.lit(name)})
         out = listed if out is None else out.unionByName(listed)
     return out
 
