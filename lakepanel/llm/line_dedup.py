@@ -8,10 +8,11 @@ Plan: the distinct lines of each page, as 128-bit hashes, are counted per
 (host, line) with map-side combining; host totals are a second aggregate.  A
 host's boilerplate hashes become one array: since each of them is on more
 than ``max_ratio`` of the pages, there are at most ``mean distinct lines per
-page / max_ratio`` of them, so the array does not grow with the host.  Pages
-then meet their host's array in one join; a hot host's rows are split by
-adaptive skew handling, and no page's text is shuffled where the arrays are
-small enough for Spark's own broadcast limit.
+page / max_ratio`` of them, so the array does not grow with the host.  Lines
+and arrays are stored once, so that pages are parsed once and the size of the
+arrays is known when they meet in one join: below Spark's own broadcast limit
+no line is shuffled, beyond it a hot host's rows are split by adaptive skew
+handling.
 
 Defined results: a null page text or url keeps no lines and host ``''``; lines
 are trimmed, and blank lines are dropped and never counted; a line repeated
@@ -24,6 +25,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import stored
+
 # Elements without visible text, block-level tags (they end a
 # line), any other tag, and the entities that are decoded.
 HIDDEN = r"(?is)<(script|style|head|noscript)\b[^>]*>.*?</(script|style|head|noscript)\s*>|<!--.*?-->|<!doctype[^>]*>"
@@ -77,7 +80,8 @@ def drop_boilerplate(
 ) -> DataFrame:
     """``page_id, host, n_lines, n_removed, kept_text`` per page; kept lines are joined by line feeds."""
     cut = pages.select(F.col(page_id).alias("page_id"), host_of(F.col(url)).alias("host"), visible_lines(F.col(html)).alias("lines"))
-    found = boilerplate(cut, max_ratio, min_pages)
+    cut = stored(cut, "page_lines")
+    found = stored(boilerplate(cut, max_ratio, min_pages), "boilerplate")
     kept = F.when(F.col("boiler").isNull(), F.col("lines")).otherwise(
         F.filter("lines", lambda x: ~F.array_contains("boiler", _key(x)))
     )
