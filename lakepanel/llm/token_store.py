@@ -78,6 +78,8 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
 # apostrophe or a special token, is cut further: letters, single digits, signs.
 _ODD = re.compile(rb"[\xc0-\xc2\xc4-\xff]|\xc3[\x97\xb7]|'|<\|")
 _PARTS = re.compile(rb"[a-z\x80-\xff]+|[0-9]|[^\sa-z0-9\x80-\xff]+")
+# A part that is one word for certain: such letters, one digit, or ASCII signs.
+_SINGLE = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+|[0-9]|[!-&(-/:-@\[-`{-~]+")
 # The most common case, told apart without a regular expression: nothing but
 # such letters, white space, and full stops and commas that stand alone.
 _PLAIN = bytes(range(65, 91)) + bytes(range(97, 123)) + b" \t\n\r\x0b\x0c.,\xc3" + bytes(range(0x80, 0xC0))
@@ -95,6 +97,7 @@ class ChunkEncoder:
         self.tok.no_truncation()
         self.tok.no_padding()
         self.by_chunk = self._separable()
+        self.last = self._word_ends()
         self.width = np.dtype(width)
         self.ids: dict[bytes, bytes] = {}
 
@@ -124,23 +127,48 @@ class ChunkEncoder:
             for s in (" ", "\n", "\t", "\r", "\x0b", "\x0c")
         )
 
+    def _word_ends(self) -> np.ndarray | None:
+        """By token id: does it end a word?  None if the model does not say."""
+        suffix = getattr(self.tok.model, "end_of_word_suffix", None)
+        if not suffix:
+            return None
+        vocabulary = self.tok.get_vocab(with_added_tokens=True)
+        out = np.zeros(max(vocabulary.values()) + 1, bool)
+        out[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+        return out
+
     def _whole(self, raw: bytes) -> bytes:
         return np.array(self.tok.encode(raw.decode(), add_special_tokens=False).ids, self.width).tobytes()
 
+    def _joined(self, sign: str, parts: list[bytes]) -> np.ndarray:
+        text = sign.encode().join(parts).decode()
+        return np.array(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.width)
+
+    def _keep(self, parts: list[bytes], ids: np.ndarray, begin: np.ndarray, end: np.ndarray) -> None:
+        raw, size = ids.tobytes(), self.width.itemsize
+        for part, a, b in zip(parts, (begin * size).tolist(), (end * size).tolist(), strict=True):
+            self.ids[part] = raw[a:b]
+
     def _learn(self, parts: list[bytes]) -> None:
-        """Put the ids of ``parts`` into the cache, with one library call for all."""
+        """Put the ids of ``parts`` into the cache, with a library call or two for all."""
+        single = [p for p in parts if _SINGLE.fullmatch(p)] if self.last is not None else []
+        if single:
+            # One word each, so each ends with the one token that ends a word.
+            ids = self._joined(" ", single)
+            end = np.flatnonzero(self.last[ids]) + 1
+            if len(end) == len(single):
+                self._keep(single, ids, np.append(0, end[:-1]), end)
+                done = set(single)
+                parts = [p for p in parts if p not in done]
         mark = self.mark.encode()
-        plain = [w for w in parts if mark not in w]
+        plain = [p for p in parts if mark not in p]
         if plain:
-            joined = self.tok.encode_batch_fast([mark.join(plain).decode()], add_special_tokens=False)
-            ids, size = np.array(joined[0].ids, self.width), self.width.itemsize
-            cuts = np.flatnonzero(ids == self.mark_id).tolist()
-            raw = ids.tobytes()
-            for w, a, b in zip(plain, [0, *(c + 1 for c in cuts)], [*cuts, len(ids)], strict=True):
-                self.ids[w] = raw[size * a : size * b]
-        for w in parts:
-            if mark in w:
-                self.ids[w] = self._whole(w)
+            ids = self._joined(self.mark, plain)
+            cuts = np.flatnonzero(ids == self.mark_id)
+            self._keep(plain, ids, np.append(0, cuts + 1), np.append(cuts, len(ids)))
+        for p in parts:
+            if mark in p:
+                self.ids[p] = self._whole(p)
 
     def cut(self, raw: bytes | None) -> list[bytes]:
         """Parts of a text whose ids, joined, are the text's ids."""
@@ -158,18 +186,19 @@ class ChunkEncoder:
         for raw in raws:
             parts = self.cut(raw)
             ids = list(map(get, parts))
-            missing, at = [], -1
+            places, words, at = [], [], -1
             if None in ids:
                 for _ in range(ids.count(None)):
                     at = ids.index(None, at + 1)
-                    missing.append((at, parts[at]))
-                new.update(part for _, part in missing)
-            found.append((ids, missing))
+                    places.append(at)
+                    words.append(parts[at])
+                new.update(words)
+            found.append((ids, places, words))
         if new:
             self._learn(list(new))
         own, out = self.ids, []
-        for ids, missing in found:
-            for at, part in missing:
+        for ids, places, words in found:
+            for at, part in zip(places, words, strict=True):
                 ids[at] = own[part]
             out.append(b"".join(ids))
         for part in new:
