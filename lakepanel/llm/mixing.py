@@ -137,9 +137,10 @@ def plan(
     quotas = powered.select("source", "tokens", weight.alias("weight"), quota.cast("long").alias("quota"))
     quotas = quotas.withColumn("epochs", F.floor(F.col("quota") / F.col("tokens")).cast("long"))
     quotas = stored(quotas.withColumn("rest", F.col("quota") - F.col("epochs") * F.col("tokens")), "mixing_quotas")
-    return quotas.join(_cuts(sized, quotas), "source", "left").select(
-        "source", "tokens", "weight", "quota", "epochs", F.coalesce("cut", F.lit("")).alias("cut")
-    )
+    cuts = quotas.join(_cuts(sized, quotas), "source", "left")
+    # Stored, so that its size is known where it meets the documents: below
+    # Spark's own broadcast limit no text is dealt out by its source.
+    return stored(cuts.select("source", "tokens", "weight", "quota", "epochs", F.coalesce("cut", F.lit("")).alias("cut")), "mixing_plan")
 
 
 def _end_block(cells: DataFrame, block: Column) -> DataFrame:
@@ -155,7 +156,7 @@ def _cuts(sized: DataFrame, quotas: DataFrame) -> DataFrame:
     one = F.substring("place", 1, PREFIX)
     two = F.substring("place", 1, 2 * PREFIX)
     open_ = quotas.where("rest > 0").select("source", "rest")
-    first = _end_block(sized.join(open_, "source"), one)
+    first = stored(_end_block(sized.join(open_, "source"), one), "mixing_blocks")
     inside = sized.join(first, "source").where(one == F.col("block")).drop("block")
     second = stored(_end_block(inside, two), "mixing_blocks")
     inside = sized.join(second, "source").where(two == F.col("block"))
