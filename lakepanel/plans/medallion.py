@@ -36,11 +36,11 @@ _OBSERVED: dict[tuple[str, str, str, str], dict] = {}
 
 
 def input_state(spark: SparkSession, folder: str) -> str:
-    """Names, sizes and times of the files in ``folder`` and its table folders."""
+    """Names, sizes and times of the files in ``folder`` and its table folders (none if it is absent)."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    seen = []
-    for entry in fs.listStatus(path):
+    seen: list[str] = []
+    for entry in fs.listStatus(path) if fs.exists(path) else []:
         inner = fs.listStatus(entry.getPath()) if entry.isDirectory() else [entry]
         seen += [f"{f.getPath()} {f.getLen()} {f.getModificationTime()}" for f in inner]
     return hashlib.sha256("\n".join(sorted(seen)).encode()).hexdigest()
