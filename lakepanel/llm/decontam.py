@@ -1,27 +1,33 @@
 """Operator 5: benchmark decontamination by q-gram lemma filtering.
 
 A document is contaminated by a benchmark item if some part of it is within
-the item's edit budget (``rate`` of its length) of the whole item.  Both are
-compared lower-cased, with every run of other characters than letters and
-digits as one space.
+the edit budget (``rate`` of the length) of the whole item, or of any
+``WINDOW`` consecutive characters of a longer item.  Both are compared
+lower-cased, with every run of other characters than letters and digits as one
+space.
 
-* A part within ``e`` edits of an item of ``m`` characters shares at least
-  ``m - q + 1 - q * e`` of its q-grams, on diagonals (place in the document
+* A part within ``e`` edits of ``m`` characters shares at least
+  ``m - q + 1 - q * e`` of their q-grams, on diagonals (place in the document
   less place in the item) at most ``e`` apart.
-* Shared q-grams are counted in bands of ``2 e + 1`` diagonals that overlap by
-  ``e + 1``, so that one band holds all of a match.  Bands below the bound are
-  discarded.
+* The item places of shared q-grams are kept in bands of ``2 e + 1`` diagonals
+  that overlap by ``e + 1``, so that one band holds all of a match.  In each
+  band, every start of a window that holds as many places as the bound is a
+  candidate; all others are discarded.
 * What is left is verified by a banded alignment with free ends in the
-  document.
+  document.  Windows are aligned from their end: the characters after which an
+  alignment is beyond the budget rule out all starts before them at once.
+* Windows in budget that overlap in the document are merged.
 
 The items' q-gram index is broadcast.  Its size is bounded: items are dealt
 into blocks of about ``block_chars`` characters, and every block is searched in
 all documents.  Documents are not shuffled.
 
 Defined results: null and empty texts have no regions; items that are null,
-or shorter than ``q`` characters once normalised, take no part; rows that
-repeat an item report it each; an empty benchmark finds nothing; regions of
-one item that overlap are reported once, the one with fewest edits first.
+or shorter than ``q`` characters once normalised, take no part; rows that repeat an item
+report it each; an empty benchmark finds nothing; regions of one item that
+overlap are reported once, whole items before windows and the one with fewest
+edits first; a region of windows has the edits of its worst window, and its
+ends are looked for in steps of ``STEP`` characters.
 """
 
 from __future__ import annotations
@@ -41,6 +47,8 @@ from .common import ship_package
 from .windows import _mix, substring_hash
 
 FILTER_BITS = 22
+WINDOW = 100
+STEP = 10
 REGION = "array<struct<item_id:bigint,start:bigint,stop:bigint,edits:int>>"
 
 
@@ -64,52 +72,63 @@ def _hashed(points: np.ndarray) -> np.ndarray:
 
 
 @dataclass
-class Index:
-    """q-grams of some items: sorted hashes, with the item and place of each."""
+class Grams:
+    """q-grams of the items that use one ``q``: sorted hashes, with the item and place of each."""
 
     q: int
-    items: list[tuple[int, np.ndarray]]
-    budget: np.ndarray
-    needed: np.ndarray
     grams: np.ndarray
     item: np.ndarray
     place: np.ndarray
     bloom: np.ndarray
 
 
+@dataclass
+class Index:
+    """Some items, the edit budget of each, and their q-grams by length."""
+
+    q: int
+    rate: float
+    items: list[tuple[int, np.ndarray]]
+    budget: np.ndarray
+    size: np.ndarray
+    gram: np.ndarray  # q of each item
+    parts: list[Grams]
+
+
+def gram_length(m: int, q: int, rate: float) -> int:
+    """``q`` for all items."""
+    return q
+
+
 def build_index(items: list[tuple[int, str]], q: int, rate: float) -> Index:
-    kept, budget, needed, grams, owner, place = [], [], [], [], [], []
+    kept: list[tuple[int, np.ndarray]] = []
     for item_id, text in items:
         points = normalised(text)[0] if text else np.empty(0, np.uint32)
         while len(points) and points[-1] == 32:
             points = points[:-1]
-        m = len(points)
-        if m < q:
-            continue
-        # The bound must stay above 0 to filter at all.
-        e = max(0, min(int(rate * m), (m - q) // q))
-        found = substring_hash(_hashed(points), q)
-        grams.append(found)
-        owner.append(np.full(len(found), len(kept)))
-        place.append(np.arange(len(found)))
-        kept.append((item_id, points))
-        budget.append(e)
-        needed.append(m - q + 1 - q * e)
-    if not kept:
-        none = np.empty(0, np.int64)
-        return Index(q, [], none, none, np.empty(0, np.uint64), none, none, np.zeros(1 << FILTER_BITS, bool))
-    grams, owner, place = np.concatenate(grams), np.concatenate(owner), np.concatenate(place)
-    order = np.argsort(grams, kind="stable")
-    bloom = np.zeros(1 << FILTER_BITS, bool)
-    bloom[grams >> np.uint64(64 - FILTER_BITS)] = True
-    return Index(q, kept, np.array(budget), np.array(needed), grams[order], owner[order], place[order], bloom)
-
-
-def banded_alignment(item: np.ndarray, body: np.ndarray, low: int, width: int, budget: int) -> tuple[int, int, int] | None:
+        if len(points) >= q:
+            kept.append((item_id, points))
+    size = np.array([len(points) for _, points in kept], np.int64)
+    gram = np.array([gram_length(m, q, rate) for m in size.tolist()], np.int64)
+    parts = []
+    for own in np.unique(gram).tolist():
+        members = np.flatnonzero(gram == own)
+        found = [substring_hash(_hashed(kept[k][1]), own) for k in members]
+        grams, owner = np.concatenate(found), np.repeat(members, [len(f) for f in found])
+        place = np.concatenate([np.arange(len(f)) for f in found])
+        order = np.argsort(grams, kind="stable")
+        bloom = np.zeros(1 << FILTER_BITS, bool)
+        bloom[grams >> np.uint64(64 - FILTER_BITS)] = True
+        parts.append(Grams(own, grams[order], owner[order], place[order], bloom))
+    return Index(q, rate, kept, np.array([max(0, min(int(rate * m), (m - q) // q)) for m in size.tolist()], np.int64), size, gram, parts)
+
+
+def banded_alignment(item: np.ndarray, body: np.ndarray, low: int, width: int, budget: int) -> tuple[int, int, int] | int:
     """Fewest edits of ``item`` against a part of ``body``, within diagonals ``low`` to ``low + width - 1``.
 
-    Returns (edits, start, stop) or None beyond the budget.  Row by row; the
-    insertions along a row are one running minimum.
+    Returns (edits, start, stop), or beyond the budget how many characters of
+    ``item`` are enough to exceed it.  Row by row; the insertions along a row are
+    one running minimum.
     """
     k = np.arange(width)
     column = low + k  # places in body at the item's first character
@@ -130,57 +149,141 @@ def banded_alignment(item: np.ndarray, body: np.ndarray, low: int, width: int, b
         cost = np.where(valid | (at + 1 <= len(body)), best[source] + (k - source), big)
         start = origin[source]
         if cost.min() > budget:
-            return None
+            return i + 1
     end = column + len(item)
     cost = np.where((end >= 0) & (end <= len(body)), cost, big)
     at = int(cost.argmin())
     if cost[at] > budget:
-        return None
+        return len(item)
     return int(cost[at]), int(start[at]), int(end[at])
 
 
+def candidates(
+    item: np.ndarray, place: np.ndarray, diagonal: np.ndarray, size: np.ndarray, budget: np.ndarray, q: int
+) -> list[tuple[int, int, int, int]]:
+    """``item, low, first, last``: where windows of ``size`` characters of an item share enough q-grams.
+
+    ``low`` is the band's lowest diagonal; ``size`` and ``budget`` are per item.
+    Hits that share an item and a band are looked at together.
+    """
+    needed = size - q + 1 - q * budget
+    enough = np.bincount(item, minlength=len(size)) >= needed
+    keep = enough[item]
+    if not keep.any():
+        return []
+    item, place, diagonal = item[keep], place[keep], diagonal[keep]
+    # Band b holds diagonals b * step to (b + 2) * step - 1.
+    band = diagonal // np.maximum(budget, 1)[item]
+    least = int(band.min()) - 1
+    bands, span = int(band.max()) - least + 1, int(place.max()) + int(size.max()) + 1
+    key = item * bands + band - least
+    packed = np.unique(np.concatenate([key, key - 1]) * span + np.concatenate([place, place]))
+    own = packed // (span * bands)
+    last = np.arange(len(packed)) + needed[own] - 1
+    good = last < len(packed)
+    good[good] = packed[last[good]] - packed[good] <= (size[own] - q)[good]
+    out: list[tuple[int, int, int, int]] = []
+    for a, z, it in zip(packed[good].tolist(), packed[last[good]].tolist(), own[good].tolist(), strict=True):
+        b = a // span % bands + least
+        low = b * max(int(budget[it]), 1) - int(budget[it])
+        first, final = max(0, z % span - int(size[it]) + q), a % span
+        if out and out[-1][:2] == (it, low) and first <= out[-1][3] + 1:
+            out[-1] = (it, low, out[-1][2], max(final, out[-1][3]))
+        else:
+            out.append((it, low, first, final))
+    return out
+
+
+def windows_in_budget(
+    item: np.ndarray, body: np.ndarray, low: int, first: int, last: int, size: int, budget: int
+) -> Iterator[tuple[int, int, int]]:
+    """(edits, start, stop) of the item's windows of ``size`` characters that start from ``first`` to ``last``."""
+    width = 2 * max(budget, 1) + 1 + 2 * budget
+    last = min(last, len(item) - size)
+    at = first
+    while at <= last:
+        a, z = max(0, low + at), max(0, min(len(body), low + at + size + width))
+        back = z - size - (low + at) - width + 1
+        found = banded_alignment(item[at : at + size][::-1], body[a:z][::-1], back, width, budget)
+        if isinstance(found, int):
+            at += size - found + 1
+            continue
+        yield found[0], z - found[2], z - found[1]
+        at = min(at + STEP, last) if at < last else last + 1
+
+
+def _merged(found: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """(edits, start, stop) with those that overlap or touch as one."""
+    out: list[tuple[int, int, int]] = []
+    for edits, start, stop in sorted(found, key=lambda r: r[1:]):
+        if out and start <= out[-1][2]:
+            out[-1] = (max(edits, out[-1][0]), out[-1][1], max(stop, out[-1][2]))
+        else:
+            out.append((edits, start, stop))
+    return out
+
+
 def regions(index: Index, text: str | None) -> list[dict]:
     """Regions of one whole text that are within an item's edit budget."""
     if not text or not index.items:
         return []
     points, places = normalised(text)
-    if len(points) < index.q:
-        return []
-    grams = substring_hash(_hashed(points), index.q)
-    maybe = np.flatnonzero(index.bloom[grams >> np.uint64(64 - FILTER_BITS)])
-    left = np.searchsorted(index.grams, grams[maybe], side="left")
-    count = np.searchsorted(index.grams, grams[maybe], side="right") - left
+    hashed = _hashed(points)
+    out: list[dict] = []
+    for part in index.parts:
+        if len(points) >= part.q:
+            _part_regions(index, part, points, places, hashed, out)
+    return sorted(out, key=lambda r: (r["start"], r["item_id"]))
+
+
+def _part_regions(index: Index, part: Grams, points: np.ndarray, places: np.ndarray, hashed: np.ndarray, out: list[dict]) -> None:
+    grams = substring_hash(hashed, part.q)
+    maybe = np.flatnonzero(part.bloom[grams >> np.uint64(64 - FILTER_BITS)])
+    left = np.searchsorted(part.grams, grams[maybe], side="left")
+    count = np.searchsorted(part.grams, grams[maybe], side="right") - left
     maybe, left, count = maybe[count > 0], left[count > 0], count[count > 0]
     if not len(maybe):
-        return []
+        return
     at = np.repeat(left - np.cumsum(count) + count, count) + np.arange(count.sum())
-    item = index.item[at]
-    # Items with too few shared q-grams in the whole text need no bands.
-    enough = np.bincount(item, minlength=len(index.items)) >= index.needed
-    keep = enough[item]
+    item, place, seen = part.item[at], part.place[at], np.repeat(maybe, count)
+    done: dict[int, list[tuple[int, int]]] = {}
+
+    def add(it: int, found: list[tuple[int, int, int]]) -> None:
+        own = done.setdefault(it, [])
+        for edits, start, stop in found:
+            if all(stop <= a or start >= z for a, z in own):
+                own.append((start, stop))
+                out.append({"item_id": int(index.items[it][0]), "start": int(places[start]), "stop": int(places[stop - 1]) + 1, "edits": edits})
+
+    whole: dict[int, list[tuple[int, int, int]]] = {}
+    for it, low, _, _ in candidates(item, place, seen - place, index.size, index.budget, part.q):
+        wanted, e = index.items[it][1], int(index.budget[it])
+        a, z = max(0, low), max(0, min(len(points), low + len(wanted) + 4 * e + 3))
+        found = banded_alignment(wanted, points[a:z], low - a, 2 * max(e, 1) + 1 + 2 * e, e)
+        if isinstance(found, int):
+            continue
+        edits, start, stop = found[0], found[1] + a, found[2] + a
+        ends = (start == 0 or points[start - 1] == 32) and (stop == len(points) or points[stop] == 32)
+        if ends or len(wanted) >= index.q:
+            whole.setdefault(it, []).append((edits, start, stop))
+    for it, found in whole.items():
+        add(it, sorted(found))
+
+    # Windows of longer items, but for the hits inside a whole one.
+    keep = index.size[item] > WINDOW
+    for it, own in done.items():
+        mine = item == it
+        for a, z in own:
+            keep &= ~(mine & (seen >= a) & (seen + part.q <= z))
     if not keep.any():
-        return []
-    item, diagonal = item[keep], (np.repeat(maybe, count) - index.place[at])[keep]
-    out = []
-    for it in np.unique(item):
-        item_id, wanted = index.items[it]
-        e = int(index.budget[it])
-        step = max(e, 1)
-        own = diagonal[item == it]
-        bands = np.concatenate([own // step, own // step - 1])  # band b holds diagonals b * step to (b + 2) * step - 1 and one more
-        values, n = np.unique(bands, return_counts=True)
-        taken: list[tuple[int, int, int]] = []
-        for b in values[n >= index.needed[it]].tolist():
-            low = b * step - e
-            found = banded_alignment(wanted, points, low, 2 * step + 1 + 2 * e, e)
-            if found:
-                taken.append(found)
-        done: list[tuple[int, int]] = []
-        for edits, start, stop in sorted(taken):
-            if all(stop <= a or start >= z for a, z in done):
-                done.append((start, stop))
-                out.append({"item_id": int(item_id), "start": int(places[start]), "stop": int(places[stop - 1]) + 1, "edits": edits})
-    return sorted(out, key=lambda r: (r["start"], r["item_id"]))
+        return
+    e = int(index.rate * WINDOW)
+    size = np.full(len(index.items), WINDOW)
+    windowed: dict[int, list[tuple[int, int, int]]] = {}
+    for it, low, first, last in candidates(item[keep], place[keep], (seen - place)[keep], size, np.full(len(size), e), part.q):
+        windowed.setdefault(it, []).extend(windows_in_budget(index.items[it][1], points, low, first, last, WINDOW, e))
+    for it, found in windowed.items():
+        add(it, _merged(found))
 
 
 def item_blocks(benchmark: DataFrame, item_id: str, text: str, block_chars: int) -> Iterator[list[tuple[int, str]]]:

@@ -123,6 +123,39 @@ def test_decontamination_against_full_alignment():
                 assert min(found[item]) == edits
 
 
+def test_decontamination_keeps_windows_in_budget():
+    rng = random.Random(19)
+    words, outcomes = ["the", "of", "inger", "alpha", "onwh", "shea", "it", "reou", "tion"], Counter()
+    for _ in range(24):
+        item = prose(rng, 60, words)[: rng.randint(101, 125)].strip()
+        a = rng.randint(0, 12)
+        body = list(item[a : a + rng.randint(92, 112)])
+        for _ in range(rng.choice([0, 4, 6, 7, 8])):
+            p = rng.randrange(len(body))
+            body[p : p + rng.randint(0, 1)] = rng.choice(["x", "", "yz"])
+        text = prose(rng, rng.randint(0, 5), words) + " . " + "".join(body) + " " + prose(rng, rng.randint(0, 5), words)
+        found = decontam.regions(decontam.build_index([(1, item)], 12, 0.06), text)
+        wanted, points = (decontam.normalised(t)[0].tolist() for t in (item, text))
+        best = min(_fewest_edits(wanted[k : k + 100], points) for k in range(len(wanted) - 99))
+        whole = _fewest_edits(wanted, points) <= int(0.06 * len(wanted))
+        outcomes[bool(found)] += 1
+        assert bool(found) == (best <= 6 or whole)
+    assert min(outcomes[True], outcomes[False]) > 3
+
+
+def test_decontamination_by_parts_of_an_item():
+    rng = random.Random(20)
+    item = prose(rng, 90)
+    index = decontam.build_index([(1, item), (2, prose(rng, 90))], 12, 0.06)
+    for text in (item[:195] + " " + prose(rng, 50), prose(rng, 50) + " " + item[-130:], prose(rng, 30) + " " + item[100:215] + " " + prose(rng, 30)):
+        (found,) = decontam.regions(index, text)
+        assert found["item_id"] == 1 and found["edits"] <= 6 and found["stop"] - found["start"] >= 113
+    thirds = "".join(c if k % 9 or 130 < k < 250 else "#" for k, c in enumerate(item))  # too many edits but for one stretch
+    assert [r["item_id"] for r in decontam.regions(index, thirds)] == [1]
+    assert decontam.regions(index, item[40:120] + " " + prose(rng, 50)) == []
+    assert len(decontam.regions(index, item[:150] + " " + prose(rng, 50) + " " + item[:150])) == 2
+
+
 def test_decontamination_of_odd_rows(spark):
     rng = random.Random(10)
     item = prose(rng, 30)
