@@ -23,7 +23,9 @@ into blocks of about ``block_chars`` characters, and every block is searched in
 all documents.  Documents are not shuffled.
 
 Defined results: null and empty texts have no regions; items that are null,
-or shorter than ``q`` characters once normalised, take no part; rows that repeat an item
+or have no letter or digit, take no part; items too short for ``q`` and
+their budget get a smaller ``q``, and those under ``q`` characters have to occur
+as they are, from word boundary to word boundary; rows that repeat an item
 report it each; an empty benchmark finds nothing; regions of one item that
 overlap are reported once, whole items before windows and the one with fewest
 edits first; a region of windows has the edits of its worst window, and its
@@ -96,8 +98,8 @@ class Index:
 
 
 def gram_length(m: int, q: int, rate: float) -> int:
-    """``q`` for all items."""
-    return q
+    """``q``, or the largest smaller length that keeps the bound of ``m`` characters above 0."""
+    return max(1, min(q, m // (int(rate * m) + 1)))
 
 
 def build_index(items: list[tuple[int, str]], q: int, rate: float) -> Index:
@@ -106,7 +108,7 @@ def build_index(items: list[tuple[int, str]], q: int, rate: float) -> Index:
         points = normalised(text)[0] if text else np.empty(0, np.uint32)
         while len(points) and points[-1] == 32:
             points = points[:-1]
-        if len(points) >= q:
+        if len(points):
             kept.append((item_id, points))
     size = np.array([len(points) for _, points in kept], np.int64)
     gram = np.array([gram_length(m, q, rate) for m in size.tolist()], np.int64)
@@ -120,7 +122,7 @@ def build_index(items: list[tuple[int, str]], q: int, rate: float) -> Index:
         bloom = np.zeros(1 << FILTER_BITS, bool)
         bloom[grams >> np.uint64(64 - FILTER_BITS)] = True
         parts.append(Grams(own, grams[order], owner[order], place[order], bloom))
-    return Index(q, rate, kept, np.array([max(0, min(int(rate * m), (m - q) // q)) for m in size.tolist()], np.int64), size, gram, parts)
+    return Index(q, rate, kept, np.array([int(rate * m) for m in size.tolist()], np.int64), size, gram, parts)
 
 
 def banded_alignment(item: np.ndarray, body: np.ndarray, low: int, width: int, budget: int) -> tuple[int, int, int] | int:

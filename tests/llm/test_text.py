@@ -156,6 +156,22 @@ def test_decontamination_by_parts_of_an_item():
     assert len(decontam.regions(index, item[:150] + " " + prose(rng, 50) + " " + item[:150])) == 2
 
 
+def test_decontamination_holds_short_items_to_the_stated_rate():
+    rng = random.Random(23)
+    for m in [*range(1, 12), 12, 16, *range(17, 37), 49, 50, 67]:
+        item = "".join(rng.choice("abcdefghij") for _ in range(m))
+        index, e = decontam.build_index([(1, item), (2, ""), (3, "?!")], 12, 0.06), int(0.06 * m)
+        assert index.budget.tolist() == [e]
+        edited = list(item)
+        for k in range(e):
+            edited[(k + 1) * m // (e + 1)] = "z"
+        (found,) = decontam.regions(index, "xx " + "".join(edited).upper() + ", yy")
+        assert (found["start"], found["stop"], found["edits"]) == (3, 3 + m, e)
+        assert [r["start"] for r in decontam.regions(index, item)] == [0]
+        if m < 12:
+            assert decontam.regions(index, f"x{item} {item}y") == []
+
+
 def test_decontamination_of_odd_rows(spark):
     rng = random.Random(10)
     item = prose(rng, 30)
