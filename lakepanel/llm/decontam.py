@@ -20,7 +20,9 @@ space.
 
 The items' q-gram index is broadcast.  Its size is bounded: items are dealt
 into blocks of about ``block_chars`` characters, and every block is searched in
-all documents.  Documents are not shuffled.
+all documents.  With one block, documents are not shuffled; with more, one
+block's index at a time is built and broadcast, and the regions found, without
+the texts, are stored and joined to the documents.
 
 Defined results: null and empty texts have no regions; items that are null,
 or have no letter or digit, take no part; items too short for ``q`` and
@@ -42,10 +44,10 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship_package
+from .common import ship_package, stored
 from .windows import _mix, substring_hash
 
 FILTER_BITS = 22
@@ -288,15 +290,19 @@ def _part_regions(index: Index, part: Grams, points: np.ndarray, places: np.ndar
         add(it, _merged(found))
 
 
-def item_blocks(benchmark: DataFrame, item_id: str, text: str, block_chars: int) -> Iterator[list[tuple[int, str]]]:
-    """The items in blocks of about ``block_chars`` characters; one block at a time is on the driver."""
+def item_blocks(benchmark: DataFrame, item_id: str, text: str, block_chars: int) -> tuple[int, Iterator[list[tuple[int, str]]]]:
+    """The items in blocks of about ``block_chars`` characters, and how many; one block at a time is on the driver."""
     items = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(text).alias("text"))
     items = items.where("text IS NOT NULL AND item_id IS NOT NULL")
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     n = max(1, math.ceil(total / block_chars))
-    for b in range(n):
-        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == b).orderBy("item_id", "text").collect()
-        yield [(r["item_id"], r["text"]) for r in rows]
+
+    def blocks() -> Iterator[list[tuple[int, str]]]:
+        for b in range(n):
+            rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == b).orderBy("item_id", "text").collect()
+            yield [(r["item_id"], r["text"]) for r in rows]
+
+    return n, blocks()
 
 
 def _finder(shared):
@@ -308,33 +314,50 @@ def _finder(shared):
     return find
 
 
-def contaminated_regions(
-    spark,
+def with_regions(
+    docs: DataFrame,
     benchmark: DataFrame,
-    text: Column,
+    text: str = "text",
     q: int = 12,
     rate: float = 0.06,
     item_id: str = "item_id",
     item_text: str = "text",
     block_chars: int = 1 << 22,
-) -> Column:
-    """Column of a text's regions (``item_id, start, stop, edits``), to be used in a projection.
+) -> DataFrame:
+    """``docs`` and the regions of each text, ``__regions`` (``item_id, start, stop, edits``).
 
-    Places are characters of the lower-cased text.
+    Places are characters of the lower-cased text.  With more than one block,
+    each block's pass stores the regions it finds, under two hashes of the text,
+    and its index is freed before the next one is built.
     """
+    spark = docs.sparkSession
     ship_package(spark)
-    parts = []
-    for items in item_blocks(benchmark, item_id, item_text, block_chars):
+    n, blocks = item_blocks(benchmark, item_id, item_text, block_chars)
+    if n == 1:
+        shared = spark.sparkContext.broadcast(build_index(next(blocks), q, rate))
+        return docs.withColumn("__regions", _finder(shared)(docs[text]))
+    key = ["__key", "__key_2"]
+    keyed = docs.withColumns({"__key": F.xxhash64(docs[text]), "__key_2": F.xxhash64(F.lit(1), docs[text])})
+    found = None
+    for items in blocks:
         shared = spark.sparkContext.broadcast(build_index(items, q, rate))
-
-        parts.append(_finder(shared)(text))
-    return parts[0] if len(parts) == 1 else F.concat(*parts)
+        # Nondeterministic, so that the filter does not run it a second time.
+        mine = _finder(shared).asNondeterministic()(keyed[text])
+        part = stored(keyed.select(*key, mine.alias("own")).where(F.size("own") > 0), "regions")
+        shared.destroy()
+        part = part.groupBy(*key).agg(F.first("own").alias("own"))  # equal texts have equal regions
+        found = part if found is None else found.unionByName(part)
+    by_start = F.transform(F.flatten(F.collect_list("own")), lambda r: F.struct(r["start"], r["item_id"], r["stop"], r["edits"]))
+    back = F.transform(F.array_sort(by_start), lambda r: F.struct(r["item_id"], r["start"], r["stop"], r["edits"])).cast(REGION)
+    found = found.groupBy(*key).agg(back.alias("__found"))
+    regions_ = F.coalesce("__found", F.array().cast(REGION))
+    return keyed.join(found, key, "left").withColumn("__regions", regions_).drop(*key, "__found")
 
 
 def verdicts(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """``doc_id, contaminated, n_regions, items, regions`` per row of ``docs``."""
-    found = contaminated_regions(docs.sparkSession, benchmark, F.col(text), **options)
-    return docs.select(F.col(doc_id).alias("doc_id"), found.alias("regions")).select(
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    return with_regions(rows, benchmark, **options).select("doc_id", F.col("__regions").alias("regions")).select(
         "doc_id",
         (F.size("regions") > 0).alias("contaminated"),
         F.size("regions").cast("long").alias("n_regions"),
@@ -345,5 +368,4 @@ def verdicts(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` without a region, all columns kept."""
-    found = contaminated_regions(docs.sparkSession, benchmark, docs[text], **options)
-    return docs.withColumn("__regions", found).where(F.size("__regions") == 0).drop("__regions")
+    return with_regions(docs, benchmark, text, **options).where(F.size("__regions") == 0).drop("__regions")

@@ -1,5 +1,6 @@
 """Operators 1, 3, 4, 5, 9 and 10."""
 
+import os
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -13,6 +14,7 @@ from helpers import DOCS, documents, prose, repeats_corpus
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from lakepanel.llm import decontam, langid, line_dedup, mixing, queries, token_count, token_store
+from pyspark import SparkContext
 from pyspark.sql import functions as F
 
 
@@ -172,6 +174,29 @@ def test_decontamination_holds_short_items_to_the_stated_rate():
             assert decontam.regions(index, f"x{item} {item}y") == []
 
 
+def test_decontamination_holds_one_block_at_a_time(spark, monkeypatch):
+    rng = random.Random(24)
+    items = [(k, prose(rng, 40)) for k in range(6)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    both = items[3][1] + " and " + items[1][1] + " " + items[4][1][:120]
+    rows = [(1, both), (1, both), (2, "x " + items[5][1]), (3, None), (None, items[0][1]), (4, prose(rng, 50)), (2, "other")]
+    table = documents(spark, rows)
+    want = sorted(map(str, decontam.verdicts(table, bench).collect()))
+    send, held = SparkContext.broadcast, []
+
+    def watched(self, value):
+        out = send(self, value)
+        if isinstance(value, decontam.Index):
+            assert not any(os.path.exists(b._path) for b in held)
+            held.append(out)
+        return out
+
+    monkeypatch.setattr(SparkContext, "broadcast", watched)
+    assert sorted(map(str, decontam.verdicts(table, bench, block_chars=300).collect())) == want
+    assert len(held) > 2
+    assert sorted(r["doc_id"] for r in decontam.remove_contaminated(table, bench, block_chars=300).select("doc_id").collect()) == [2, 3, 4]
+
+
 def test_decontamination_of_odd_rows(spark):
     rng = random.Random(10)
     item = prose(rng, 30)
