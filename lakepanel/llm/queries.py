@@ -12,17 +12,21 @@ from . import (
     decontam,
     hash_forest,
     langid,
+    license_scan,
     line_dedup,
     mixing,
+    periodic_runs,
     setsketch,
     substring_dedup,
     suffix_dedup,
+    token_align,
     token_count,
     token_store,
 )
 
 TOKENIZER_JSON = "word_bpe_49k.json"
 TOKENIZER_MODEL = "piece_bpe_32k.model"
+BYTE_TOKENIZER_JSON = "byte_bpe_50k.json"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -89,6 +93,26 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_store(spark, path, ranked).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alignment of two tokenizers on every document, with the corpus-wide counts of its links."""
+    docs = _table(spark, sf_dir, "documents")
+    out, _ = token_align.align_corpus(docs, public_tokenizers.path(BYTE_TOKENIZER_JSON), public_tokenizers.path(TOKENIZER_MODEL))
+    return out.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licenses named or quoted in every document."""
+    out = license_scan.scan_licenses(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every document, a tenth of them with a planted repetition."""
+    docs = _table(spark, sf_dir, "documents")
+    out = periodic_runs.periodic_runs(docs, rewrite=periodic_runs.planted, keep_text=False)
+    return out.select("doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_line_dedup": op1_line_dedup,
@@ -101,6 +125,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_suffix_dedup": op8_suffix_dedup,
         "op9_token_counts": op9_token_counts,
         "op10_token_store": op10_token_store,
+        "op11_token_alignment": op11_token_alignment,
+        "op12_license_scan": op12_license_scan,
+        "op13_periodic_runs": op13_periodic_runs,
     }
 
 
