@@ -10,7 +10,7 @@ import re
 
 from lakepanel import queries as Q
 
-from conftest import SF01
+from testdata_paths import SF01
 
 # Hadoop's line reader ends a line at \n, \r or \r\n.
 LINE_END = re.compile(r"\r\n|\r|\n")

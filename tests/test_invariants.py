@@ -9,7 +9,7 @@ from lakepanel import queries as Q
 from lakepanel.operators import dedup
 from lakepanel.plans import medallion
 
-from conftest import SF01
+from testdata_paths import SF01
 
 
 def _keys(df, cols):

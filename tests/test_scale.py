@@ -16,7 +16,7 @@ from lakepanel import queries as Q
 from lakepanel.operators import dedup
 from lakepanel.plans import driver_views, loans as loan_plans, panel
 
-from conftest import SF01
+from testdata_paths import SF01
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
              "FlatMapGroupsInPandas", "MapInPandas", "CollectLimit")
