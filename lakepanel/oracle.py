@@ -513,6 +513,7 @@ FROM lk WHERE NOT ({_HARD[0]} AND {_HARD[1]})""",
 _DOCS = "SELECT doc_id, text, lang, source, n_chars"
 SOURCE_SQL = {
     "csv_multiline_roundtrip": _DOCS + ", true AS lineage_ok FROM documents",
+    "csv_split_roundtrip": _DOCS + ", true AS lineage_ok FROM documents",
     "csv_inferred": "SELECT CAST(doc_id AS INTEGER) AS doc_id, text, lang, source, "
                     "CAST(n_chars AS INTEGER) AS n_chars FROM documents",
     "ndjson_month_partitions": """

@@ -7,9 +7,9 @@ tables when ``database`` is given) and the next layer reads the stored
 copy, so every product is a pruned scan of its input layer.
 
 * bronze: all-text columns, numeric-id filter (loans), ingest stamps; a row
-  floor guards against a broken multi-line parse.  Multi-line CSV is read by
-  one task per file, so bronze is redistributed on write (REBALANCE) and all
-  later stages get full parallelism from the Parquet copy.
+  floor guards against a broken multi-line parse.  Quoted files are read by many
+  tasks each (``sources.split_csv``; ``split_files=False`` takes Spark's own
+  reader, one task per file); bronze is rebalanced on write.
 * silver: typed and de-duplicated candidates are stored once, partitioned by
   their hard-rule verdict, with hard and soft rule failures counted by an
   ``Observation`` on that write (no extra pass).  Silver is the ``pass``
@@ -32,7 +32,9 @@ from ..operators.quality import check_row_floor, observe_rules, passes_all, reje
 from ..operators.union import union_by_name
 from ..operators.columns import stamp_ingest
 from ..sources import files
-from ..sources.sinks import save_comment, save_table, save_view, write_table
+from ..sources.sinks import save_comment, save_table, save_view
+from ..sources.split_csv import bronze_split_csv
+from ..sources.versions import is_versioned, read_version, write_version
 from ..streaming.ingest import EvolvingCsvIngest
 from . import marts, panel
 from .complaints import silver_complaints
@@ -78,6 +80,7 @@ class Lakehouse:
     database: str | None = None     # write catalog tables instead, e.g. "risk"
     report: dict = field(default_factory=dict)
     hard_rules: Mapping[str, str] = field(default_factory=lambda: dict(LOAN_HARD_RULES))
+    split_files: bool = True        # read a quoted CSV file by many tasks
 
     # ------------------------------------------------------------- storage
     def _write(self, df: DataFrame, name: str, layer: str, comment: str | None = None,
@@ -87,18 +90,20 @@ class Lakehouse:
             save_table(df, f"{self.database}.{name}", comment=comment, quality=layer, partition_by=partition_by,
                        check=check)
         else:
-            write_table(df, f"{self.root.rstrip('/')}/{layer}/{name}", partition_by=partition_by, check=check)
+            write_version(df, self._folder(name, layer), partition_by=partition_by, check=check)
+
+    def _folder(self, name: str, layer: str) -> str:
+        return f"{self.root.rstrip('/')}/{layer}/{name}"
 
     def read(self, name: str, layer: str) -> DataFrame:
         if name in VERDICT_OF and not self.database:
             return self._verdict(VERDICT_OF[name])
         if self.database:
             return self.spark.table(f"{self.database}.{name}")
-        reader = self.spark.read
-        if layer == "bronze":
-            # Incrementally landed bronze may gain columns between batches.
-            reader = reader.option("mergeSchema", "true")
-        return reader.parquet(f"{self.root.rstrip('/')}/{layer}/{name}")
+        folder = self._folder(name, layer)
+        if layer == "bronze" and not is_versioned(self.spark, folder):
+            return self._ingest(name).read_bronze(self.spark)  # landed incrementally, by manifests
+        return read_version(self.spark, folder)
 
     def _verdict(self, verdict: str) -> DataFrame:
         """One verdict partition of the stored candidates (read by partition pruning)."""
@@ -129,22 +134,43 @@ class Lakehouse:
         if row_floor is not None:
             check_row_floor(rows, row_floor, name)
 
+    def _ingest(self, name: str, csv_glob: str = "", id_col: str | None = None) -> EvolvingCsvIngest:
+        base = f"{self.root.rstrip('/')}/bronze"
+        return EvolvingCsvIngest(csv_glob, f"{base}/{name}", f"{base}/_checkpoints/{name}", id_col=id_col)
+
     def _bronze_stream(self, csv_glob: str, name: str, row_floor: int | None, id_col: str | None) -> None:
         """Land only files not seen before (schema may grow); a rerun adds nothing.
 
-        With a database, bronze is an external table over the landed batches.
+        Stored rows come from the batches' manifests; a load below the floor is
+        refused before it shows.  With a database, bronze is an external table
+        whose partitions are the visible batches.
         """
-        base = f"{self.root.rstrip('/')}/bronze"
-        ingest = EvolvingCsvIngest(csv_glob, f"{base}/{name}", f"{base}/_checkpoints/{name}", id_col=id_col)
-        ingest.run(self.spark)
+        ingest = self._ingest(name, csv_glob, id_col)
+        self.report[f"{name}_rows"] = ingest.run(self.spark, row_floor)
         if self.database:
-            # Registered anew, so that columns added by this run are known.
-            table = f"{self.database}.{name}"
-            schema = ingest.read_bronze(self.spark).drop("batch_id").schema
-            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
-            self.spark.catalog.createTable(table, path=f"{base}/{name}/*", source="parquet", schema=schema)
-            save_comment(self.spark, table, TABLE_COMMENTS.get(name), "bronze")
-        self._check_rows(name, self.read(name, "bronze").count(), row_floor)
+            self._batches_to_catalog(ingest, f"{self.database}.{name}")
+
+    def _batches_to_catalog(self, ingest: EvolvingCsvIngest, table: str) -> None:
+        """Add the visible batches' new columns and partitions to the external bronze table."""
+        schema = ingest.bronze_schema(self.spark)
+        ddl = [f"`{f.name}` {f.dataType.simpleString()}" for f in schema if f.name != "batch_id"]
+        if not self.spark.catalog.tableExists(table):
+            self.spark.sql(f"CREATE TABLE {table} ({', '.join(ddl)}, batch_id BIGINT) USING parquet "
+                           f"PARTITIONED BY (batch_id) LOCATION '{ingest.bronze_path}'")
+            save_comment(self.spark, table, TABLE_COMMENTS.get(table.rpartition(".")[2]), "bronze")
+        known = set(self.spark.table(table).columns)
+        added = [d for d, f in zip(ddl, schema) if f.name not in known]
+        if added:
+            self.spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(added)})")
+        shown = {r[0] for r in self.spark.sql(f"SHOW PARTITIONS {table}").collect()}
+        new = [m["batch"] for m in ingest.manifests(self.spark) if m["columns"] and f"batch_id={m['batch']}" not in shown]
+        if new:
+            parts = " ".join(f"PARTITION (batch_id={b})" for b in new)
+            self.spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {parts}")
+
+    def _read_csv(self, csv_glob: str, id_col: str | None = None) -> DataFrame:
+        read = bronze_split_csv if self.split_files else files.bronze_csv
+        return read(self.spark, csv_glob, id_col=id_col)
 
     # ------------------------------------------------------------- loans
     def build_loans(
@@ -165,7 +191,7 @@ class Lakehouse:
         if incremental:
             self._bronze_stream(csv_glob, "bronze_loans", row_floor, id_col="id")
         else:
-            self._bronze(files.bronze_csv(self.spark, csv_glob, id_col="id"), "bronze_loans", row_floor)
+            self._bronze(self._read_csv(csv_glob, id_col="id"), "bronze_loans", row_floor)
         candidates = deduped_loans(self.read("bronze_loans", "bronze"))
         observed, obs = observe_rules(candidates, {**hard_rules, **soft_rules}, "loan_rules")
         # One write: every candidate lands in exactly one verdict partition.
@@ -185,7 +211,7 @@ class Lakehouse:
     def build_complaints(
         self, csv_glob: str, history_glob: str | None = None, row_floor: int | None = None
     ) -> None:
-        bulk = files.bronze_csv(self.spark, csv_glob)
+        bulk = self._read_csv(csv_glob)
         if history_glob:
             history = stamp_ingest(files.read_month_files(self.spark, history_glob))
             bulk = union_by_name(bulk, history)

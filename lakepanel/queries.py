@@ -38,7 +38,7 @@ from .settings import (
 from .streaming.ingest import EvolvingCsvIngest
 from .plans import marts, medallion, panel
 from .plans.complaints import DERIVED
-from .sources import files, sinks, tables
+from .sources import files, sinks, split_csv, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -429,6 +429,16 @@ def csv_multiline_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def csv_split_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same bronze read with many tasks per file (quote-parity scan)."""
+    b = split_csv.bronze_split_csv(spark, landed_documents_csv(spark, sf_dir), id_col="doc_id")
+    return b.select(
+        parse.to_long("doc_id").alias("doc_id"), "text", "lang", "source",
+        parse.to_long("n_chars").alias("n_chars"),
+        F.col(SOURCE_FILE).endswith(".csv").alias("lineage_ok"),
+    )
+
+
 def csv_plain_fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same files read one record per physical line: the broken parse."""
     return files.read_plain_csv(spark, landed_documents_csv(spark, sf_dir))
@@ -495,16 +505,18 @@ def month_file_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- streaming S4, K3
 def _ingest(spark: SparkSession, sf_dir: str, name: str, batches) -> DataFrame:
+    def ingest(base: str) -> EvolvingCsvIngest:
+        return EvolvingCsvIngest(f"{base}/landing/*/*.csv", f"{base}/bronze", f"{base}/_checkpoint", id_col="doc_id")
+
     def write(base: str) -> None:
-        ing = EvolvingCsvIngest(f"{base}/landing/*/*.csv", f"{base}/bronze", f"{base}/_checkpoint", id_col="doc_id")
+        ing = ingest(base)
         for i, frame in enumerate(batches(), start=1):
             sinks.write_csv(frame, f"{base}/landing/batch_{i}")
             ing.run(spark)
         ing.run(spark)  # nothing new: must add no rows
 
     base = medallion.stored(spark, sf_dir, f"stream/{name}", write)
-    bronze = spark.read.option("mergeSchema", "true").parquet(f"{base}/bronze")
-    return bronze.select(
+    return ingest(base).read_bronze(spark).select(
         parse.to_long("doc_id").alias("doc_id"), "text", "lang", "source",
         parse.to_long("n_chars").alias("n_chars"),
     )
@@ -529,6 +541,7 @@ def stream_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES.update({
     "csv_multiline_roundtrip": csv_multiline_roundtrip,
+    "csv_split_roundtrip": csv_split_roundtrip,
     "csv_plain_fragments": csv_plain_fragments,
     "csv_inferred": csv_inferred,
     "line_preview": line_preview,

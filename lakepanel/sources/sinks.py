@@ -1,12 +1,16 @@
 """Sinks: full-refresh tables, month-partitioned NDJSON landing.
 
-Tables are published in two steps: the new version is written beside the old
-one by a Spark job commit, checked, and then switched in by renaming.  A job
-that fails, or a check that raises, leaves the old table as it was.
+A new version is written beside the old one by a Spark job commit, checked, and
+then switched in.  Catalog tables (``save_table``) and versioned folders
+(``versions.write_version``) switch by one atomic change of a pointer, so
+readers find the old or the new table whatever step a writer dies at.
+``write_table`` keeps the plain folder layout, for folders nobody reads while
+they are replaced: it moves the old version aside and the new one in.
 """
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable
 
@@ -14,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .files import read_ndjson
+from .versions import hadoop_path
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
@@ -26,8 +31,7 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
     spark = df.sparkSession
     path = path.rstrip("/")
     tag = uuid.uuid4().hex[:12]
-    target, staged, old = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, f"{path}__new_{tag}", f"{path}__old_{tag}"))
-    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    (target, fs), (staged, _), (old, _) = (hadoop_path(spark, p) for p in (path, f"{path}__new_{tag}", f"{path}__old_{tag}"))
     writer = df.write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -56,11 +60,10 @@ def _quoted(text: str) -> str:
 
 def save_view(spark: SparkSession, name: str, query: str, comment: str | None = None,
               quality: str | None = None) -> None:
-    """A catalog view over stored tables (no data written), with comment and layer property."""
+    """A catalog view over stored tables, with comment and layer property, in one change."""
     about = f" COMMENT {_quoted(comment)}" if comment else ""
-    spark.sql(f"CREATE OR REPLACE VIEW {name}{about} AS {query}")
-    if quality:
-        spark.sql(f"ALTER VIEW {name} SET TBLPROPERTIES ('quality' = {_quoted(quality)})")
+    layer = f" TBLPROPERTIES ('quality' = {_quoted(quality)})" if quality else ""
+    spark.sql(f"CREATE OR REPLACE VIEW {name}{about}{layer} AS {query}")
 
 
 def save_comment(spark: SparkSession, name: str, comment: str | None, quality: str | None) -> None:
@@ -71,46 +74,57 @@ def save_comment(spark: SparkSession, name: str, comment: str | None, quality: s
         spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('quality' = {_quoted(quality)})")
 
 
-def _location(spark: SparkSession, name: str) -> str | None:
-    """Folder of a catalog table; None if there is no such table."""
-    if not spark.catalog.tableExists(name):
-        return None
-    rows = spark.sql(f"DESCRIBE FORMATTED {name}").where("col_name = 'Location'").collect()
-    return rows[0]["data_type"] if rows else None
+VERSIONS = "__versions"
+
+
+def _version_tables(spark: SparkSession, database: str, short: str) -> list[str]:
+    """Tables behind a published name, oldest first."""
+    pattern = re.compile(re.escape(short) + r"__v\d{8}_[0-9a-f]{12}")
+    names = [t.name for t in spark.catalog.listTables(database) if not t.isTemporary]
+    return sorted(n for n in names if pattern.fullmatch(n))
 
 
 def save_table(df: DataFrame, name: str, comment: str | None = None, quality: str | None = None,
-               partition_by: list[str] | None = None, check: Callable[[], object] | None = None) -> None:
+               partition_by: list[str] | None = None, check: Callable[[], object] | None = None, keep: int = 2) -> None:
     """Full refresh of a catalog table, with optional comment and layer property.
 
-    Every version is written to a folder of its own in the database's
-    location and checked there; then the table is pointed at it, and the
-    folder of the version before goes.
+    Every version is a table of its own (folder, schema and partitions) in the
+    database ``<database>__versions``; the published name is a view on the
+    current one.  ``CREATE OR REPLACE VIEW`` is a single change in the catalog
+    and carries columns, comment and property, so no reader meets a missing or
+    half-described table.  The version before stays for readers that have begun
+    with it; older ones go.  A plain table of that name (an older layout) is
+    replaced once.
     """
     spark = df.sparkSession
     database, _, short = name.rpartition(".")
-    base = spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri
-    path = f"{base.rstrip('/')}/{short}__{uuid.uuid4().hex[:12]}"
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    database = database or spark.catalog.currentDatabase()
+    base = spark.catalog.getDatabase(database).locationUri.rstrip("/")
+    versions = f"{database}{VERSIONS}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {versions} LOCATION {_quoted(base + '/' + VERSIONS)}")
+    older = _version_tables(spark, versions, short)
+    number = int(older[-1][len(short) + 3:].split("_")[0]) + 1 if older else 0
+    version = f"{short}__v{number:08d}_{uuid.uuid4().hex[:12]}"
+    folder, fs = hadoop_path(spark, f"{base}/{VERSIONS}/{version}")
     writer = df.write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     try:
-        writer.parquet(path)
+        writer.parquet(folder.toString())
         if check:
             check()
     except BaseException:
         fs.delete(folder, True)
         raise
-    old = _location(spark, name)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} USING parquet LOCATION {_quoted(path)}")
+    spark.sql(f"CREATE TABLE {versions}.{version} USING parquet LOCATION {_quoted(folder.toString())}")
     if partition_by:
-        spark.sql(f"MSCK REPAIR TABLE {name}")
-    save_comment(spark, name, comment, quality)
-    if old and f"/{short}__" in old:
-        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(old), True)
+        spark.sql(f"MSCK REPAIR TABLE {versions}.{version}")
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+        spark.sql(f"DROP TABLE {name}")
+    save_view(spark, name, f"SELECT * FROM {versions}.{version}", comment, quality)
+    for old in [*older, version][:-keep]:
+        spark.sql(f"DROP TABLE IF EXISTS {versions}.{old}")
+        fs.delete(hadoop_path(spark, f"{base}/{VERSIONS}/{old}")[0], True)
 
 
 def write_csv(df: DataFrame, path: str, files: int | None = None,

@@ -14,6 +14,7 @@ from lakepanel.plans import complaints as C
 from lakepanel.plans import loans as L
 from lakepanel.plans import marts, panel
 from lakepanel.sources import files
+from lakepanel.sources.versions import read_version
 
 LOAN_HEADER = [
     "id", "issue_d", "earliest_cr_line", "loan_amnt", "funded_amnt", "term", "int_rate",
@@ -303,5 +304,5 @@ def test_build_script_runs_every_layer(spark, tmp_path_factory):
     ], spark)
     assert report["bronze_loans_rows"] == 7 and report["bronze_complaints_rows"] == 4
     assert report["loan_rules"]["failed_core_not_null"] == 1
-    cells = spark.read.parquet(f"{out}/gold/gold_state_month_panel").collect()
+    cells = read_version(spark, f"{out}/gold/gold_state_month_panel").collect()
     assert [(r["state"], r["issue_month"]) for r in cells] == [("CA", "2015-12")]
