@@ -89,8 +89,8 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document, written to files and read back."""
     docs = _table(spark, sf_dir, "documents")
-    path, ranked = token_store.build_store(docs, public_tokenizers.path(TOKENIZER_JSON), end_id=2)
-    return token_store.read_store(spark, path, ranked).select("doc_id", "start", "n_tokens", "ids_crc32")
+    path, _ = token_store.build_store(docs, public_tokenizers.path(TOKENIZER_JSON), end_id=2)
+    return token_store.read_store(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,6 +17,11 @@ block's document ids and lengths).  They are written by Spark's commit
 protocol, so a lost executor or a repeated task leaves no partial file, and
 any store that Spark can write to will do.
 
+A store is a folder that explains itself: ``blocks`` (the files above), ``ranks``
+(token ids by rank) and ``about`` (id width, end id, the tokenizer file's
+SHA-256), which is written last: without it the store is not complete and is
+not read.  ``read_store`` needs the path only.
+
 **Parts.** The tokenizer's normalizer and pre-tokenizer treat the parts between
 white space separately, so a text's ids are the joined ids of its parts; in
 texts of Latin letters, runs of letters, digits and runs of signs are parts
@@ -32,10 +37,12 @@ text are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import os
 import re
 import zlib
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -264,8 +271,11 @@ def rank_table(tokens: DataFrame, width: str) -> np.ndarray:
 
 
 # ------------------------------------------------------------------------ files
-def write_store(tokens: DataFrame, ranked: np.ndarray, width: str, path: str, files: int, block_ids: int = 1 << 18) -> None:
-    """Write ``tokens`` to ``path`` as blocks in ascending ``doc_id`` order."""
+ABOUT = "width string, end_id bigint, tokenizer_sha256 string, vocabulary bigint"
+
+
+def write_store(tokens: DataFrame, ranked: np.ndarray, width: str, path: str, files: int, about: dict, block_ids: int = 1 << 18) -> None:
+    """Write ``tokens`` to ``path``: blocks in ascending ``doc_id`` order, the ranks, and last what is needed to read them."""
     spark = tokens.sparkSession
     ranks = np.zeros(int(ranked.max()) + 1 if len(ranked) else 1, np.uint32)
     ranks[ranked] = np.arange(len(ranked), dtype=np.uint32)
@@ -322,17 +332,33 @@ def write_store(tokens: DataFrame, ranked: np.ndarray, width: str, path: str, fi
             "lengths array<bigint>, control binary, data binary",
         )
         .write.option("compression", "none")
-        .parquet(path)
+        .parquet(f"{path}/blocks")
     )
+    spark.createDataFrame([(bytearray(ranked.astype("<u4").tobytes()),)], "ids binary").coalesce(1).write.parquet(f"{path}/ranks")
+    row = [(width, about["end_id"], about["tokenizer_sha256"], len(ranked))]
+    spark.createDataFrame(row, ABOUT).coalesce(1).write.json(f"{path}/about")
+
+
+def about_store(spark: SparkSession, path: str) -> dict:
+    """Width, end id, tokenizer hash and vocabulary size of a complete store."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/about/_SUCCESS")
+    if not jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath):
+        raise FileNotFoundError(f"{path} holds no complete token store")
+    return spark.read.schema(ABOUT).json(f"{path}/about").first().asDict()
+
 
+def read_store(spark: SparkSession, path: str, ranked: np.ndarray | None = None) -> DataFrame:
+    """``doc_id, start, n_tokens, ids_crc32, ids`` of every document in the store at ``path``.
 
-def read_store(spark: SparkSession, path: str, ranked: np.ndarray) -> DataFrame:
-    """``doc_id, start, n_tokens, ids_crc32, ids`` of every document in the files at ``path``.
+    The ranks come from the store, unless the caller still has them.
 
     ``start`` counts the ids of all documents before it: a running sum over
     the blocks' sizes (one small row per block) plus the place in the block.
     """
-    blocks = spark.read.parquet(path)
+    about_store(spark, path)
+    if ranked is None:  # one number per vocabulary entry at most
+        ranked = np.frombuffer(spark.read.parquet(f"{path}/ranks").first()["ids"], "<u4")
+    blocks = spark.read.parquet(f"{path}/blocks")
     # Two levels, so that no task sees the blocks of more than one file.
     files = blocks.groupBy("part").agg(F.sum("n_ids").alias("file_ids"))
     files = files.select("part", (F.sum("file_ids").over(Window.orderBy("part")) - F.col("file_ids")).alias("file_start"))
@@ -381,5 +407,6 @@ def build_store(
     total = tokens.agg(F.sum(F.octet_length("ids"))).first()[0] or 0
     files = int(total // (np.dtype(width).itemsize * ids_per_file)) + 1
     path = work_dir(spark, "llm", "token_store")
-    write_store(tokens, ranked, width, path, max(files, spark.sparkContext.defaultParallelism))
+    about = {"end_id": end_id, "tokenizer_sha256": hashlib.sha256(Path(tokenizer_path).read_bytes()).hexdigest()}
+    write_store(tokens, ranked, width, path, max(files, spark.sparkContext.defaultParallelism), about)
     return path, ranked

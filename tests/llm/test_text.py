@@ -2,6 +2,8 @@
 
 import os
 import random
+import subprocess
+import sys
 import zlib
 from collections import Counter, defaultdict
 
@@ -269,6 +271,28 @@ def test_token_store_round_trip(spark):
     assert [counts[i] for i in ranked.tolist()] == sorted(counts.values(), reverse=True)
 
 
+def test_token_store_is_read_by_another_application(spark, tmp_dir):
+    rows = [(5, "Three documents, in files."), (2, "é and more words " * 50), (9, None)]
+    path, _ = token_store.build_store(documents(spark, rows), TOKENIZER, end_id=2)
+    want = {r["doc_id"]: (r["n_tokens"], r["ids_crc32"]) for r in token_store.read_store(spark, path).collect()}
+    code = (
+        "import sys; from lakepanel.session import build_session; from lakepanel.llm import token_store as t\n"
+        f"s = build_session('local[1]', 2, extra={{'spark.checkpoint.dir': {tmp_dir!r}}})\n"
+        "print('READ', t.about_store(s, sys.argv[1])['end_id'], sorted((r['doc_id'], r['n_tokens'], r['ids_crc32']) for r in t.read_store(s, sys.argv[1]).collect()))"
+    )
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    out = subprocess.run([sys.executable, "-c", code, path], capture_output=True, text=True, timeout=300, env=os.environ | {"PYTHONPATH": root})
+    assert f"READ 2 {sorted((i, *x) for i, x in want.items())}" in out.stdout, out.stderr[-500:]
+
+
+def test_an_unfinished_token_store_is_not_read(spark):
+    path, _ = token_store.build_store(documents(spark, [(1, "x")]), TOKENIZER)
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/about/_SUCCESS")
+    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, False)
+    with pytest.raises(FileNotFoundError, match="no complete token store"):
+        token_store.read_store(spark, path)
+
+
 def test_token_store_of_nothing(spark):
     path, ranked = token_store.build_store(spark.createDataFrame([], DOCS), TOKENIZER)
     assert token_store.read_store(spark, path, ranked).collect() == []
