@@ -216,13 +216,23 @@ class ChunkEncoder:
         return out
 
 
+_ENCODERS: dict[tuple[str, str], ChunkEncoder] = {}
+
+
+def encoder_of(tokenizer_path: str, width: str) -> ChunkEncoder:
+    """One encoder per process: a Python worker keeps its cache from task to task."""
+    if (tokenizer_path, width) not in _ENCODERS:
+        _ENCODERS[tokenizer_path, width] = ChunkEncoder(tokenizer_path, width)
+    return _ENCODERS[tokenizer_path, width]
+
+
 def tokenise(docs: DataFrame, tokenizer_path: str, end_id: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, ids`` (binary, little-endian; two bytes each if the vocabulary allows) with the end id last."""
     ship_package(docs.sparkSession)
     width = id_width(tokenizer_path, end_id)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ChunkEncoder(tokenizer_path, width)
+        encoder = encoder_of(tokenizer_path, width)
         end = np.array([end_id], width).tobytes()
         for batch in batches:
             for part in pieces(batch, "text", 2 << 20):
