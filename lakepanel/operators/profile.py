@@ -14,6 +14,14 @@ def schema_frame(spark: SparkSession, df: DataFrame) -> DataFrame:
     return spark.createDataFrame(rows, "column_name string, type string, position int")
 
 
+def schema_listing(df: DataFrame) -> DataFrame:
+    """``(column_name, type, position, row_count)`` rows: one counted row, stacked over the schema."""
+    names = [name.replace("\\", "\\\\").replace("'", "\\'") for name in df.columns]
+    parts = ", ".join(f"'{n}', '{t}', {i}" for i, (n, (_, t)) in enumerate(zip(names, df.dtypes)))
+    counted = df.agg(F.count(F.lit(1)).alias("row_count"))
+    return counted.selectExpr(f"stack({len(names)}, {parts}) AS (column_name, type, position)", "row_count")
+
+
 def presence_flags(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Replace every column not in ``keep`` by a 1-byte presence flag (1 = not null).
 

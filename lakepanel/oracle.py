@@ -422,6 +422,13 @@ ORDER BY complaints DESC, product ASC NULLS FIRST, product_family ASC NULLS FIRS
         f"round(stddev_samp(CAST({c} AS DOUBLE)), 6) AS stddev FROM lineitem"
         for c in MOMENT_COLUMNS
     ),
+    "column_quartiles": "\nUNION ALL ".join(
+        f"SELECT '{c}' AS column_name, {p}::DOUBLE AS probability, q AS value, count({c}) AS rows, "
+        f"CAST(count_if({c} < q) AS BIGINT) AS below, CAST(count_if({c} <= q) AS BIGINT) AS at_most "
+        f"FROM lineitem, (SELECT CAST(quantile_disc({c}, {p}) AS DOUBLE) AS q FROM lineitem) GROUP BY q"
+        for c in MOMENT_COLUMNS
+        for p in (0.25, 0.5, 0.75)
+    ),
     "reconcile_segments": "WITH " + loans_silver_ctes() + "," + complaints_silver_ctes() + "," + _LSEG + "," + _CSEG + f"""
 SELECT 'complaints_with_narrative' AS what, count(*) AS row_count, CAST(count_if(has_narrative) AS BIGINT) AS selected,
        CAST(count_if(year_month IS NULL) AS BIGINT) AS null_months, min(year_month) AS first_month, max(year_month) AS last_month FROM sc

@@ -22,7 +22,7 @@ from .constants import (
     SOURCE_FILE,
 )
 from .functions import derive, parse
-from .operators import aggregate, calendar, columns, dedup, profile, quality, union
+from .operators import aggregate, calendar, columns, dedup, profile, quality, quantiles, union
 from .settings import (
     FIRST_ARRIVAL_LANG,
     HISTORY_RENAMES,
@@ -263,8 +263,7 @@ def table_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Columns, types and row counts of documents and labels, as a schema listing."""
     out = None
     for name in ("documents", "labels"):
-        df = tables.read_table(spark, sf_dir, name)
-        listed = profile.schema_frame(spark, df).withColumns({"row_count": F.lit(df.count()), "table_name": F.lit(name)})
+        listed = profile.schema_listing(tables.read_table(spark, sf_dir, name)).withColumn("table_name", F.lit(name))
         out = listed if out is None else out.unionByName(listed)
     return out
 
@@ -307,6 +306,11 @@ def column_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.column_moments(li, 6)
 
 
+def column_quartiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact quartiles of every numeric column of lineitem, with their ranks."""
+    return quantiles.exact_quantiles(tables.read_table(spark, sf_dir, "lineitem"))
+
+
 # ---------------------------------------------------------------- aggregates A11-A14, T1-T3
 def freq_desc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregate.frequency_desc(medallion.complaints_silver(spark, sf_dir), ["product_family"], "complaints")
@@ -387,6 +391,7 @@ QUERIES.update({
     "null_profile": null_profile,
     "column_summary": column_summary,
     "column_moments": column_moments,
+    "column_quartiles": column_quartiles,
     "reconcile_segments": reconcile_segments,
     "year_counts_all": year_counts_all,
     "table_schemas": table_schemas,

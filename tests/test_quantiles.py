@@ -1,0 +1,57 @@
+"""Exact quantiles against sorting, with sketches too coarse to be right alone."""
+
+import math
+import random
+
+import pytest
+from lakepanel.operators.quantiles import exact_quantiles, find_quantiles
+
+PROBABILITIES = (0.0, 0.25, 0.5, 0.999, 1.0)
+
+
+def brute(values, p):
+    kept = sorted(v for v in values if v is not None and v == v)
+    if not kept:
+        return None
+    return float(kept[max(1, math.ceil(p * len(kept))) - 1])
+
+
+@pytest.mark.parametrize("accuracy", [30, 10_000])
+def test_against_sorting(spark, accuracy):
+    rng = random.Random(accuracy)
+    rows = []
+    for k in range(2000):
+        hot = rng.random() < 0.34  # one value holds a third of all rows
+        rows.append((
+            7 if hot else rng.randint(-50, 10**9),
+            rng.choice([None, float("nan"), -0.0, 0.0, rng.gauss(0, 1e6)]),
+            rng.randint(0, 3),
+            None,
+            1.5,
+        ))
+    df = spark.createDataFrame(rows, "a bigint, `b.c` double, d int, e double, f double").selectExpr("*", "CAST(a AS DECIMAL(12,2)) / 3 AS g", "'x' AS h")
+    data = [list(r) for r in df.collect()]
+    got = {(r["column_name"], r["probability"]): r for r in exact_quantiles(df, None, PROBABILITIES, accuracy).collect()}
+    for k, c in enumerate(["a", "b.c", "d", "e", "f", "g"]):
+        values = [r[k] for r in data]
+        kept = [v for v in values if v is not None and v == v]
+        for p in PROBABILITIES:
+            row, want = got[c, p], brute(values, p)
+            assert row["value"] == want and row["rows"] == len(kept)
+            if want is not None:
+                assert row["below"] < max(1, math.ceil(p * len(kept))) <= row["at_most"]
+    assert len(got) == 6 * len(PROBABILITIES)
+
+
+def test_few_rounds_with_the_default_sketch(spark, monkeypatch):
+    df = spark.range(200_000).selectExpr("hash(id) AS x", "id % 1000 AS y")
+    jobs = []
+    real = type(df).agg
+    monkeypatch.setattr(type(df), "agg", lambda self, *a: (jobs.append(1), real(self, *a))[1])
+    find_quantiles(df, ["x", "y"], (0.25, 0.5, 0.75))
+    assert len(jobs) <= 1 + 2 * 3
+
+
+def test_an_empty_table(spark):
+    rows = exact_quantiles(spark.createDataFrame([], "a int, b string")).collect()
+    assert [(r["column_name"], r["value"], r["rows"]) for r in rows] == [("a", None, 0)] * 3
