@@ -18,8 +18,10 @@ from .settings import (
     ORDERS_SPLIT,
     QUERY_MIN_RESOLVED,
     MOMENT_COLUMNS,
+    MONTH_MIN_ROWS,
     ROW_FLOOR,
     SUMMARY_COLUMNS,
+    SUPPORT_THRESHOLDS,
     TAXONOMY_CUTOFF,
 )
 
@@ -104,8 +106,20 @@ def _to_int(col: str) -> str:
     return f"TRY_CAST(trunc(TRY_CAST({col} AS DOUBLE)) AS INTEGER)"
 
 
-def loans_silver_ctes() -> str:
-    """CTEs ending in ``sl``: the loan silver table."""
+# Three loads of the loan view with repeated ids, later loads first.
+LOAN_LOADS = """
+  SELECT *, 1 AS load FROM lraw WHERE regexp_matches(id, '^[0-9]+$') AND TRY_CAST(id AS BIGINT) % 3 <> 2
+  UNION ALL
+  SELECT * REPLACE (CASE WHEN TRY_CAST(id AS BIGINT) % 5 = 0 THEN 'Charged Off' ELSE loan_status END AS loan_status), 2 AS load
+  FROM lraw WHERE regexp_matches(id, '^[0-9]+$') AND (TRY_CAST(id AS BIGINT) % 3 = 2 OR TRY_CAST(id AS BIGINT) % 5 = 0)
+  UNION ALL
+  SELECT * REPLACE (CASE WHEN TRY_CAST(id AS BIGINT) % 2 = 0 THEN '0' ELSE loan_amnt END AS loan_amnt,
+                    CASE WHEN TRY_CAST(id AS BIGINT) % 35 = 0 THEN 'x' ELSE id END AS id), 3 AS load
+  FROM lraw WHERE regexp_matches(id, '^[0-9]+$') AND TRY_CAST(id AS BIGINT) % 7 = 0"""
+
+
+def loans_silver_ctes(loads: bool = False, each: bool = False) -> str:
+    """CTEs ending in ``sl``: the loan silver table, of the view or of its three loads (with ``each``, of each load)."""
     parsed = [
         "TRY_CAST(id AS BIGINT) AS loan_id",
         "CAST(try_strptime(issue_d, '%b-%Y') AS DATE) AS issue_date",
@@ -129,9 +143,10 @@ def loans_silver_ctes() -> str:
     order = ", ".join(f"{c} ASC NULLS LAST" for c in sorted(c for c in keep if c not in ("loan_id", "_source_file")))
     return f"""
 lraw AS ({loans_raw_sql(DUCKDB)}),
-lbronze AS (SELECT * FROM lraw WHERE regexp_matches(id, '^[0-9]+$')),
+lbronze AS ({LOAN_LOADS if loads else "SELECT *, 0 AS load FROM lraw WHERE regexp_matches(id, '^[0-9]+$')"}),
 lp AS (
-  SELECT {', '.join(parsed)}, {', '.join(passthrough)}, 'orders.parquet' AS _source_file
+  SELECT {', '.join(parsed)}, {', '.join(passthrough)}, load,
+    CASE load WHEN 0 THEN 'orders.parquet' ELSE 'load_' || load END AS _source_file
   FROM lbronze
 ),
 ld AS (
@@ -150,8 +165,8 @@ ll AS (
   FROM ld
 ),
 lk AS (
-  SELECT {', '.join(keep)} FROM ll WHERE loan_id IS NOT NULL
-  QUALIFY row_number() OVER (PARTITION BY loan_id ORDER BY _source_file DESC NULLS LAST, {order}) = 1
+  SELECT {', '.join(keep)}, load FROM ll WHERE loan_id IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY {'load, ' if each else ''}loan_id ORDER BY load DESC, _source_file DESC NULLS LAST, {order}) = 1
 ),
 sl AS (
   SELECT * FROM lk
@@ -540,8 +555,51 @@ FROM documents""",
 }
 
 
+def _reloaded(sql: str) -> str:
+    """A statement over loan silver, over the three loads instead."""
+    return sql.replace(loans_silver_ctes(), loans_silver_ctes(loads=True))
+
+
+_ALL_HARD = " AND ".join(_HARD)
+BATCH_SQL = {
+    "loans_reloaded": _reloaded(PANEL_SQL["silver_loans"]),
+    "loans_incremental": _reloaded(PANEL_SQL["silver_loans"]),
+    "rule_log": "WITH " + loans_silver_ctes(loads=True, each=True) + "\n" + "\nUNION ALL ".join(
+        f"SELECT 'load_' || load AS batch, '{name}' AS rule, '{kind}' AS kind, "
+        f"CAST(count_if(NOT {rule}) AS BIGINT) AS failed, count(*) AS total FROM lk GROUP BY load"
+        for name, kind, rule in (
+            ("core_not_null", "hard", _HARD[0]), ("positive_amount", "hard", _HARD[1]),
+            ("plausible_rate", "soft", _SOFT[0]), ("plausible_dti", "soft", _SOFT[1]))),
+    "row_account": "WITH " + loans_silver_ctes(loads=True, each=True) + "," + complaints_silver_ctes() + f"""
+SELECT 'loans' AS source, 'load_' || b.load AS batch, b.n AS bronze_rows, b.n - b.readable AS null_keys,
+       b.readable - b.ids AS duplicates, k.rejected, k.silver_rows, true AS balanced
+FROM (SELECT load, count(*) AS n, count(TRY_CAST(id AS BIGINT)) AS readable, count(DISTINCT TRY_CAST(id AS BIGINT)) AS ids
+      FROM lbronze GROUP BY load) b
+JOIN (SELECT load, CAST(count_if(NOT ({_ALL_HARD})) AS BIGINT) AS rejected, CAST(count_if({_ALL_HARD}) AS BIGINT) AS silver_rows
+      FROM lk GROUP BY load) k USING (load)
+UNION ALL
+SELECT 'complaints', 'all', count(*), count(*) - count(TRY_CAST("Complaint ID" AS BIGINT)),
+       count(TRY_CAST("Complaint ID" AS BIGINT)) - count(DISTINCT TRY_CAST("Complaint ID" AS BIGINT)),
+       CAST(0 AS BIGINT), (SELECT count(*) FROM sc), true FROM craw""",
+    **{f"merged_{name}": _reloaded(sql) for name, sql in {**MART_SQL, "segment_loans": PANEL_SQL["segment_loans"]}.items()},
+    "merged_segment_complaints": PANEL_SQL["segment_complaints"],
+    "support_by_threshold": "WITH " + loans_silver_ctes() + "," + _LSEG + f"""
+SELECT CAST(t AS INTEGER) AS min_resolved, count(*) AS cells, CAST(count_if(resolved_loans >= t) AS BIGINT) AS cells_kept,
+       CAST(coalesce(sum(loans) FILTER (WHERE resolved_loans >= t), 0) AS BIGINT) AS loans_kept
+FROM lseg2, (SELECT unnest([{', '.join(map(str, SUPPORT_THRESHOLDS))}]) AS t) GROUP BY t""",
+    "coverage_below_floor": "WITH " + _spine("lineitem", "l_shipdate") + f"""
+SELECT * FROM spine s
+WHERE (SELECT count(*) FROM orders o WHERE strftime(CAST(o.o_orderdate AS DATE), '%Y-%m') = s.month) < {MONTH_MIN_ROWS}""",
+    "backfill_ledger": "WITH " + _spine("orders", "o_orderdate") + f"""
+SELECT s.month, count(o.o_orderkey) AS row_count,
+       CASE WHEN count(o.o_orderkey) >= {MONTH_MIN_ROWS} THEN 'landed' ELSE 'short' END AS state
+FROM spine s LEFT JOIN orders o ON strftime(CAST(o.o_orderdate AS DATE), '%Y-%m') = s.month GROUP BY ALL""",
+}
+
+
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
+    out.update(BATCH_SQL)
     out.update(PANEL_SQL)
     out.update(MART_SQL)
     out.update(FAMILY_SQL)

@@ -18,17 +18,15 @@ DERIVED = ["has_narrative", "year_month", "product_family"]
 SURVIVOR = (f"-{INGESTED_AT}", f"-{SOURCE_FILE}")
 
 
-def silver_complaints(
+def typed_complaints(
     bronze: DataFrame,
     renames: Mapping[str, str] = COMPLAINT_RENAMES,
     precedence: Sequence[str] = SURVIVOR,
-) -> DataFrame:
-    """One row per complaint id (null ids removed).
+) -> tuple[DataFrame, list[str], list[str]]:
+    """Typed and classified complaints, the precedence that applies, and the silver columns.
 
-    Raises before any job when a required raw column is missing.  Survivor
-    per id: first under ``precedence`` (bronze columns, ``-`` for descending;
-    those that bronze lacks are skipped), then the remaining columns in name
-    order.  Precedence columns outside the silver schema are dropped afterwards.
+    Raises before any job when a required raw column is missing.  Columns of
+    the precedence outside the silver schema are kept behind the silver columns.
     """
     df = rename_columns(bronze, renames, require=True)
     df = df.withColumns({
@@ -45,4 +43,20 @@ def silver_complaints(
         keep.append(INGESTED_AT)
     order = [spec for spec in precedence if spec.lstrip("-") in df.columns]
     ranked = keep_columns(df, [*keep, *(c for c in (s.lstrip("-") for s in order) if c not in keep)])
+    return ranked, order, keep
+
+
+def silver_complaints(
+    bronze: DataFrame,
+    renames: Mapping[str, str] = COMPLAINT_RENAMES,
+    precedence: Sequence[str] = SURVIVOR,
+) -> DataFrame:
+    """One row per complaint id (null ids removed).
+
+    Survivor per id: first under ``precedence`` (bronze columns, ``-`` for
+    descending; those that bronze lacks are skipped), then the remaining
+    columns in name order.  Precedence columns outside the silver schema are
+    dropped afterwards.
+    """
+    ranked, order, keep = typed_complaints(bronze, renames, precedence)
     return keep_columns(latest_per_key(ranked, ["complaint_id"], order), keep)

@@ -1,151 +1,126 @@
-"""Risk marts over loan silver: one generic grouped aggregate, eight products.
+"""Risk marts over loan silver: eight grouped aggregates of mergeable metrics.
 
 Each mart reads only the columns it needs (pruned at the Parquet scan), and
 its filters are pushed to the scan where Parquet can evaluate them.  Grouped
 aggregates combine partial results map-side, so a hot group (one grade or
 state holding a third of all loans) is reduced before the shuffle.
+
+A mart is computed whole from silver, or merged from stored partial rows
+(``plans.incremental``); both finish the same sums.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..constants import GRADE_PATTERN
-from ..functions import classify
+from ..constants import GRADE_PATTERN, LENDING_FAMILIES
+from ..functions import classify, derive
+from ..functions import mergeable as G
 from ..functions import metrics as M
 
-
-def mart(
-    silver: DataFrame,
-    metrics: Sequence[Column],
-    group: Sequence[Column] = (),
-    where: Column | None = None,
-    order: Sequence[Column] = (),
-    ordered: bool = True,
-) -> DataFrame:
-    """One grouped (or global) aggregate; ``order`` is the report order.
-
-    Stored marts are written with ``ordered=False``: row order is not a
-    property of a table, and sorting would add a range shuffle per mart.
-    """
-    df = silver if where is None else silver.where(where)
-    out = df.groupBy(*group).agg(*metrics) if group else df.agg(*metrics)
-    return out.orderBy(*order) if order and ordered else out
-
-
-def _loans() -> Column:
-    return F.count(F.lit(1)).alias("loans")
-
-
-def _funded_mn(digits: int = 1) -> Column:
-    return M.scaled_sum("funded_amnt", 1_000_000, digits).alias("funded_mn")
-
-
-def _avg_rate() -> Column:
-    return M.exact_avg("int_rate", 2).alias("avg_int_rate_pct")
-
-
-def _default_rate() -> Column:
-    return M.default_rate().alias("default_rate_pct")
-
-
-def portfolio_kpis(silver: DataFrame, ordered: bool = True) -> DataFrame:
-    """One row of headline portfolio numbers."""
-    return mart(silver, [
-        F.count(F.lit(1)).alias("total_loans"),
-        M.scaled_sum("funded_amnt", 1_000_000_000, 2).alias("total_funded_bn"),
-        M.exact_avg("loan_amnt", 0, M.MONEY).alias("avg_loan_amnt"),
-        M.weighted_avg("int_rate", "funded_amnt", 2).alias("wavg_int_rate_pct"),
-        M.exact_avg("fico_avg", 0).alias("avg_fico"),
-        M.exact_avg("dti", 1).alias("avg_dti"),
-        _default_rate(),
-        M.scaled_sum("charge_off_loss", 1_000_000, 1).alias("charge_off_loss_mn"),
-        M.ratio_of_sums_pct("net_cash", "funded_amnt").alias("realized_return_pct"),
-    ])
-
-
-def risk_by_grade(silver: DataFrame, ordered: bool = True) -> DataFrame:
-    return mart(
-        silver,
-        [
-            _loans(), _funded_mn(), _avg_rate(),
-            M.exact_avg("fico_avg", 0).alias("avg_fico"),
-            _default_rate(),
-            M.ratio_of_sums_pct("charge_off_loss", "funded_amnt").alias("loss_rate_pct"),
-            M.ratio_of_sums_pct("net_cash", "funded_amnt").alias("realized_return_pct"),
-        ],
-        group=[F.col("grade")],
-        where=F.col("grade").rlike(GRADE_PATTERN),
-        order=[F.col("grade")],
-        ordered=ordered,
-    )
-
-
-def vintage(silver: DataFrame, ordered: bool = True) -> DataFrame:
-    return mart(
-        silver,
-        [_loans(), _funded_mn(), _avg_rate(), _default_rate()],
-        group=[F.year("issue_date").alias("vintage_year")],
-        where=F.col("issue_date").isNotNull(),
-        order=[F.col("vintage_year")],
-        ordered=ordered,
-    )
-
-
-def origination_trend(silver: DataFrame, ordered: bool = True) -> DataFrame:
-    return mart(
-        silver,
-        [_loans(), _funded_mn(2), _avg_rate()],
-        group=[F.trunc("issue_date", "month").alias("issue_month")],
-        where=F.col("issue_date").isNotNull(),
-        order=[F.col("issue_month")],
-        ordered=ordered,
-    )
-
-
-def _by_dimension(silver: DataFrame, column: str, alias: str, ordered: bool = True) -> DataFrame:
-    return mart(
-        silver,
-        [_loans(), _funded_mn(), _avg_rate(), _default_rate()],
-        group=[F.col(column).alias(alias)],
-        where=F.col(column).isNotNull(),
-        order=[F.col("loans").desc(), F.col(alias)],
-        ordered=ordered,
-    )
-
-
-def geo_risk(silver: DataFrame, ordered: bool = True) -> DataFrame:
-    return _by_dimension(silver, "addr_state", "state", ordered)
-
-
-def purpose_risk(silver: DataFrame, ordered: bool = True) -> DataFrame:
-    return _by_dimension(silver, "purpose", "purpose", ordered)
-
-
-def fico_band_risk(silver: DataFrame, ordered: bool = True) -> DataFrame:
-    return mart(
-        silver,
-        [_loans(), _avg_rate(), _default_rate()],
-        group=[classify.fico_band("fico_avg").alias("fico_band")],
-        where=F.col("fico_avg").isNotNull(),
-        order=[F.col("fico_band")],
-        ordered=ordered,
-    )
-
-
-def dti_band_risk(silver: DataFrame, ordered: bool = True) -> DataFrame:
-    return mart(
-        silver,
-        [_loans(), _default_rate()],
-        group=[classify.dti_band("dti").alias("dti_band")],
-        where=F.col("dti").isNotNull() & (F.col("dti") >= 0),
-        order=[F.col("dti_band")],
-        ordered=ordered,
-    )
-
+def loan_marts() -> dict[str, G.Mart]:
+    """The loan marts by table name, and the loans' panel segments."""
+    loans, funded = G.row_count("loans"), G.scaled_sum("funded_mn", "funded_amnt", 1_000_000, 1)
+    rate, defaults = G.exact_avg("avg_int_rate_pct", "int_rate", 2), G.default_rate("default_rate_pct")
+
+    def by_dimension(column: str, alias: str) -> G.Mart:
+        return G.Mart(
+            [loans, funded, rate, defaults],
+            group=[F.col(column).alias(alias)],
+            where=F.col(column).isNotNull(),
+            order=[F.col("loans").desc(), F.col(alias)],
+        )
+
+    return {
+        # One row of headline portfolio numbers.
+        "gold_portfolio_kpis": G.Mart([
+            G.row_count("total_loans"),
+            G.scaled_sum("total_funded_bn", "funded_amnt", 1_000_000_000, 2),
+            G.exact_avg("avg_loan_amnt", "loan_amnt", 0, M.MONEY),
+            G.weighted_avg("wavg_int_rate_pct", "int_rate", "funded_amnt", 2),
+            G.exact_avg("avg_fico", "fico_avg", 0),
+            G.exact_avg("avg_dti", "dti", 1),
+            defaults,
+            G.scaled_sum("charge_off_loss_mn", "charge_off_loss", 1_000_000, 1),
+            G.ratio_of_sums_pct("realized_return_pct", "net_cash", "funded_amnt"),
+        ]),
+        "gold_risk_by_grade": G.Mart(
+            [
+                loans, funded, rate,
+                G.exact_avg("avg_fico", "fico_avg", 0),
+                defaults,
+                G.ratio_of_sums_pct("loss_rate_pct", "charge_off_loss", "funded_amnt"),
+                G.ratio_of_sums_pct("realized_return_pct", "net_cash", "funded_amnt"),
+            ],
+            group=[F.col("grade")],
+            where=F.col("grade").rlike(GRADE_PATTERN),
+            order=[F.col("grade")],
+        ),
+        "gold_vintage": G.Mart(
+            [loans, funded, rate, defaults],
+            group=[F.year("issue_date").alias("vintage_year")],
+            where=F.col("issue_date").isNotNull(),
+            order=[F.col("vintage_year")],
+        ),
+        "gold_origination_trend": G.Mart(
+            [loans, G.scaled_sum("funded_mn", "funded_amnt", 1_000_000, 2), rate],
+            group=[F.trunc("issue_date", "month").alias("issue_month")],
+            where=F.col("issue_date").isNotNull(),
+            order=[F.col("issue_month")],
+        ),
+        "gold_geo_risk": by_dimension("addr_state", "state"),
+        "gold_purpose_risk": by_dimension("purpose", "purpose"),
+        "gold_fico_band_risk": G.Mart(
+            [loans, rate, defaults],
+            group=[classify.fico_band("fico_avg").alias("fico_band")],
+            where=F.col("fico_avg").isNotNull(),
+            order=[F.col("fico_band")],
+        ),
+        "gold_dti_band_risk": G.Mart(
+            [loans, defaults],
+            group=[classify.dti_band("dti").alias("dti_band")],
+            where=F.col("dti").isNotNull() & (F.col("dti") >= 0),
+            order=[F.col("dti_band")],
+        ),
+        "gold_loan_segments": G.Mart(
+            [
+                loans, G.flag_sum("bad_loans", "is_default"), G.flag_sum("resolved_loans", "is_resolved"),
+                G.default_rate("default_rate", scale=1, digits=None),
+            ],
+            group=[F.col("addr_state").alias("state"), derive.month_key("issue_date").alias("issue_month")],
+            where=F.col("issue_date").isNotNull(),
+        ),
+    }
+
+
+def complaint_marts() -> dict[str, G.Mart]:
+    """The complaints' panel segments."""
+    return {
+        "gold_complaint_segments": G.Mart(
+            [G.row_count("complaints")],
+            group=[F.col("state"), F.col("year_month").alias("issue_month")],
+            where=F.col("product_family").isin(list(LENDING_FAMILIES)),
+        ),
+    }
+
+
+def _whole(name: str):
+    def build(silver: DataFrame, ordered: bool = True) -> DataFrame:
+        return loan_marts()[name].whole(silver, ordered)
+
+    build.__name__ = name.removeprefix("gold_")
+    return build
+
+
+portfolio_kpis = _whole("gold_portfolio_kpis")
+risk_by_grade = _whole("gold_risk_by_grade")
+vintage = _whole("gold_vintage")
+origination_trend = _whole("gold_origination_trend")
+geo_risk = _whole("gold_geo_risk")
+purpose_risk = _whole("gold_purpose_risk")
+fico_band_risk = _whole("gold_fico_band_risk")
+dti_band_risk = _whole("gold_dti_band_risk")
 
 MARTS = {
     "gold_portfolio_kpis": portfolio_kpis,

@@ -24,20 +24,26 @@ from .constants import (
 from .functions import derive, parse
 from .operators import aggregate, calendar, columns, dedup, profile, quality, quantiles, union
 from .settings import (
+    BACKFILL_FIRST,
     FIRST_ARRIVAL_LANG,
     HISTORY_RENAMES,
     HISTORY_SPLIT,
     MOMENT_COLUMNS,
+    MONTH_MIN_ROWS,
     ORDERS_SPLIT,
     QUERY_MIN_RESOLVED,
     RELAND_MONTH,
     ROW_FLOOR,
     SUMMARY_COLUMNS,
+    SUPPORT_THRESHOLDS,
     TAXONOMY_CUTOFF,
 )
 from .streaming.ingest import EvolvingCsvIngest
-from .plans import marts, medallion, panel
+from .plans import driver_views, marts, medallion, panel
+from .plans.backfill import MonthBackfill
 from .plans.complaints import DERIVED
+from .plans.incremental import IncrementalLayer, incremental_complaints, incremental_loans
+from .plans.loans import silver_loans as rebuild_loans
 from .sources import files, sinks, split_csv, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -555,3 +561,136 @@ QUERIES.update({
     "stream_ingest": stream_ingest,
     "stream_evolution": stream_evolution,
 })
+
+
+# ---------------------------------------------------------------- batches D1, D2, Q2, Q4, G1-G10
+def _loan_loads(spark: SparkSession, sf_dir: str) -> list[str]:
+    """Three stored loads of the loan view, in which ids come again with other values.
+
+    1: ids whose remainder by 3 is not 2.  2: the others, and every fifth id
+    again, charged off.  3: every seventh id again, even ones with amount 0;
+    the ids of every thirty-fifth are unreadable.
+    """
+    def write(base: str) -> None:
+        raw = driver_views.loans_bronze(spark, sf_dir).drop(INGESTED_AT, SOURCE_FILE)
+        n = F.col("id").try_cast("bigint")
+        status = F.when(n % 5 == 0, "Charged Off").otherwise(F.col("loan_status"))
+        amount = F.when(n % 2 == 0, "0").otherwise(F.col("loan_amnt"))
+        loads = [
+            raw.where(n % 3 != 2),
+            raw.where((n % 3 == 2) | (n % 5 == 0)).withColumn("loan_status", status),
+            raw.where(n % 7 == 0).withColumns({"loan_amnt": amount, "id": F.when(n % 35 == 0, "x").otherwise(F.col("id"))}),
+        ]
+        for k, load in enumerate(loads, start=1):
+            # Stored bronze keeps its stamps: a replay must not look newer.
+            stamps = {INGESTED_AT: F.lit(f"2024-01-0{k}").cast("timestamp"), SOURCE_FILE: F.lit(f"load_{k}")}
+            load.withColumns(stamps).write.parquet(f"{base}/{k}")
+
+    base = medallion.stored(spark, sf_dir, "incremental/loan_loads", write)
+    return [f"{base}/{k}" for k in (1, 2, 3)]
+
+
+def loans_layer(spark: SparkSession, sf_dir: str) -> IncrementalLayer:
+    """The three loads merged batch by batch; the second is replayed."""
+    def write(base: str) -> None:
+        loads = _loan_loads(spark, sf_dir)
+        layer = incremental_loans(spark, base, buckets=8)
+        for k in (1, 2, 3, 2):
+            layer.load(spark.read.parquet(loads[k - 1]), f"load_{k}")
+
+    return incremental_loans(spark, medallion.stored(spark, sf_dir, "incremental/loans", write), buckets=8)
+
+
+def complaints_layer(spark: SparkSession, sf_dir: str) -> IncrementalLayer:
+    """Stored complaint bronze merged as one batch."""
+    def write(base: str) -> None:
+        incremental_complaints(spark, base, buckets=8).load(medallion.complaints_bronze(spark, sf_dir), "all")
+
+    return incremental_complaints(spark, medallion.stored(spark, sf_dir, "incremental/complaints", write), buckets=8)
+
+
+_RELOADED = [c for c in LOAN_SILVER_COLUMNS if c != INGESTED_AT]
+
+
+def loans_reloaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loan silver rebuilt over three loads with repeated ids."""
+    return rebuild_loans(spark.read.parquet(*_loan_loads(spark, sf_dir))).select(*_RELOADED)
+
+
+def loans_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loan silver merged load by load: only touched buckets are rewritten."""
+    return loans_layer(spark, sf_dir).silver().select(*_RELOADED)
+
+
+def rule_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule outcomes of every load, a replayed one counted once."""
+    return loans_layer(spark, sf_dir).rule_log()
+
+
+def row_account(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where every bronze row of both sources went, per batch."""
+    loans = loans_layer(spark, sf_dir).row_account().withColumn("source", F.lit("loans"))
+    return loans.unionByName(complaints_layer(spark, sf_dir).row_account().withColumn("source", F.lit("complaints")))
+
+
+def _merged(layer, name: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return layer(spark, sf_dir).mart(name)
+
+    run.__name__ = f"merged_{name}"
+    return run
+
+
+MERGED_MARTS = {
+    "mart_kpis": "gold_portfolio_kpis", "mart_grade": "gold_risk_by_grade", "mart_vintage": "gold_vintage",
+    "mart_trend": "gold_origination_trend", "mart_geo": "gold_geo_risk", "mart_purpose": "gold_purpose_risk",
+    "mart_score_band": "gold_fico_band_risk", "mart_ratio_band": "gold_dti_band_risk", "segment_loans": "gold_loan_segments",
+}
+
+
+def support_by_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """State x month cells and loans kept at each support threshold, the library's 100 included."""
+    cells = segment_loans(spark, sf_dir)
+    levels = F.explode(F.array(*[F.lit(n) for n in SUPPORT_THRESHOLDS])).alias("min_resolved")
+    kept = F.col("resolved_loans") >= F.col("min_resolved")
+    return cells.select("loans", "resolved_loans", levels).groupBy("min_resolved").agg(
+        F.count(F.lit(1)).alias("cells"),
+        F.count_if(kept).alias("cells_kept"),
+        F.coalesce(F.sum(F.when(kept, F.col("loans"))), F.lit(0)).alias("loans_kept"),
+    )
+
+
+def coverage_below_floor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months of the line items' range with fewer orders than a whole month has."""
+    spine = calendar.month_spine(tables.read_table(spark, sf_dir, "lineitem"), "l_shipdate")
+    landed = tables.read_table(spark, sf_dir, "orders").select(derive.month_key(F.to_date("o_orderdate")).alias("month"))
+    return calendar.coverage_gaps(spine, landed, min_rows=MONTH_MIN_ROWS)
+
+
+def backfill_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ledger of a month backfill of orders that took two runs."""
+    def backfill(base: str) -> MonthBackfill:
+        return MonthBackfill(spark, f"{base}/months", _ORDER_SCHEMA, min_rows=MONTH_MIN_ROWS, min_bytes=0, chunk_months=24)
+
+    def write(base: str) -> None:
+        orders = _orders_typed(spark, sf_dir)
+        spine = calendar.month_spine(orders, "o_orderdate")
+        work = backfill(base)
+        work.run(orders, "o_orderdate", spine, max_months=BACKFILL_FIRST)
+        work.run(orders, "o_orderdate", spine)
+
+    base = medallion.stored(spark, sf_dir, "landing/orders_backfill", write)
+    return backfill(base).ledger().select("month", "row_count", "state")
+
+
+QUERIES.update({
+    "loans_reloaded": loans_reloaded,
+    "loans_incremental": loans_incremental,
+    "rule_log": rule_log,
+    "row_account": row_account,
+    **{f"merged_{short}": _merged(loans_layer, name) for short, name in MERGED_MARTS.items()},
+    "merged_segment_complaints": _merged(complaints_layer, "gold_complaint_segments"),
+    "support_by_threshold": support_by_threshold,
+    "coverage_below_floor": coverage_below_floor,
+    "backfill_ledger": backfill_ledger,
+})

@@ -33,3 +33,9 @@ ORDERS_SPLIT = ("1998-07-01", "1999-01-01")
 # Streaming schema growth: documents in this language arrive first, with
 # fewer columns; the rest arrive later with new columns in the middle.
 FIRST_ARRIVAL_LANG = "en"
+# Rows a month needs to count as covered or backfilled.
+MONTH_MIN_ROWS = 170
+# Months that the first of two backfill runs lands.
+BACKFILL_FIRST = 30
+# Support thresholds whose kept cells are reported.
+SUPPORT_THRESHOLDS = (20, 100)
