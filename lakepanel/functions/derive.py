@@ -22,9 +22,18 @@ def installment_to_income(installment: ColumnOrName, annual_inc: ColumnOrName) -
     half-up once, so a ratio lying exactly on a rounding edge, such as
     15.20285, rounds as written instead of by its binary double.  The guard
     looks at the very value that is divided by.
+
+    Wide decimals are slow, so they are used where they can matter: a quotient
+    of doubles decides alone where it is further from a rounding edge than
+    the eighth place of either side could move it.
     """
     income = dec(annual_inc, "decimal(24,8)")
-    return round_ratio(dec(installment, "decimal(20,8)") * F.lit(12).cast("decimal(2,0)"), F.when(income > 0, income), 4)
+    exact = round_ratio(dec(installment, "decimal(20,8)") * F.lit(12).cast("decimal(2,0)"), F.when(income > 0, income), 4)
+    a, b = _c(installment).cast("double"), _c(annual_inc).cast("double")
+    units = a * 12 / F.when(b > 0, b) * 10_000
+    slack = units * (F.lit(1e-8) / F.when(a > 0, a) + F.lit(1e-8) / F.when(b > 0, b)) + 1e-6
+    far = (a < 1e11) & (b < 1e15) & (units < 1e12) & (F.abs(units - F.floor(units) - 0.5) > slack)
+    return F.when(far, F.floor(units + 0.5).cast("double") / 10_000).otherwise(exact)
 
 
 def status_flag(status: ColumnOrName, pattern: str) -> Column:

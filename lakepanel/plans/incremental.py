@@ -30,12 +30,12 @@ from ..functions.mergeable import Mart
 from ..operators.columns import keep_columns
 from ..operators.dedup import latest_per_key
 from ..operators.quality import apply_hard_rules, observe_rules, passes_all, rejected_rows
+from ..operators.rule_log import read_rule_log, write_rule_log
 from ..sources.keyed_table import BUCKET, KeyedTable
 from . import marts
 from .complaints import SURVIVOR, typed_complaints
 from .loans import typed_loans
 
-RULE_LOG = "rule string, kind string, failed bigint, total bigint"
 ACCOUNT = "bronze_rows bigint, null_keys bigint, duplicates bigint, rejected bigint, silver_rows bigint"
 
 
@@ -81,20 +81,12 @@ class IncrementalLayer:
             "rejected": counts["rows"] - passed,
             "silver_rows": passed,
         }
-        self._write_log(batch, counts)
-        self._write_rows("row_account", batch, [tuple(account.values())], ACCOUNT)
+        write_rule_log(self.spark, f"{self.root}/rule_log", batch, counts, self.hard_rules, self.soft_rules)
+        row = self.spark.createDataFrame([tuple(account.values())], ACCOUNT).coalesce(1)
+        row.write.mode("overwrite").parquet(f"{self.root}/row_account/batch={batch}")
         self.table.merge(self.spark.read.schema(candidates.schema).parquet(staged), also=self._partials)
         return account
 
-    def _write_rows(self, name: str, batch: str, rows: list[tuple], schema: str) -> None:
-        out = self.spark.createDataFrame(rows, schema).coalesce(1)
-        out.write.mode("overwrite").parquet(f"{self.root}/{name}/batch={batch}")
-
-    def _write_log(self, batch: str, counts: Mapping[str, int]) -> None:
-        rules = [(n, "hard") for n in self.hard_rules] + [(n, "soft") for n in self.soft_rules]
-        rows = [(n, kind, counts[f"failed_{n}"], counts["rows"]) for n, kind in rules]
-        self._write_rows("rule_log", batch, rows, RULE_LOG)
-
     def _partials(self, rows: DataFrame, version: str) -> None:
         """Every mart's partial rows of the touched buckets, beside the version's data."""
         silver = apply_hard_rules(rows, self.hard_rules)
@@ -124,13 +116,9 @@ class IncrementalLayer:
         target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return target.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(target)
 
-    def _logged(self, name: str, schema: str) -> DataFrame:
-        reader = self.spark.read.schema(f"{schema}, batch string")
-        return reader.option("basePath", f"{self.root}/{name}").parquet(f"{self.root}/{name}")
-
     def rule_log(self) -> DataFrame:
         """``batch, rule, kind, failed, total`` of every batch loaded so far."""
-        return self._logged("rule_log", RULE_LOG).select("batch", "rule", "kind", "failed", "total")
+        return read_rule_log(self.spark, f"{self.root}/rule_log")
 
     def row_account(self) -> DataFrame:
         """Per batch: bronze rows, what became of them, and whether that adds up.
@@ -142,7 +130,9 @@ class IncrementalLayer:
         held = stored.groupBy(F.col("batch").cast("string").alias("batch")).agg(
             F.count_if(passes_all(self.hard_rules)).alias("passing"), F.count_if(~passes_all(self.hard_rules)).alias("failing")
         )
-        account = self._logged("row_account", ACCOUNT).join(held, "batch", "left")
+        folder = f"{self.root}/row_account"
+        account = self.spark.read.schema(f"{ACCOUNT}, batch string").option("basePath", folder).parquet(folder)
+        account = account.join(held, "batch", "left")
         total = F.col("null_keys") + F.col("duplicates") + F.col("failing") + F.col("passing")
         balanced = (F.col("bronze_rows") == total) & (F.col("failing") == F.col("rejected")) & (F.col("passing") == F.col("silver_rows"))
         names = [c.split(" ")[0] for c in ACCOUNT.split(", ")]

@@ -21,6 +21,7 @@ copy, so every product is a pruned scan of its input layer.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
@@ -29,6 +30,7 @@ from pyspark.sql import functions as F
 
 from ..constants import LOAN_HARD_RULES, LOAN_SOFT_RULES, PANEL_MIN_RESOLVED
 from ..operators.quality import check_row_floor, observe_rules, passes_all, rejected_rows
+from ..operators.rule_log import read_rule_log, write_rule_log
 from ..operators.union import union_by_name
 from ..operators.columns import stamp_ingest
 from ..sources import files
@@ -180,13 +182,16 @@ class Lakehouse:
         hard_rules: Mapping[str, str] = LOAN_HARD_RULES,
         soft_rules: Mapping[str, str] = LOAN_SOFT_RULES,
         incremental: bool = False,
+        batch: str | None = None,
     ) -> None:
         """Loans bronze -> candidates -> silver (+ quarantine) -> eight marts.
 
         ``incremental`` lands bronze through the file stream: each run takes
         only files it has not seen, and a header that gains a column adds it
         (null for earlier rows).  Silver and gold are then recomputed in full
-        from the stored bronze, as materialised views are.
+        from the stored bronze, as materialised views are.  Rule outcomes are
+        logged under ``batch`` (by default a new name) before silver switches;
+        a load repeated under its name is counted once.
         """
         if incremental:
             self._bronze_stream(csv_glob, "bronze_loans", row_floor, id_col="id")
@@ -196,8 +201,10 @@ class Lakehouse:
         observed, obs = observe_rules(candidates, {**hard_rules, **soft_rules}, "loan_rules")
         # One write: every candidate lands in exactly one verdict partition.
         verdict = F.when(passes_all(hard_rules), F.lit("pass")).otherwise(F.lit("fail"))
+        name = batch or f"load_{time.time_ns()}"
+        log = lambda: write_rule_log(self.spark, self._folder("rule_log", "quality"), name, obs.get, hard_rules, soft_rules)
         self._write(observed.withColumn(RULES_PARTITION, verdict), "silver_loan_candidates", "silver",
-                    partition_by=[RULES_PARTITION])
+                    partition_by=[RULES_PARTITION], check=log)
         self.report["loan_rules"] = obs.get
         self.hard_rules = dict(hard_rules)
         if self.database:
@@ -207,6 +214,10 @@ class Lakehouse:
             # Stored unordered; readers sort (row order is not a table property).
             self._write(build(silver, ordered=False), name, "gold")
 
+    def rule_log(self) -> DataFrame:
+        """``batch, rule, kind, failed, total`` of every load so far."""
+        return read_rule_log(self.spark, self._folder("rule_log", "quality"))
+
     # ------------------------------------------------------------- complaints
     def build_complaints(
         self, csv_glob: str, history_glob: str | None = None, row_floor: int | None = None

@@ -247,8 +247,12 @@ def test_lakehouse_incremental_loans_take_only_new_files(spark, tmp_path_factory
     silver = {r["loan_id"]: r for r in lake.read("silver_loans", "silver").collect()}
     assert sorted(silver) == [1, 2, 3, 6] and silver[2]["total_pymnt"] == 2200.0
     # Nothing new landed: bronze is unchanged.
-    lake.build_loans(glob, row_floor=3, incremental=True)
+    lake.build_loans(glob, row_floor=3, incremental=True, batch="third")
     assert lake.report["bronze_loans_rows"] == 7
+    lake.build_loans(glob, row_floor=3, incremental=True, batch="third")  # repeated under its name
+    log = [(r["batch"], r["rule"], r["failed"], r["total"]) for r in lake.rule_log().collect()]
+    assert len({b for b, *_ in log}) == 3 and ("third", "positive_amount", 1, 6) in log
+    assert len(log) == 3 * 4
 
 
 def test_lakehouse_row_floor_raises(spark, tmp_path_factory):

@@ -35,6 +35,23 @@ def test_ratios_round_once(spark):
     assert rate == 12.34
 
 
+def test_the_quick_ratio_equals_the_exact_one(spark):
+    import random
+
+    from lakepanel.functions.metrics import dec, round_ratio
+
+    rng = random.Random(12)
+    rows = [(rng.choice([1, 1, 1, -1]) * round(rng.uniform(0, 2000), rng.randint(0, 10)), round(rng.uniform(0, 10 ** rng.randint(-3, 6)), rng.randint(0, 10))) for _ in range(3000)]
+    # On and next to rounding edges, tiny, huge and odd values.
+    rows += [(b * k / 240000 + e, b) for b in (1.0, 12.0, 480.0, 60000.0, 0.25) for k in range(1, 60, 2) for e in (0, 1e-9, -1e-9, 1e-7)]
+    rows += [(1e-9, 1.0), (1.0, 1e-9), (1e12, 1.0), (1.0, 1e16), (float("nan"), 1.0), (1.0, float("nan")), (float("inf"), 2.0), (0.0, 5.0), (-0.0, 5.0)]
+    df = spark.createDataFrame(rows, "i double, a double")
+    income = dec("a", "decimal(24,8)")
+    exact = round_ratio(dec("i", "decimal(20,8)") * F.lit(12).cast("decimal(2,0)"), F.when(income > 0, income), 4)
+    out = df.select("i", "a", derive.installment_to_income("i", "a").alias("quick"), exact.alias("exact"))
+    assert [tuple(r) for r in out.where("NOT quick <=> exact").collect()] == []
+
+
 def test_values_left_out_of_sums_are_counted(spark):
     df = spark.createDataFrame([(1.0,), (float("nan"),), (1e30,), (None,)], "x double")
     assert df.agg(M.count_unfit("x")).first()[0] == 2
