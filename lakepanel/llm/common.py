@@ -56,6 +56,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def own_names(df: DataFrame, *names: str) -> list[str]:
+    """Names for helper columns that ``df`` does not have: the given ones, lengthened where they clash."""
+    held = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in held:
+            name += "_"
+        held.add(name.lower())
+        out.append(name)
+    return out
+
+
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The bytes of a string (UTF-8) or binary column, its n + 1 offsets from 0, and its null mask.
 

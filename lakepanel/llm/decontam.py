@@ -47,7 +47,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship_package, stored
+from .common import own_names, ship_package, stored
 from .windows import _mix, substring_hash
 
 FILTER_BITS = 22
@@ -323,8 +323,9 @@ def with_regions(
     item_id: str = "item_id",
     item_text: str = "text",
     block_chars: int = 1 << 22,
+    into: str = "__regions",
 ) -> DataFrame:
-    """``docs`` and the regions of each text, ``__regions`` (``item_id, start, stop, edits``).
+    """``docs`` and the regions of each text in the column ``into`` (``item_id, start, stop, edits``).
 
     Places are characters of the lower-cased text.  With more than one block,
     each block's pass stores the regions it finds, under two hashes of the text,
@@ -335,9 +336,9 @@ def with_regions(
     n, blocks = item_blocks(benchmark, item_id, item_text, block_chars)
     if n == 1:
         shared = spark.sparkContext.broadcast(build_index(next(blocks), q, rate))
-        return docs.withColumn("__regions", _finder(shared)(docs[text]))
-    key = ["__key", "__key_2"]
-    keyed = docs.withColumns({"__key": F.xxhash64(docs[text]), "__key_2": F.xxhash64(F.lit(1), docs[text])})
+        return docs.withColumn(into, _finder(shared)(docs[text]))
+    *key, back_name = own_names(docs, "__key", "__key_2", "__found")
+    keyed = docs.withColumns(dict(zip(key, (F.xxhash64(docs[text]), F.xxhash64(F.lit(1), docs[text])), strict=True)))
     found = None
     for items in blocks:
         shared = spark.sparkContext.broadcast(build_index(items, q, rate))
@@ -349,9 +350,9 @@ def with_regions(
         found = part if found is None else found.unionByName(part)
     by_start = F.transform(F.flatten(F.collect_list("own")), lambda r: F.struct(r["start"], r["item_id"], r["stop"], r["edits"]))
     back = F.transform(F.array_sort(by_start), lambda r: F.struct(r["item_id"], r["start"], r["stop"], r["edits"])).cast(REGION)
-    found = found.groupBy(*key).agg(back.alias("__found"))
-    regions_ = F.coalesce("__found", F.array().cast(REGION))
-    return keyed.join(found, key, "left").withColumn("__regions", regions_).drop(*key, "__found")
+    found = found.groupBy(*key).agg(back.alias(back_name))
+    regions_ = F.coalesce(F.col(back_name), F.array().cast(REGION))
+    return keyed.join(found, key, "left").withColumn(into, regions_).drop(*key, back_name)
 
 
 def verdicts(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
@@ -368,4 +369,5 @@ def verdicts(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` without a region, all columns kept."""
-    return with_regions(docs, benchmark, text, **options).where(F.size("__regions") == 0).drop("__regions")
+    (mark,) = own_names(docs, "__regions")
+    return with_regions(docs, benchmark, text, into=mark, **options).where(F.size(mark) == 0).drop(mark)

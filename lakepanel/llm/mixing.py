@@ -31,7 +31,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import own_names, stored
 
 PASSES = 10
 HALVINGS = 5
@@ -167,17 +167,19 @@ def _cuts(sized: DataFrame, quotas: DataFrame) -> DataFrame:
 
 def copies(docs: DataFrame, plan_: DataFrame, doc_id: str = "doc_id", source: str = "source", name: str = "n_copies") -> DataFrame:
     """``docs`` with a column ``name`` (replaced if there is one): how often each row is in the mix."""
-    named = plan_.select(F.col("source").alias("__source"), F.col("epochs").alias("__epochs"), F.col("cut").alias("__cut"))
-    docs = docs.withColumn("__named", _named(F.col(source)))
-    more = (place_in_permutation(F.col(doc_id)) <= F.col("__cut")).cast("long")
+    of, epochs, cut, named = own_names(docs, "__source", "__epochs", "__cut", "__named")
+    quotas = plan_.select(F.col("source").alias(of), F.col("epochs").alias(epochs), F.col("cut").alias(cut))
+    more = (place_in_permutation(F.col(doc_id)) <= F.col(cut)).cast("long")
     return (
-        docs.join(named, F.col("__named") == F.col("__source"), "left")
-        .withColumn(name, F.coalesce(F.col("__epochs") + more, F.lit(1).cast("long")))
-        .drop("__source", "__epochs", "__cut", "__named")
+        docs.withColumn(named, _named(F.col(source)))
+        .join(quotas, F.col(named) == F.col(of), "left")
+        .withColumn(name, F.coalesce(F.col(epochs) + more, F.lit(1).cast("long")))
+        .drop(of, epochs, cut, named)
     )
 
 
 def realise(docs: DataFrame, plan_: DataFrame, doc_id: str = "doc_id", source: str = "source") -> DataFrame:
     """The mix: every row of ``docs`` as often as its copies say, with the same columns."""
-    counted = copies(docs, plan_, doc_id, source, "__copies").where("__copies > 0")
-    return counted.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))).select(*docs.columns)
+    n, copy = own_names(docs, "__copies", "__copy")
+    counted = copies(docs, plan_, doc_id, source, n).where(F.col(n) > 0)
+    return counted.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col(n)))).select(*docs.columns)

@@ -199,6 +199,26 @@ def test_decontamination_holds_one_block_at_a_time(spark, monkeypatch):
     assert sorted(r["doc_id"] for r in decontam.remove_contaminated(table, bench, block_chars=300).select("doc_id").collect()) == [2, 3, 4]
 
 
+HELPERS = ["__cut", "__source", "__epochs", "__named", "__Copies", "__copy", "__regions", "__key", "__key_2", "__found", "__id", "__content"]
+
+
+def test_columns_named_like_helpers_stay(spark):
+    rng = random.Random(14)
+    item = prose(rng, 30)
+    bench = spark.createDataFrame([(1, item), (2, prose(rng, 40)), (3, prose(rng, 50))], "item_id long, text string")
+    rows = [(i, prose(rng, 40) if i % 5 else item, "a" if i % 3 else "b") for i in range(30)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string").selectExpr("*", *[f"concat('own ', doc_id) AS `{c}`" for c in HELPERS])
+    for options in ({}, {"block_chars": 100}):
+        kept = decontam.remove_contaminated(table, bench, **options)
+        assert kept.columns == table.columns
+        assert sorted(tuple(r) for r in kept.collect()) == sorted(tuple(r) for r in table.where("doc_id % 5 <> 0").collect())
+    plan = mixing.plan(table, max_repeats=2.0, cover=True)
+    mixed = mixing.realise(table, plan)
+    assert mixed.columns == table.columns
+    assert Counter(tuple(r) for r in mixed.distinct().collect()) == Counter(tuple(r) for r in table.collect())
+    assert mixing.copies(table, plan).columns == [*table.columns, "n_copies"]
+
+
 def test_decontamination_of_odd_rows(spark):
     rng = random.Random(10)
     item = prose(rng, 30)
