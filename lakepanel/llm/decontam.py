@@ -31,7 +31,8 @@ as they are, from word boundary to word boundary; rows that repeat an item
 report it each; an empty benchmark finds nothing; regions of one item that
 overlap are reported once, whole items before windows and the one with fewest
 edits first; a region of windows has the edits of its worst window, and its
-ends are looked for in steps of ``STEP`` characters.
+ends are looked for in steps of ``STEP`` characters; texts of any length are
+searched whole; other columns are kept, also those named like helper columns.
 """
 
 from __future__ import annotations

@@ -70,7 +70,7 @@ def _letters() -> np.ndarray:
 
 
 def code_points(text: str) -> np.ndarray:
-    """Lower-cased code points; every run of non-letters is one space, one at either end."""
+    """Lower-cased code points; every run of non-letters behind a letter is one space; one more at either end."""
     points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
     letter = _letters()[points]
     points = np.where(letter, points, np.uint32(32))

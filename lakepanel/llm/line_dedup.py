@@ -17,7 +17,9 @@ handling.
 Defined results: a null page text or url keeps no lines and host ``''``; lines
 are trimmed, and blank lines are dropped and never counted; a line repeated
 inside a page counts once for it; every input row is a page, repeated rows
-included; empty tables give empty results; other columns are ignored.
+included; pages and lines of any length are handled whole; a share equal to the
+ratio is not above it; empty tables give empty results; other columns are
+ignored.
 """
 
 from __future__ import annotations

@@ -20,8 +20,9 @@ row each), five halvings at once.
 Defined results: a null source is the source ``''``, a null text has no
 tokens; documents without tokens are copied as their source is; rows that
 repeat an id share their place in the permutation; with no tokens at all,
-every document has one copy; an empty table gives an empty result; other
-columns are kept by ``realise`` and ignored by ``copies``.
+every document has one copy; texts of any length count whole; an empty table
+gives an empty result; other columns are kept, also those named like helper
+columns.
 """
 
 from __future__ import annotations

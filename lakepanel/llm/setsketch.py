@@ -25,8 +25,9 @@ error is below 0.036, and pairs are verified from 0.2 below the threshold.
 Defined results: a document without words (or a null text) has an empty set
 and is its own component; a null id is linked with nothing, has a null
 component and is kept; repeated rows of one id and text are one document
-and share their result; an empty table gives an empty result; other columns
-are ignored.
+and share their result; of a component the smallest id stays, so nothing ties;
+a text of any length is sketched whole; an empty table gives an empty result;
+other columns are ignored.
 """
 
 from __future__ import annotations

@@ -19,7 +19,8 @@ lose everything if they hold a window at all.
 Defined results: words are maximal runs of bytes other than space and
 0x09-0x0D; a null text has none; a row with a null id neither loses words nor
 makes others lose any; repeated rows of one id do not make each other lose
-words; an empty table gives an empty result; other columns are ignored.
+words; a text of any length is judged whole, in overlapping segments; an empty
+table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations

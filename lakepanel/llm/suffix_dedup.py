@@ -14,7 +14,8 @@ number; where that is over one, all their strings are repeats.
 
 Defined results: null and empty texts have 0 bytes; a text of fewer than
 ``width`` bytes loses nothing; every row counts as a document of its own,
-repeated rows and null ids included; an empty table gives an empty result;
+repeated rows and null ids included; a text of any length is judged whole, in
+overlapping segments; an empty table gives an empty result;
 other columns are ignored.  The remaining bytes may cut a character, so they
 are returned as binary.
 """

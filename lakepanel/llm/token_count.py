@@ -19,7 +19,8 @@ crosses the place before a run of ``▁`` or either side of a line feed, and
 the text may be cut there.  ``PreTokenCounter`` checks these conditions on
 the loaded model and encodes whole texts where one fails.
 
-Defined results: null and empty texts have 0 bytes and 0 tokens; a null id is
+Defined results: null and empty texts have 0 bytes and 0 tokens; texts of any
+length are counted whole, with runs of spaces cut apart first; a null id is
 kept; repeated rows give repeated results; an empty table gives an empty
 result; columns other than the id and the text are ignored.
 """
@@ -40,7 +41,10 @@ from .common import ship_package
 CACHE_ENTRIES = 1 << 19
 LONGEST_KEY = 64
 _SPACE = "▁"
-_SLOW = re.compile(f"[ {_SPACE}]+[^ {_SPACE}\n]*|[^ {_SPACE}\n]+|\n")
+_MARK = _SPACE.encode()
+# Runs of spaces and space marks with what follows up to the next one, or a line feed.
+_WORD = rb"(?:[^ \n\xe2]+|\xe2(?!\x96\x81))"
+_SLOW = re.compile(b"(?: |" + _MARK + b")+" + _WORD + b"*|" + _WORD + b"+|\n")
 
 
 class _Lengths(dict):
@@ -69,6 +73,7 @@ class PreTokenCounter:
         self.sp = sentencepiece.SentencePieceProcessor(model_file=model_path)
         self.by_parts = self._separable()
         self.lengths = _Lengths(frequent or {}, self._part_length)
+        self.loose = _Lengths({}, self._loose_length)
 
     def _separable(self) -> bool:
         from sentencepiece import sentencepiece_model_pb2 as pb
@@ -100,6 +105,10 @@ class PreTokenCounter:
             return len(self.sp.encode(key.decode())) - 1  # the prefix's own ▁
         return len(self.sp.encode("\n " + key.decode())) - 2  # the prefix's ▁ and the line feed
 
+    def _loose_length(self, part: bytes) -> int:
+        """Tokens of a part of a text with runs of spaces: the run and its word, or a word behind a line feed."""
+        return len(self.sp.encode("\n" + part.decode())) - 2  # the prefix's ▁ and the line feed
+
     @staticmethod
     def parts(raw: bytes) -> list[bytes] | None:
         """Pre-tokens of a text with single spaces; None if the text needs the slow cut."""
@@ -107,10 +116,16 @@ class PreTokenCounter:
             return None
         return raw.replace(b"\n", b" \n").split(b" ")
 
-    def _slow(self, text: str) -> int:
+    def _slow(self, raw: bytes) -> int:
+        """A text with runs of spaces, a space in front, or the space mark itself: its plain parts by the same table."""
         total = 0
-        for part in _SLOW.findall(" " + text):
-            total += 1 if part == "\n" else len(self.sp.encode("\n" + part)) - 2
+        for part in _SLOW.findall(b" " + raw):
+            if part == b"\n":
+                total += 1
+            elif part[:1] == b" " and part[1:2] not in (b"", b" ") and _MARK not in part:
+                total += self.lengths[part[1:]]
+            else:
+                total += self.loose[part]
         return total
 
     def count(self, raw: bytes) -> int:
@@ -120,7 +135,7 @@ class PreTokenCounter:
             return len(self.sp.encode(raw.decode()))
         parts = self.parts(raw)
         if parts is None:
-            return self._slow(raw.decode())
+            return self._slow(raw)
         if raw[:1] == b"\n":  # the text's own prefix stands alone before a line feed
             return 1 + sum(map(self.lengths.__getitem__, parts[1:]))
         return sum(map(self.lengths.__getitem__, parts))
@@ -140,8 +155,10 @@ def frequent_pre_tokens(docs: DataFrame, text: str = "text", table_size: int = 1
         seen: Counter = Counter()
         for batch in batches:
             for raw in _texts(batch, "text"):
-                if raw and (parts := PreTokenCounter.parts(raw)):
-                    seen.update(parts)
+                if raw:
+                    parts = PreTokenCounter.parts(raw)
+                    # Runs of spaces take no part in the table, the words between them do.
+                    seen.update(parts if parts is not None else filter(None, raw.replace(b"\n", b" \n").split(b" ")))
             if len(seen) > 16 * per_task:
                 seen = Counter({k: n for k, n in seen.items() if n > 1})
                 if len(seen) > 16 * per_task:

@@ -31,7 +31,8 @@ parts seen before; all new parts of a slice are encoded in one library call.
 
 Defined results: null and empty texts have the end id alone; a null document
 id sorts first; rows that repeat an id are kept, in the order of their ids'
-bytes; an empty table gives no files' rows; columns other than the id and the
+bytes; ids of equal count rank by the smaller id; texts of any length are
+encoded whole; an empty table gives no files' rows; columns other than the id and the
 text are ignored.
 """
 

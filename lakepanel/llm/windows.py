@@ -248,9 +248,10 @@ def runs(docs: DataFrame, copies: DataFrame, plan: Plan, own_repeats: bool) -> D
     other = F.min("content") != F.max("content")
     shared = (
         found.groupBy("key")
-        .agg(F.count("*").alias("rows"), (other | (F.max("n") > 1) if own_repeats else other).alias("shared"))
+        # The limit counts runs: a text may hold an anchor many times.
+        .agg(F.sum("n").alias("runs"), (other | (F.max("n") > 1) if own_repeats else other).alias("shared"))
         .where("shared")
-        .select("key", (F.col("rows") > plan.group_limit).alias("hot"))
+        .select("key", (F.col("runs") > plan.group_limit).alias("hot"))
     )
     wanted = (
         found.select("key", *ROW)

@@ -1,10 +1,11 @@
 """Operators 2 and 8 against brute force."""
 
+import random
 from collections import Counter
 
 import numpy as np
 import pytest
-from helpers import DOCS, brute_bytes, brute_words, documents, repeats_corpus
+from helpers import DOCS, brute_bytes, brute_words, documents, prose, repeats_corpus
 from lakepanel.llm import substring_dedup, suffix_dedup
 from lakepanel.llm.suffix_array import permuted_common_prefixes, suffix_array
 from lakepanel.llm.windows import BYTE_HASH, find_runs, byte_units, substring_hash, word_units
@@ -88,3 +89,15 @@ def test_suffix_array_and_common_prefixes():
             while m < min(limit[a], limit[b]) and t[a + m] == t[b + m]:
                 m += 1
             assert (common[a], before[a]) == (m, b)
+
+
+@pytest.mark.parametrize("limit", [20, 100_000])
+def test_a_passage_many_times_in_each_of_a_few_texts(spark, limit):
+    # Few rows per anchor, but many runs: the limit counts runs.
+    rng = random.Random(17)
+    passage = prose(rng, 70)
+    rows = [(k, "  ".join([passage, prose(rng, 5)] * 30)) for k in range(4)] + [(9, prose(rng, 200))]
+    out = substring_dedup.remove_repeats(documents(spark, rows), width=50, group_limit=limit).collect()
+    assert Counter((r["doc_id"], r["n_words"], r["n_removed"], r["kept_sha256"]) for r in out) == brute_words(rows, 50)
+    out = suffix_dedup.remove_repeats(documents(spark, rows), width=400, group_limit=limit).collect()
+    assert Counter((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in out) == brute_bytes(rows, 400)

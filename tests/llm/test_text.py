@@ -1,5 +1,6 @@
 """Operators 1, 3, 4, 5, 9 and 10."""
 
+import math
 import os
 import random
 import subprocess
@@ -202,6 +203,45 @@ def test_decontamination_holds_one_block_at_a_time(spark, monkeypatch):
 HELPERS = ["__cut", "__source", "__epochs", "__named", "__Copies", "__copy", "__regions", "__key", "__key_2", "__found", "__id", "__content"]
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_language_scores_against_plain_bayes(spark, seed):
+    rng = random.Random(seed)
+    vocabulary = {"en": "the of and there Thing".split(), "de": "der die Über öl Straße".split(), "fr": "le la été où".split()}
+    rows = [(i, prose(rng, rng.randint(1, 30), vocabulary[lang]) + rng.choice(["", "!? 12", "  "]), lang) for i, lang in enumerate(rng.choices(sorted(vocabulary), k=60))]
+    rows += [(60, None, "en"), (61, "12 %", "de"), (62, "no label", None)]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), bits=12)
+
+    def grams(text):
+        plain = " " + " ".join("".join(c if c.isalpha() else " " for c in text.lower()).split()) + " "
+        if not plain.strip():
+            return []
+        if not text[-1].isalpha():  # the run at the end stays beside the end's own space
+            plain += " "
+        out = []
+        for n in (1, 2, 3):
+            for k in range(len(plain) - n + 1):
+                h = 0
+                for j, c in enumerate(plain[k : k + n], start=1):
+                    h = (h * 0x01000193 + ord(c) + j) % 2**32
+                out.append((h ^ h >> 15) * 0x9E3779B1 % 2**32 >> 20)
+        return out
+
+    seen, docs = defaultdict(Counter), Counter()
+    for _, text, lang in rows:
+        if lang and text is not None:
+            seen[lang].update(grams(text))
+            docs[lang] += 1
+    for text in ["the thing", "Der Öl", "été où le", "the der le", "x", "ß", "THE\n\nTHE 9"]:
+        logs = {}
+        for lang, n in docs.items():
+            total = sum(seen[lang].values()) + 0.5 * 2**12
+            logs[lang] = math.log(n / sum(docs.values())) + sum(math.log((seen[lang][g] + 0.5) / total) for g in grams(text))
+        best = max(sorted(logs), key=logs.get)
+        got = langid.score(model, text)
+        assert got[0] == best
+        assert got[1] == pytest.approx(1 / sum(math.exp(x - logs[best]) for x in logs.values()), rel=1e-9)
+
+
 def test_columns_named_like_helpers_stay(spark):
     rng = random.Random(14)
     item = prose(rng, 30)
@@ -258,6 +298,26 @@ def test_token_ids_are_the_library_s(text):
     assert np.frombuffer(_encoder.encode_all([text.encode()])[0], "<u4").tolist() == want
 
 
+def test_runs_of_spaces_use_the_table_too():
+    rng = random.Random(16)
+    words = prose(rng, 4000, ["alpha", "beta", "gamma,", "délta", "漢字", "▁odd"]).split()
+    text = "  ".join(words[:2000]) + "\n " + " ".join(words[2000:]) + " \n\n x"
+    counter = token_count.PreTokenCounter(MODEL)
+    want = len(counter.sp.encode(text))
+    calls = []
+
+    class Counted:
+        def encode(self, *args):
+            calls.append(args)
+            return _counter.sp.encode(*args)
+
+    counter.sp = Counted()
+    assert counter.count(text.encode()) == want
+    assert 0 < len(calls) < 40  # one per distinct part, not one per word
+    calls.clear()
+    assert counter.count(text.encode()) == want and not calls
+
+
 def test_token_counts_of_a_table(spark):
     rows = repeats_corpus(seed=14)
     out = token_count.count_tokens(documents(spark, rows), MODEL, limit=100).collect()
