@@ -93,7 +93,7 @@ def test_suffix_array_and_common_prefixes():
 
 @pytest.mark.parametrize("limit", [20, 100_000])
 def test_a_passage_many_times_in_each_of_a_few_texts(spark, limit):
-    # Few rows per anchor, but many runs: the limit counts runs.
+    # Few rows per anchor, but many runs.
     rng = random.Random(17)
     passage = prose(rng, 70)
     rows = [(k, "  ".join([passage, prose(rng, 5)] * 30)) for k in range(4)] + [(9, prose(rng, 200))]
