@@ -32,6 +32,7 @@ from ..operators.dedup import latest_per_key
 from ..operators.quality import apply_hard_rules, observe_rules, passes_all, rejected_rows
 from ..operators.rule_log import read_rule_log, write_rule_log
 from ..sources.keyed_table import BUCKET, KeyedTable
+from ..sources.versions import hadoop_path
 from . import marts
 from .complaints import SURVIVOR, typed_complaints
 from .loans import typed_loans
@@ -108,13 +109,16 @@ class IncrementalLayer:
         table = self.table
         schema = self.marts[name].partial(apply_hard_rules(table.read(), self.hard_rules)).schema
         # A bucket none of whose rows counts has no folder of partials.
-        paths = [p for p in table.paths(name) if self._exists(p)]
+        there = set().union(*(self._folders(f"{self.root}/table/{name}/{v}") for v in set(table.mapping().values())))
+        paths = [p for p in table.paths(name) if p.removeprefix(f"{self.root}/table/{name}/") in there]
         stored = self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
         return self.marts[name].merge(stored, ordered)
 
-    def _exists(self, path: str) -> bool:
-        target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return target.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(target)
+    def _folders(self, path: str) -> set[str]:
+        """``<version>/<bucket folder>`` below one version's partials: one listing per version."""
+        target, fs = hadoop_path(self.spark, path)
+        version = path.rsplit("/", 1)[1]
+        return {f"{version}/{f.getPath().getName()}" for f in fs.listStatus(target)} if fs.exists(target) else set()
 
     def rule_log(self) -> DataFrame:
         """``batch, rule, kind, failed, total`` of every batch loaded so far."""
