@@ -7,11 +7,11 @@ Windows are judged on the input texts.
 The suffixes that can hold a repeat are split by a variable-length prefix of
 their anchor suffix (``windows.py``): ``gram`` words, or the whole window for
 groups that would not fit into memory.  A task takes whole groups and builds
-their suffix trees, level by level: the nodes at depth 2d are the pairs of
-nodes at depth d that follow one another (Karp, Miller and Rosenberg's
-naming), up to depth ``width``.  A node at that depth with several leaves is
-the locus of a repeat; its smallest document id decides which leaves go, and
-neighbouring leaves that go make up the maximal repeated spans.
+their suffix tree: the leaves in order (by prefix doubling) and the depth at
+which neighbours part.  The maximal repeats are read off its internal nodes of
+depth ``width`` or more: a leaf's repeat reaches as deep as its deepest
+ancestor that also has a leaf of a smaller document, and those that the place
+before does not reach as far as are the maximal ones.
 
 Exact copies of a text are represented by the copy of smallest id; the others
 lose everything if they hold a window at all.
@@ -40,19 +40,90 @@ from .windows import Plan, covered, merge_windows, word_units
 CHUNK_BYTES = 4 << 20
 
 
-def deepest_nodes(words: np.ndarray, depth: int) -> np.ndarray:
-    """For every suffix, its node at ``depth`` in the suffix tree of ``words`` (numbers in suffix order).
+def suffix_tree(words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The suffix tree of some texts as its sorted leaves and the depth of the node that parts neighbours.
 
-    The sequence must end in ``depth`` padding words.
+    ``words`` are the texts' words one after the other, ``first`` the first word of
+    each text (n + 1).  Leaves are places in the sequence with one end mark, other
+    than all else, behind each text; ``depth[i]`` is that of the lowest common
+    ancestor of leaves i - 1 and i.  Every internal node is an interval of leaves
+    between two smaller depths.
     """
-    _, node = np.unique(words, return_inverse=True)
-    node, reach = node.astype(np.int64), 1
-    while reach < depth:
-        step = min(reach, depth - reach)
-        pair = node[: len(node) - step] * (int(node.max()) + 1) + node[step:]
-        _, node = np.unique(pair, return_inverse=True)
-        node, reach = node.astype(np.int64), reach + step
-    return node
+    texts = len(first) - 1
+    _, name = np.unique(words, return_inverse=True)
+    name = np.insert(name.astype(np.int64), first[1:], int(name.max(initial=-1)) + 1 + np.arange(texts))
+    # names[k]: suffixes are equal for 2**k words if their names are, and ordered as their names.
+    names, reach = [name.astype(np.int32)], 1
+    while int(name.max(initial=-1)) + 1 < len(name):
+        after = np.zeros(len(name), np.int64)
+        after[: len(name) - reach] = name[reach:] + 1
+        _, name = np.unique(name * (len(name) + 1) + after, return_inverse=True)
+        name, reach = name.astype(np.int64), 2 * reach
+        names.append(name.astype(np.int32))
+    leaves = np.empty(len(name), np.int64)
+    leaves[name] = np.arange(len(name))
+    depth = np.zeros(len(name), np.int64)
+    left, right = leaves[:-1], leaves[1:]
+    for k in reversed(range(len(names))):
+        a, b = left + depth[1:], right + depth[1:]
+        inside = (a < len(name)) & (b < len(name))
+        same = inside & (names[k][np.minimum(a, len(name) - 1)] == names[k][np.minimum(b, len(name) - 1)])
+        depth[1:] += same.astype(np.int64) << k
+    return leaves, depth
+
+
+def _depth_to_smaller(docs: np.ndarray, depth: np.ndarray, longest: int) -> np.ndarray:
+    """Depth of the node that each leaf shares with the nearest leaf before it of a smaller document (else 0)."""
+    n, at = len(docs), np.arange(len(docs))
+    least, shallow = [docs], [depth]  # over the 2**k leaves, or steps, that end here
+    while (1 << len(least)) <= min(longest, n):
+        half, d, s = 1 << (len(least) - 1), least[-1].copy(), shallow[-1].copy()
+        d[half:] = np.minimum(d[half:], least[-1][:-half])
+        s[half:] = np.minimum(s[half:], shallow[-1][:-half])
+        least.append(d)
+        shallow.append(s)
+    found = np.full(n, np.iinfo(np.int64).max)
+    for k in reversed(range(len(least))):
+        before = np.maximum(at - 1, 0)
+        go = (at >= 1 << k) & (least[k][before] >= docs)
+        found = np.where(go, np.minimum(found, shallow[k][at]), found)
+        at = np.where(go, at - (1 << k), at)
+    good = (at > 0) & (docs[np.maximum(at - 1, 0)] < docs)
+    return np.where(good, np.minimum(found, depth[at]), 0)
+
+
+def maximal_repeats(words: np.ndarray, first: np.ndarray, docs: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``text, start, stop``: the maximal spans of ``width`` words or more that occur in a text of smaller document.
+
+    A leaf's longest such span is as long as its deepest ancestor with a leaf of a
+    smaller document is deep: the nearest such leaf on either side is below it.
+    Only internal nodes of depth ``width`` or more are looked at.
+    """
+    leaves, depth = suffix_tree(words, first)
+    deep = depth >= width
+    held = deep.copy()
+    held[:-1] |= deep[1:]
+    held = np.flatnonzero(held)
+    none = np.empty(0, np.int64)
+    if not len(held):
+        return none, none, none
+    ends = first[1:] + np.arange(len(first) - 1)  # the end marks' places
+    place, depth = leaves[held], depth[held]
+    text = np.searchsorted(ends, place)
+    begin = np.flatnonzero(depth < width)  # the first leaf of each deep subtree
+    longest = int(np.diff(np.append(begin, len(held))).max())
+    own = docs[text]
+    back = np.append(0, depth[1:][::-1])
+    reach = np.maximum(_depth_to_smaller(own, depth, longest), _depth_to_smaller(own[::-1], back, longest)[::-1])
+    keep = np.flatnonzero(reach >= width)
+    order = keep[np.argsort(place[keep])]
+    place, text, stop = place[order], text[order], place[order] + reach[order]
+    # Left-maximal ones only: the place before does not reach as far.
+    new = np.ones(len(place), bool)
+    new[1:] = (place[1:] != place[:-1] + 1) | (stop[1:] > stop[:-1])
+    place, text, stop = place[new], text[new], stop[new]
+    shift = first[text] + text
+    return text, place - shift, stop - shift
 
 
 def repeated_in_groups(table: pa.Table, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -69,23 +140,18 @@ def repeated_in_groups(table: pa.Table, width: int) -> tuple[np.ndarray, np.ndar
     np.minimum.at(smallest, body_of, docs)
     raw, offsets, _ = text_buffers(encoded.dictionary.cast(pa.string()))
     units = word_units(raw, offsets)
-    padded = np.concatenate([units.hash, np.zeros(width, np.uint64)])
-    node = deepest_nodes(padded, width)
-    text = np.repeat(np.arange(n_bodies), np.diff(units.first))
-    leaf = np.arange(len(units.hash))
-    inside = leaf + width <= units.first[text + 1]
-    leaf, text = leaf[inside], text[inside]
-    least = np.full(int(node.max()) + 1, np.iinfo(np.int64).max)
-    np.minimum.at(least, node[leaf], smallest[text])
-    least = least[node[leaf]]
-    # Back to the rows: a leaf of a body goes in every row with a larger document.
-    first = np.searchsorted(text, np.arange(n_bodies + 1))
-    count = np.diff(first)[body_of]
-    row = np.repeat(np.arange(len(docs)), count)
-    at = np.repeat(first[body_of] - np.cumsum(count) + count, count) + np.arange(count.sum())
-    gone = least[at] < docs[row]
-    row, at = row[gone], at[gone]
-    return merge_windows(leaf[at] - units.first[text[at]], row, width)
+    body, start, stop = maximal_repeats(units.hash, units.first, smallest, width)
+    # Rows of the smallest document have the body's spans, all others the whole body.
+    rows = np.flatnonzero(docs == smallest[body_of])
+    begin = np.searchsorted(body, np.arange(n_bodies + 1))
+    count = np.diff(begin)[body_of[rows]]
+    at = np.repeat(begin[body_of[rows]] - np.cumsum(count) + count, count) + np.arange(count.sum())
+    whole = np.flatnonzero(docs > smallest[body_of])
+    return (
+        np.concatenate([np.repeat(rows, count), whole]),
+        np.concatenate([start[at], np.zeros(len(whole), np.int64)]),
+        np.concatenate([stop[at], np.diff(units.first)[body_of[whole]]]),
+    )
 
 
 def repeated_word_spans(

@@ -101,3 +101,28 @@ def test_a_passage_many_times_in_each_of_a_few_texts(spark, limit):
     assert Counter((r["doc_id"], r["n_words"], r["n_removed"], r["kept_sha256"]) for r in out) == brute_words(rows, 50)
     out = suffix_dedup.remove_repeats(documents(spark, rows), width=400, group_limit=limit).collect()
     assert Counter((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in out) == brute_bytes(rows, 400)
+
+
+def test_maximal_repeats_of_a_suffix_tree():
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        texts = [rng.integers(0, rng.integers(1, 4), int(rng.integers(0, 25))).astype(np.uint64) for _ in range(int(rng.integers(1, 6)))]
+        docs, width = rng.integers(0, 4, len(texts)), int(rng.integers(1, 6))
+        first = np.cumsum([0] + [len(t) for t in texts])
+        leaves, depth = substring_dedup.suffix_tree(np.concatenate(texts), first)
+        plain = [[*map(int, t), 99 + k] for k, t in enumerate(texts)]
+        suffixes = sorted(x[i:] for x in plain for i in range(len(x)))
+        assert [len(x) for x in suffixes] == [int((first[1:] + np.arange(len(texts)))[np.searchsorted(first[1:] + np.arange(len(texts)), p)] - p + 1) for p in leaves]
+        for a, b, d in zip(suffixes, suffixes[1:], depth[1:]):
+            assert a[:d] == b[:d] and a[d : d + 1] != b[d : d + 1]
+        found = [np.zeros(len(t), bool) for t in texts]
+        for t, start, stop in zip(*substring_dedup.maximal_repeats(np.concatenate(texts), first, docs, width)):
+            assert stop - start >= width
+            found[t][start:stop] = True
+        for k, t in enumerate(texts):
+            smaller = {tuple(y[q : q + width]) for j, y in enumerate(texts) if docs[j] < docs[k] for q in range(len(y) - width + 1)}
+            expected = np.zeros(len(t), bool)
+            for p in range(len(t) - width + 1):
+                if tuple(t[p : p + width]) in smaller:
+                    expected[p : p + width] = True
+            assert (expected == found[k]).all()
