@@ -270,14 +270,14 @@ def runs(docs: DataFrame, copies: DataFrame, plan: Plan, own_repeats: bool) -> D
                 units = plan.cut(raw, offsets)
                 ids = np.asarray(part.column(0)), np.asarray(part.column(4))
                 sets = [[np.sort(np.array(s, np.int64)) for s in part.column(c).to_pylist()] for c in (2, 3)]
-                yield from _emit(plan, raw, units, ids, sets)
+                yield from emit(plan, raw, units, ids, sets, find_runs(units, plan.width, plan.gram))
 
     return docs.select(*ROW, "text").join(wanted, ROW).select("doc_id", "text", "keys", "hot_keys", "content").mapInArrow(
         run, "hot boolean, key bigint, key2 bigint, doc_id bigint, content bigint, low bigint, body binary"
     )
 
 
-def _member(keys: np.ndarray, text: np.ndarray, sets: list[np.ndarray]) -> np.ndarray:
+def member(keys: np.ndarray, text: np.ndarray, sets: list[np.ndarray]) -> np.ndarray:
     """Is each key in the sorted set of its text?"""
     out = np.zeros(len(keys), bool)
     edges = np.searchsorted(text, np.arange(len(sets) + 1))
@@ -292,12 +292,12 @@ def _member(keys: np.ndarray, text: np.ndarray, sets: list[np.ndarray]) -> np.nd
 _RUN_COLUMNS = ["hot", "key", "key2", "doc_id", "content", "low", "body"]
 
 
-def _emit(plan: Plan, raw: np.ndarray, units: Units, ids: tuple, sets: list) -> Iterator[pa.RecordBatch]:
+def emit(plan: Plan, raw: np.ndarray, units: Units, ids: tuple, sets: list, found_runs: Iterator[Runs]) -> Iterator[pa.RecordBatch]:
     bytes_ = raw.tobytes()
-    for found in find_runs(units, plan.width, plan.gram):
+    for found in found_runs:
         key = found.key.view(np.int64)
         for hot in (False, True):
-            keep = np.flatnonzero(_member(key, found.text, sets[hot]))
+            keep = np.flatnonzero(member(key, found.text, sets[hot]))
             if not len(keep):
                 continue
             text, low, high = found.text[keep], found.low[keep], found.high[keep]

@@ -6,14 +6,15 @@ from collections import Counter
 import numpy as np
 import pytest
 from helpers import DOCS, brute_bytes, brute_words, documents, prose, repeats_corpus
-from lakepanel.llm import substring_dedup, suffix_dedup
+from lakepanel.llm import substring_dedup, suffix_dedup, windows
+from lakepanel.llm.common import ship_package
 from lakepanel.llm.suffix_array import permuted_common_prefixes, suffix_array
-from lakepanel.llm.windows import BYTE_HASH, find_runs, byte_units, substring_hash, word_units
+from lakepanel.llm.windows import BYTE_HASH, Plan, byte_units, find_runs, substring_hash, word_units
 
 
-@pytest.mark.parametrize("limit", [20_000, 1])
+@pytest.mark.parametrize("limit", [20_000, 8, 1])
 def test_word_repeats(spark, limit):
-    """Both ways of splitting: whole groups, and groups beyond the limit window by window."""
+    """All ways of splitting: whole groups, longer prefixes, and groups beyond the limit window by window."""
     rows = repeats_corpus()
     out = substring_dedup.remove_repeats(documents(spark, rows), width=50, group_limit=limit).collect()
     got = Counter((r["doc_id"], r["n_words"], r["n_removed"], r["kept_sha256"]) for r in out)
@@ -126,3 +127,24 @@ def test_maximal_repeats_of_a_suffix_tree():
                 if tuple(t[p : p + width]) in smaller:
                     expected[p : p + width] = True
             assert (expected == found[k]).all()
+
+
+def test_groups_split_by_several_prefix_lengths(spark):
+    """40 texts share 8 words, 30 of them 20, 20 of them 40, 10 of them a whole window: one group of each size."""
+    rng = random.Random(23)
+    common = prose(rng, 120).split()
+    rows = []
+    for k in range(40):
+        shared = common[: 120 if k < 10 else 60 if k < 20 else 45 if k < 30 else 20]
+        rows.append((k, " ".join([*prose(rng, 60).split(), *shared, *prose(rng, 60).split()])))
+    rows += [(100 + k, " ".join(common[k : k + 80])) for k in range(12)]
+    df = documents(spark, rows)
+    base = windows.prepared(df, "doc_id", "text", null_ids=False)
+    for limit in (2, 5, 12, 25):
+        plan = Plan(word_units, 50, 8, limit)
+        ship_package(spark)
+        runs = substring_dedup.suffix_groups(base, windows.first_copies(base), plan).collect()
+        sizes = Counter(r["key"] for r in runs if not r["hot"])
+        assert max(sizes.values(), default=0) <= limit
+        out = substring_dedup.remove_repeats(df, width=50, group_limit=limit).collect()
+        assert Counter((r["doc_id"], r["n_words"], r["n_removed"], r["kept_sha256"]) for r in out) == brute_words(rows, 50)
