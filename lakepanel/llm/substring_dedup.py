@@ -31,7 +31,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import replace
 from functools import reduce
 
 import numpy as np
@@ -41,9 +41,11 @@ from pyspark.sql import functions as F
 
 from . import windows
 from .common import pieces, ship_package, stored, text_buffers
-from .windows import ROW, Plan, Runs, Units, covered, find_runs, word_units
+from .windows import ROW, Plan, Units, covered, find_runs, word_units
 
 CHUNK_BYTES = 4 << 20
+#: A stretch of a text's windows: the row and its first window.
+STRETCH = [*ROW, "low"]
 
 
 def suffix_tree(words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -160,101 +162,91 @@ def repeated_in_groups(table: pa.Table, width: int) -> tuple[np.ndarray, np.ndar
     )
 
 
-@dataclass(frozen=True)
-class Prefixes:
-    """Lengths of the prefixes, shortest first, and the windows they split."""
-
-    width: int
-    lengths: tuple[int, ...]
-
-    def runs(self, units: Units, level: int, within: np.ndarray | None) -> Iterator[Runs]:
-        """The runs at one length, of the windows ``within`` (None: all)."""
-        for found in find_runs(units, self.width, self.lengths[level]):
-            if within is None:
-                yield found
-                continue
-            count = found.high - found.low + 1
-            run = np.repeat(np.arange(len(count)), count)
-            window = np.repeat(found.low - np.cumsum(count) + count, count) + np.arange(count.sum())
-            keep = within[window]
-            run, window = run[keep], window[keep]
-            if len(run):
-                new = np.ones(len(run), bool)
-                new[1:] = (run[1:] != run[:-1]) | (window[1:] != window[:-1] + 1)
-                begin = np.flatnonzero(new)
-                last = np.append(begin[1:], len(run)) - 1
-                own = run[begin]
-                yield Runs(found.key[own], found.text[own], window[begin], window[last], found.anchors[own])
-
-    def marked(self, units: Units, level: int, within: np.ndarray | None, sets: list[np.ndarray]) -> np.ndarray:
-        """By unit: does a window start there whose prefix at ``level`` is in its text's set?"""
-        edge = np.zeros(len(units.hash) + 1, np.int64)
-        for found in self.runs(units, level, within):
-            inside = windows.member(found.key.view(np.int64), found.text, sets)
-            np.add.at(edge, found.low[inside], 1)
-            np.add.at(edge, found.high[inside] + 1, -1)
-        return np.cumsum(edge[:-1]) > 0
-
-
-def _sets(split: list, level: int, kind: str) -> list[np.ndarray]:
-    """Per text, its sorted keys of one level."""
-    return [np.sort(np.array(own[level][kind] if len(own) > level else [], np.int64)) for own in split]
-
-
-def _longer_prefixes(asked: DataFrame, prefixes: Prefixes, level: int) -> DataFrame:
-    """``key, content, doc_id, n`` at ``level`` of the windows whose groups were too large at every level before.
-
-    ``asked``: ``doc_id, text, content, split`` (``split[level]``: keys of small and of too large groups).
+def _anchors(texts: DataFrame, plan: Plan) -> DataFrame:
+    """``key, content, doc_id, low, n``: ``windows.anchors`` of stretches of texts, which start at window ``low``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in pieces(batch, "text", 2 << 20):
+                raw, offsets, _ = text_buffers(part.column(1))
+                for found in find_runs(word_units(raw, offsets), plan.width, plan.gram):
+                    of = [part.column(c).take(pa.array(found.text)) for c in (2, 0, 3)]
+                    n = pa.array(found.anchors, pa.int64())
+                    yield pa.record_batch([pa.array(found.key.view(np.int64)), *of, n], ["key", "content", "doc_id", "low", "n"])
+
+    rows = texts.select("doc_id", "text", "content", "low").mapInArrow(
+        run, "key bigint, content bigint, doc_id bigint, low bigint, n bigint"
+    )
+    return rows.groupBy("key", *STRETCH).agg(F.sum("n").alias("n"))
+
+
+def _cut(texts: DataFrame, plan: Plan, last: bool) -> DataFrame:
+    """Runs of the ``cold`` keys of each text, and what the ``hot`` ones are split into.
+
+    ``again`` marks the stretches of windows with hot keys, whole; at the ``last``
+    prefix length those are one row per window instead, as in ``windows.runs``.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, "text", 2 << 20):
                 raw, offsets, _ = text_buffers(part.column(1))
-                units, split, within = word_units(raw, offsets), part.column(3).to_pylist(), None
-                for before in range(level):
-                    within = prefixes.marked(units, before, within, _sets(split, before, "hot"))
-                for found in prefixes.runs(units, level, within):
-                    yield pa.record_batch(
-                        [
-                            pa.array(found.key.view(np.int64)),
-                            part.column(2).take(pa.array(found.text)),
-                            part.column(0).take(pa.array(found.text)),
-                            pa.array(found.anchors, pa.int64()),
-                        ],
-                        ["key", "content", "doc_id", "n"],
-                    )
-
-    rows = asked.select("doc_id", "text", "content", "split").mapInArrow(run, "key bigint, content bigint, doc_id bigint, n bigint")
-    return rows.groupBy("key", "content", "doc_id").agg(F.sum("n").alias("n"))
-
-
-def _split(levels: list[DataFrame]) -> DataFrame:
-    """``doc_id, content, split``: per document, its keys level by level."""
-    entry = F.struct("level", "cold", "hot")
-    if len(levels) == 1:
-        return levels[0].select(*ROW, F.array(entry).alias("split"))
-    return reduce(DataFrame.unionByName, levels).groupBy(*ROW).agg(F.sort_array(F.collect_list(entry)).alias("split"))
+                units = word_units(raw, offsets)
+                ids = tuple(np.asarray(part.column(c)) for c in (0, 2, 3))
+                cold, hot = ([np.sort(np.array(s, np.int64)) for s in part.column(c).to_pylist()] for c in (4, 5))
+                sets = [cold, hot if last else [np.empty(0, np.int64)] * len(hot)]
+                for rows in windows.emit(plan, raw, units, ids, sets, find_runs(units, plan.width, plan.gram)):
+                    yield rows.append_column("again", pa.array(np.zeros(rows.num_rows, bool)))
+                if not last and any(map(len, hot)):
+                    yield from _stretches(plan, raw, units, ids, hot)
+
+    return texts.select("doc_id", "text", "content", "low", "cold", "hot").mapInArrow(
+        run, "hot boolean, key bigint, key2 bigint, doc_id bigint, content bigint, low bigint, body binary, again boolean"
+    )
+
+
+def _stretches(plan: Plan, raw: np.ndarray, units: Units, ids: tuple, sets: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """The longest stretches of windows whose keys are all in their text's set."""
+    edge = np.zeros(len(units.hash) + 1, np.int64)
+    for found in find_runs(units, plan.width, plan.gram):
+        inside = windows.member(found.key.view(np.int64), found.text, sets)
+        np.add.at(edge, found.low[inside], 1)
+        np.add.at(edge, found.high[inside] + 1, -1)
+    window = np.flatnonzero(np.cumsum(edge[:-1]) > 0)
+    if not len(window):
+        return
+    text = np.searchsorted(units.first, window, side="right") - 1
+    new = np.append(True, (window[1:] != window[:-1] + 1) | (text[1:] != text[:-1]))
+    low, high, text = window[new], window[np.append(new[1:], True)], text[new]
+    bytes_ = raw.tobytes()
+    bodies = [bytes_[a:b] for a, b in zip(units.start[low].tolist(), units.end[high + plan.width - 1].tolist(), strict=True)]
+    n = len(low)
+    yield pa.record_batch(
+        [
+            pa.array(np.zeros(n, bool)),
+            pa.nulls(n, pa.int64()),
+            pa.nulls(n, pa.int64()),
+            pa.array(ids[0][text]),
+            pa.array(ids[1][text]),
+            pa.array(ids[2][text] + low - units.first[text]),
+            pa.array(bodies, pa.binary()),
+            pa.array(np.ones(n, bool)),
+        ],
+        ["hot", "key", "key2", "doc_id", "content", "low", "body", "again"],
+    )
 
 
 def suffix_groups(docs: DataFrame, copies: DataFrame, plan: Plan) -> DataFrame:
     """The runs of ``windows.runs``, with groups beyond the limit split by longer and longer prefixes."""
-    docs = windows.known(docs)
-    lengths = [plan.gram]
-    while 2 * lengths[-1] < plan.width:
-        lengths.append(2 * lengths[-1])
-    prefixes = Prefixes(plan.width, tuple(lengths))
+    whole = windows.known(docs).withColumn("low", F.lit(0).cast("long"))
     later = copies.where("doc_id <> first_id").select(*ROW)
-    levels: list[DataFrame] = []
-    for level, length in enumerate(lengths):
-        if level:
-            # Whose last prefixes are all in small groups, or shared no more, is at its end.
-            left = _split(levels).where((F.size("split") == level) & (F.size(F.element_at("split", -1)["hot"]) > 0))
-            if left.isEmpty():
-                break
-            found = _longer_prefixes(docs.join(left, ROW), prefixes, level)
+    texts, length, done = whole, plan.gram, []
+    while True:
+        now, last = replace(plan, gram=length), 2 * length >= plan.width
+        if done:
+            found = _anchors(texts, now)
         else:
-            found = windows.anchors(docs, plan)
+            found = windows.anchors(texts, now).withColumn("low", F.lit(0).cast("long"))
         found = stored(found, f"prefixes_{length}")
         shared = (
             found.groupBy("key")
@@ -262,39 +254,20 @@ def suffix_groups(docs: DataFrame, copies: DataFrame, plan: Plan) -> DataFrame:
             .where("shared")
             .select("key", (F.col("runs") > plan.group_limit).alias("large"))
         )
-        own = found.select("key", *ROW).join(shared, "key")
-        if not level:  # further levels see first copies only
+        own = found.select("key", *STRETCH).join(shared, "key")
+        if not done:  # longer prefixes see first copies only
             own = own.join(later, ROW, "left_anti")
-        keys = own.groupBy(*ROW).agg(
+        keys = own.groupBy(*STRETCH).agg(
             F.collect_set(F.when(~F.col("large"), F.col("key"))).alias("cold"),
             F.collect_set(F.when(F.col("large"), F.col("key"))).alias("hot"),
-        )  # at most one entry per window of the document
-        levels.append(stored(keys.select(*ROW, F.lit(level).alias("level"), "cold", "hot"), f"keys_{length}"))
-    return _cut(docs.join(_split(levels), ROW), prefixes)
-
-
-def _cut(docs: DataFrame, prefixes: Prefixes) -> DataFrame:
-    """``hot, key, key2, doc_id, content, low, body`` of documents with their ``split``."""
-    width, last = prefixes.width, len(prefixes.lengths) - 1
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in pieces(batch, "text", 2 << 20):
-                raw, offsets, _ = text_buffers(part.column(1))
-                units, split, within = word_units(raw, offsets), part.column(3).to_pylist(), None
-                ids = np.asarray(part.column(0)), np.asarray(part.column(2))
-                none = [np.empty(0, np.int64)] * len(split)
-                for level in range(max(len(own) for own in split)):
-                    hot = _sets(split, level, "hot")
-                    sets = [_sets(split, level, "cold"), hot if level == last else none]
-                    yield from windows.emit(Plan(word_units, width, 0, 0), raw, units, ids, sets, prefixes.runs(units, level, within))
-                    within = prefixes.marked(units, level, within, hot) if any(map(len, hot)) else np.zeros(len(units.hash), bool)
-                    if not within.any():
-                        break
-
-    return docs.select("doc_id", "text", "content", "split").mapInArrow(
-        run, "hot boolean, key bigint, key2 bigint, doc_id bigint, content bigint, low bigint, body binary"
-    )
+        )  # at most one entry per window of the text
+        rows = stored(_cut(texts.join(keys, STRETCH), now, last), f"runs_{length}")
+        done.append(rows.where("NOT again").drop("again"))
+        again = rows.where("again")
+        if last or again.isEmpty():
+            return reduce(DataFrame.unionByName, done)
+        texts = again.select(*STRETCH, F.col("body").cast("string").alias("text"))
+        length *= 2
 
 
 def repeated_word_spans(
@@ -310,7 +283,7 @@ def repeated_word_spans(
     plan = Plan(word_units, width, gram, group_limit)
     base = windows.prepared(docs, doc_id, text, null_ids=False)
     copies = windows.first_copies(base)
-    rows = stored(suffix_groups(base, copies, plan), "word_runs")
+    rows = suffix_groups(base, copies, plan)
     spans = windows.group_spans(rows, CHUNK_BYTES, width, repeated_in_groups)
     hot = windows.hot_spans(rows, width, F.min("doc_id"), F.col("seen") < F.col("doc_id"))
     return base, spans.unionByName(hot), copies

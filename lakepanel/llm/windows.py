@@ -268,7 +268,7 @@ def runs(docs: DataFrame, copies: DataFrame, plan: Plan, own_repeats: bool) -> D
             for part in pieces(batch, "text", 2 << 20):
                 raw, offsets, _ = text_buffers(part.column(1))
                 units = plan.cut(raw, offsets)
-                ids = np.asarray(part.column(0)), np.asarray(part.column(4))
+                ids = np.asarray(part.column(0)), np.asarray(part.column(4)), np.zeros(part.num_rows, np.int64)
                 sets = [[np.sort(np.array(s, np.int64)) for s in part.column(c).to_pylist()] for c in (2, 3)]
                 yield from emit(plan, raw, units, ids, sets, find_runs(units, plan.width, plan.gram))
 
@@ -293,6 +293,7 @@ _RUN_COLUMNS = ["hot", "key", "key2", "doc_id", "content", "low", "body"]
 
 
 def emit(plan: Plan, raw: np.ndarray, units: Units, ids: tuple, sets: list, found_runs: Iterator[Runs]) -> Iterator[pa.RecordBatch]:
+    """Rows of the runs with keys in ``sets`` (cold, hot); ``ids``: per text its id, content and first window."""
     bytes_ = raw.tobytes()
     for found in found_runs:
         key = found.key.view(np.int64)
@@ -310,7 +311,7 @@ def emit(plan: Plan, raw: np.ndarray, units: Units, ids: tuple, sets: list, foun
                         pa.array(key[keep]),
                         pa.array(ids[0][text]),
                         pa.array(ids[1][text]),
-                        pa.array(low - units.first[text]),
+                        pa.array(ids[2][text] + low - units.first[text]),
                         pa.array([bytes_[a:b] for a, b in zip(starts, ends, strict=True)], pa.binary()),
                     ],
                     _RUN_COLUMNS,
@@ -329,7 +330,7 @@ def emit(plan: Plan, raw: np.ndarray, units: Units, ids: tuple, sets: list, foun
                     _signed(substring_hash(h, plan.width, 1)[window - base]),
                     pa.array(ids[0][text]),
                     pa.array(ids[1][text]),
-                    pa.array(window - units.first[text]),
+                    pa.array(ids[2][text] + window - units.first[text]),
                     pa.nulls(len(window), pa.binary()),
                 ],
                 _RUN_COLUMNS,
