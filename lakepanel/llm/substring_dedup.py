@@ -7,7 +7,7 @@ Windows are judged on the input texts.
 The suffixes that can hold a repeat are split by a variable-length prefix: a
 window belongs to the smallest hashed prefix of ``gram`` words of the suffixes
 that start in it (its anchor, ``windows.py``).  Where such a group could hold
-more than ``group_limit`` runs, its windows are split again by prefixes of twice
+more than ``group_limit`` words, its windows are split again by prefixes of twice
 the length, and so on while they are shorter than a window.  What is still too
 large then is split by whole windows; such a group is one node, whose smallest
 document an aggregate finds.  A task takes whole groups and builds their suffix
@@ -163,7 +163,7 @@ def repeated_in_groups(table: pa.Table, width: int) -> tuple[np.ndarray, np.ndar
 
 
 def _anchors(texts: DataFrame, plan: Plan) -> DataFrame:
-    """``key, content, doc_id, low, n``: ``windows.anchors`` of stretches of texts, which start at window ``low``."""
+    """``key, content, doc_id, low, size``: ``windows.anchors`` of stretches of texts, which start at window ``low``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -171,13 +171,13 @@ def _anchors(texts: DataFrame, plan: Plan) -> DataFrame:
                 raw, offsets, _ = text_buffers(part.column(1))
                 for found in find_runs(word_units(raw, offsets), plan.width, plan.gram):
                     of = [part.column(c).take(pa.array(found.text)) for c in (2, 0, 3)]
-                    n = pa.array(found.anchors, pa.int64())
-                    yield pa.record_batch([pa.array(found.key.view(np.int64)), *of, n], ["key", "content", "doc_id", "low", "n"])
+                    size = pa.array(found.high - found.low + plan.width, pa.int64())
+                    yield pa.record_batch([pa.array(found.key.view(np.int64)), *of, size], ["key", "content", "doc_id", "low", "size"])
 
     rows = texts.select("doc_id", "text", "content", "low").mapInArrow(
-        run, "key bigint, content bigint, doc_id bigint, low bigint, n bigint"
+        run, "key bigint, content bigint, doc_id bigint, low bigint, size bigint"
     )
-    return rows.groupBy("key", *STRETCH).agg(F.sum("n").alias("n"))
+    return rows.groupBy("key", *STRETCH).agg(F.sum("size").alias("size"))
 
 
 def _cut(texts: DataFrame, plan: Plan, last: bool) -> DataFrame:
@@ -250,9 +250,9 @@ def suffix_groups(docs: DataFrame, copies: DataFrame, plan: Plan) -> DataFrame:
         found = stored(found, f"prefixes_{length}")
         shared = (
             found.groupBy("key")
-            .agg(F.sum("n").alias("runs"), (F.min("content") != F.max("content")).alias("shared"))
+            .agg(F.sum("size").alias("words"), (F.min("content") != F.max("content")).alias("shared"))
             .where("shared")
-            .select("key", (F.col("runs") > plan.group_limit).alias("large"))
+            .select("key", (F.col("words") > plan.group_limit).alias("large"))
         )
         own = found.select("key", *STRETCH).join(shared, "key")
         if not done:  # longer prefixes see first copies only
@@ -276,7 +276,7 @@ def repeated_word_spans(
     text: str = "text",
     width: int = 50,
     gram: int = 8,
-    group_limit: int = 20_000,
+    group_limit: int = 2_000_000,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``(documents, spans, copies)``: spans are ``doc_id, content, start, stop`` in words of first copies."""
     ship_package(docs.sparkSession)

@@ -80,7 +80,7 @@ def repeated_byte_spans(
     text: str = "text",
     width: int = 400,
     gram: int = 48,
-    group_limit: int = 10_000,
+    group_limit: int = 4_000_000,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``(documents, spans, copies)``: spans are ``doc_id, content, start, stop`` in bytes of first copies."""
     ship_package(docs.sparkSession)

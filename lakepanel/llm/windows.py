@@ -11,7 +11,7 @@ anchor travel as one *run*: its bytes once, not once per window.
 2. ``shared``: anchors that occur in one text only, and once there, end here.
 3. ``runs``: documents are joined with their shared anchors and cut into runs.
 4. The operator sorts the suffixes of each group and finds the repeated ones.
-   Groups of more than ``group_limit`` runs are cut further: their windows are
+   Groups whose runs could have more than ``group_limit`` units are cut further: their windows are
    keyed by whole-window hashes and aggregated before the shuffle, so that no
    group has to fit into one task.
 5. ``spans_by_document``: repeated spans meet their document's text again.
@@ -184,7 +184,10 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 
 def anchors(docs: DataFrame, plan: Plan) -> DataFrame:
-    """``key, content, doc_id, n`` per document and anchor; ``docs`` has doc_id, text, content."""
+    """``key, content, doc_id, n, size`` per document and anchor; ``docs`` has doc_id, text, content.
+
+    ``n``: different places of the anchor; ``size``: units of its runs, whole.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -204,11 +207,12 @@ def anchors(docs: DataFrame, plan: Plan) -> DataFrame:
                             part.column(2).take(rows),
                             part.column(0).take(rows),
                             pa.array(np.add.reduceat(found.anchors[order], begin), pa.int64()),
+                            pa.array(np.add.reduceat((found.high - found.low + plan.width)[order], begin), pa.int64()),
                         ],
-                        ["key", "content", "doc_id", "n"],
+                        ["key", "content", "doc_id", "n", "size"],
                     )
 
-    return docs.select("doc_id", "text", "content").mapInArrow(run, "key bigint, content bigint, doc_id bigint, n bigint")
+    return docs.select("doc_id", "text", "content").mapInArrow(run, "key bigint, content bigint, doc_id bigint, n bigint, size bigint")
 
 
 #: A row is known by its id and its content: ids may repeat.
@@ -248,9 +252,9 @@ def runs(docs: DataFrame, copies: DataFrame, plan: Plan, own_repeats: bool) -> D
     other = F.min("content") != F.max("content")
     shared = (
         found.groupBy("key")
-        .agg(F.count("*").alias("rows"), (other | (F.max("n") > 1) if own_repeats else other).alias("shared"))
+        .agg(F.sum("size").alias("units"), (other | (F.max("n") > 1) if own_repeats else other).alias("shared"))
         .where("shared")
-        .select("key", (F.col("rows") > plan.group_limit).alias("hot"))
+        .select("key", (F.col("units") > plan.group_limit).alias("hot"))
     )
     wanted = (
         found.select("key", *ROW)

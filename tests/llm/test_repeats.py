@@ -12,7 +12,7 @@ from lakepanel.llm.suffix_array import permuted_common_prefixes, suffix_array
 from lakepanel.llm.windows import BYTE_HASH, Plan, byte_units, find_runs, substring_hash, word_units
 
 
-@pytest.mark.parametrize("limit", [20_000, 8, 1])
+@pytest.mark.parametrize("limit", [2_000_000, 600, 1])
 def test_word_repeats(spark, limit):
     """All ways of splitting: whole groups, longer prefixes, and groups beyond the limit window by window."""
     rows = repeats_corpus()
@@ -22,7 +22,7 @@ def test_word_repeats(spark, limit):
     assert sum(r["n_removed"] for r in out) > 1000
 
 
-@pytest.mark.parametrize("limit", [10_000, 1])
+@pytest.mark.parametrize("limit", [8_000_000, 1])
 def test_byte_repeats(spark, limit):
     rows = repeats_corpus(seed=12)
     out = suffix_dedup.remove_repeats(documents(spark, rows), width=400, group_limit=limit).collect()
@@ -92,7 +92,7 @@ def test_suffix_array_and_common_prefixes():
             assert (common[a], before[a]) == (m, b)
 
 
-@pytest.mark.parametrize("limit", [20, 100_000])
+@pytest.mark.parametrize("limit", [2000, 8_000_000])
 def test_a_passage_many_times_in_each_of_a_few_texts(spark, limit):
     # Few rows per anchor, but many runs.
     rng = random.Random(17)
@@ -140,11 +140,13 @@ def test_groups_split_by_several_prefix_lengths(spark):
     rows += [(100 + k, " ".join(common[k : k + 80])) for k in range(12)]
     df = documents(spark, rows)
     base = windows.prepared(df, "doc_id", "text", null_ids=False)
-    for limit in (2, 5, 12, 25):
+    for limit in (100, 500, 1200, 2500):
         plan = Plan(word_units, 50, 8, limit)
         ship_package(spark)
         runs = substring_dedup.suffix_groups(base, windows.first_copies(base), plan).collect()
-        sizes = Counter(r["key"] for r in runs if not r["hot"])
-        assert max(sizes.values(), default=0) <= limit
+        sizes = Counter()
+        for r in runs:
+            sizes[r["key"]] += len(r["body"].split()) if not r["hot"] else 0
+        assert max(sizes.values()) <= limit
         out = substring_dedup.remove_repeats(df, width=50, group_limit=limit).collect()
         assert Counter((r["doc_id"], r["n_words"], r["n_removed"], r["kept_sha256"]) for r in out) == brute_words(rows, 50)
