@@ -20,6 +20,13 @@ def test_only_rows_of_repeated_keys_are_sorted(spark, tmp_dir):
     got = dedup.latest_per_key_of_stored(df, ["id"], ["-load"])
     assert got.columns == df.columns
     assert rows(got) == rows(dedup.latest_per_key(df, ["id"], ["-load"]))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # many repeated keys: the plain way
+    try:
+        many = dedup.latest_per_key_of_stored(df, ["id"], ["-load"])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Join" not in many._jdf.queryExecution().executedPlan().toString()
+    assert rows(many) == rows(got)
     unique = dedup.latest_per_key_of_stored(df.dropDuplicates(["id"]).dropna(subset=["id"]), ["id"], ["-load"])
     assert "BroadcastHashJoin" in unique._jdf.queryExecution().executedPlan().toString()
 
