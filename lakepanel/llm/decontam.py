@@ -138,21 +138,28 @@ def banded_alignment(item: np.ndarray, body: np.ndarray, low: int, width: int, b
     k = np.arange(width)
     column = low + k  # places in body at the item's first character
     big = budget + 1 + len(item)
+    # The places of all rows side by side: row i looks at [i, i + width).
+    places = low + np.arange(width + len(item))
+    shown = np.full(len(places), 0xFFFFFFFF, np.uint32)  # unlike any character
+    a, z = np.clip([-low, len(body) - low], 0, len(places)).tolist()
+    shown[a:z] = body[a + low : z + low]
+    outside = np.where((places >= 0) & (places < len(body)), 0, big - 1)
+    beyond = places >= len(body)
     cost = np.where((column >= 0) & (column <= len(body)), 0, big)
-    start = column.copy()
-    padded = np.concatenate([body, [np.uint32(0xFFFFFFFF)]])
-    for i, c in enumerate(item):
-        at = column + i
-        valid = (at >= 0) & (at < len(body))
-        step = cost + np.where(valid, padded[np.clip(at, 0, len(body))] != c, big)
-        drop = np.append(cost[1:], big) + 1
-        origin = np.where(drop < step, np.append(start[1:], 0), start)
-        best = np.minimum(step, drop)
-        flat = (best - k) * width * 4 + np.arange(width)  # running minimum that remembers its place
-        least = np.minimum.accumulate(flat)
-        source = least % (width * 4)
-        cost = np.where(valid | (at + 1 <= len(body)), best[source] + (k - source), big)
-        start = origin[source]
+    start, shifted, drop = column.copy(), np.zeros(width, np.int64), np.full(width, big + 1)
+    least, factor = np.minimum.accumulate, width * 4
+    for i, c in enumerate(item.tolist()):
+        step = cost + (shown[i : i + width] != c)
+        step += outside[i : i + width]
+        np.add(cost[1:], 1, out=drop[:-1])
+        shifted[:-1] = start[1:]
+        origin = np.where(drop < step, shifted, start)
+        # Running minimum that remembers its place.
+        flat = least((np.minimum(step, drop) - k) * factor + k)
+        start = origin[flat % factor]
+        cost = flat // factor + k
+        if i + width > z:
+            cost[beyond[i : i + width]] = big
         if cost.min() > budget:
             return i + 1
     end = column + len(item)
