@@ -33,6 +33,35 @@ def test_only_rows_of_repeated_keys_are_sorted(spark, tmp_dir):
     assert "BroadcastHashJoin" in unique._jdf.queryExecution().executedPlan().toString()
 
 
+def test_many_repeated_keys_are_told_apart_by_their_places(spark, tmp_dir, monkeypatch):
+    rng = random.Random(9)
+    keys = [None, *range(400), *range(300), *range(5)]
+    data = [(k, rng.randint(0, 1), rng.choice(["a", "b", None])) for k in keys]
+    spark.createDataFrame(data, "id long, load int, `odd name` string").repartition(3).write.parquet(f"{tmp_dir}/t")
+    # A file of more rows than a page of marks, all keys its own but the last.
+    far = spark.range(1000, 71_000).selectExpr("if(id = 70999, 399, id) AS id", "2 AS load", "'far' AS `odd name`")
+    far.coalesce(1).write.mode("append").parquet(f"{tmp_dir}/t")
+    df = spark.read.parquet(f"{tmp_dir}/t").selectExpr("id", "load", "upper(`odd name`) AS `odd name`")
+    plain, sorted_rows = dedup.latest_per_key, []
+
+    def watched(rows, *args):
+        sorted_rows.append(rows.count())
+        return plain(rows, *args)
+
+    monkeypatch.setattr(dedup, "latest_per_key", watched)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10")
+    try:
+        got = dedup.latest_per_key_of_stored(df, ["id"], ["-load"])
+        assert got.columns == df.columns
+        assert rows(got) == rows(plain(df, ["id"], ["-load"]))
+        assert sorted_rows == [607]  # 300 keys twice, five of them three times, and the key 399
+        # Rows of two tables have no place: all of them are sorted.
+        both = dedup.latest_per_key_of_stored(df.unionByName(df), ["id"], ["-load"])
+        assert rows(both) == rows(got) and sorted_rows[1:] == [70_705 * 2]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_first_merge_of_unique_rows_needs_no_shuffle_and_later_ones_one(spark, tmp_dir, monkeypatch):
     seen = []
     plain = KeyedTable.with_bucket
