@@ -22,15 +22,16 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import INGESTED_AT, LOAN_HARD_RULES, LOAN_SILVER_COLUMNS, LOAN_SOFT_RULES, SOURCE_FILE
-from ..functions.mergeable import Mart
+from ..functions.mergeable import Mart, partials_of_one_pass
 from ..operators.columns import keep_columns
 from ..operators.dedup import latest_per_key_of_stored
 from ..operators.quality import apply_hard_rules, observe_rules, passes_all, rejected_rows
 from ..operators.rule_log import read_rule_log, write_rule_log
+from ..session import PARTIAL_PIECES, conf, work_dir
 from ..sources.keyed_table import BUCKET, KeyedTable
 from ..sources.versions import hadoop_path
 from . import marts
@@ -53,6 +54,8 @@ class IncrementalLayer:
     hard_rules: Mapping[str, str] = field(default_factory=dict)
     soft_rules: Mapping[str, str] = field(default_factory=dict)
     buckets: int = 64
+    # Marts whose partials one pass over the rows yields, with its grain; each other mart takes one of its own.
+    passes: Sequence[tuple[Sequence[str], Sequence[Column] | None]] = ()
 
     @property
     def table(self) -> KeyedTable:
@@ -92,8 +95,19 @@ class IncrementalLayer:
     def _partials(self, rows: DataFrame, version: str) -> None:
         """Every mart's partial rows of the touched buckets, beside the version's data."""
         silver = apply_hard_rules(rows, self.hard_rules)
-        for name, mart in self.marts.items():
-            mart.partial(silver, BUCKET).write.partitionBy(BUCKET).parquet(f"{self.root}/table/{name}/{version}")
+        shared = {name for names, _ in self.passes for name in names}
+        with conf(self.spark, PARTIAL_PIECES):
+            partials = {name: mart.partial(silver, BUCKET) for name, mart in self.marts.items() if name not in shared}
+            for names, grain in self.passes:
+                marts_of_pass = {name: self.marts[name] for name in names}
+                partials.update(partials_of_one_pass(marts_of_pass, silver, [BUCKET], grain, self._stored))
+            for name, partial in partials.items():
+                partial.write.partitionBy(BUCKET).parquet(f"{self.root}/table/{name}/{version}")
+
+    def _stored(self, rows: DataFrame) -> DataFrame:
+        path = work_dir(self.spark, "common_partials")
+        rows.write.parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
 
     # ------------------------------------------------------------- reading
     def candidates(self) -> DataFrame:
@@ -147,7 +161,7 @@ class IncrementalLayer:
 def incremental_loans(spark: SparkSession, root: str, buckets: int = 64) -> IncrementalLayer:
     return IncrementalLayer(
         spark, root, "loan_id", lambda bronze: keep_columns(typed_loans(bronze), LOAN_SILVER_COLUMNS), marts.loan_marts(),
-        hard_rules=dict(LOAN_HARD_RULES), soft_rules=dict(LOAN_SOFT_RULES), buckets=buckets,
+        hard_rules=dict(LOAN_HARD_RULES), soft_rules=dict(LOAN_SOFT_RULES), buckets=buckets, passes=marts.loan_passes(),
     )
 
 
