@@ -69,7 +69,7 @@ class IncrementalLayer:
         missing = F.count_if(F.col(f"`{self.key}`").isNull())
         # Counted from the key column: the rows themselves are read for two branches.
         rows, null_keys = typed.agg(F.count(F.lit(1)), missing).first()
-        candidates = latest_per_key_of_stored(typed, [self.key], self.order_by)
+        candidates = latest_per_key_of_stored(typed, [self.key], self.order_by, bronze, self.typed)
         candidates, rules = observe_rules(candidates, {**self.hard_rules, **self.soft_rules}, f"rules_{batch}")
         candidates = candidates.observe(kept, F.count_if(passes_all(self.hard_rules)).alias("passed"))
         staged = f"{self.root}/batches/batch={batch}"

@@ -120,3 +120,21 @@ def test_the_three_loads_come_from_one_rendering_and_no_stored_copy_of_the_view(
     for k, load in enumerate(loads, start=1):
         assert load.columns == [*raw.columns, "_ingested_at", "_source_file"]
         assert [tuple(r) for r in load.select("_source_file", F.col("_ingested_at").cast("string")).distinct().collect()] == [(f"load_{k}", f"2024-01-0{k} 00:00:00")]
+
+
+def test_rows_of_many_repeated_keys_are_told_apart_before_they_are_typed(spark, tmp_dir):
+    spark.createDataFrame([(str(i % 50), i) for i in range(80)], "id string, x int").write.parquet(f"{tmp_dir}/t")
+
+    def typed(source):
+        return source.selectExpr("try_cast(id as bigint) AS id", "sha2(string(x), 256) AS typed")
+
+    source = spark.read.parquet(f"{tmp_dir}/t")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10")
+    try:
+        got = dedup.latest_per_key_of_stored(typed(source), ["id"], ["typed"], source, typed)
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert rows(got) == rows(dedup.latest_per_key(typed(source), ["id"], ["typed"]))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    branches = plan.split("sha2(")[1:]
+    assert len(branches) == 2 and "LeftAnti" in branches[0] and "LeftSemi" in branches[1]
