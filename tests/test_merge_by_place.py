@@ -55,6 +55,28 @@ def test_only_buckets_with_a_surviving_row_of_the_batch_are_rewritten(spark, tmp
     assert table.read().where("load = 5").count() == 100 and table.read().where("load = 1").count() == 1
 
 
+def test_digests_are_read_only_where_order_columns_may_tie(spark, tmp_dir, monkeypatch):
+    told = {}
+    plain = dedup._ranges_meet
+    monkeypatch.setattr(dedup, "_ranges_meet", lambda *args: told.setdefault(len(told), plain(*args)))
+    table = KeyedTable(spark, f"{tmp_dir}/t", ["id"], ["-load"], buckets=2)
+    loads = [0, 1, None, None, 1]
+    batches = [spark.createDataFrame([(i, load, f"{k} {i}") for i in range(20)], "id long, load int, x string") for k, load in enumerate(loads)]
+    whole = batches[0]
+    for k, batch in enumerate(batches):
+        batch.write.parquet(f"{tmp_dir}/{k}")
+        table.merge(spark.read.parquet(f"{tmp_dir}/{k}"), unique=True)
+        whole = whole.unionByName(batch) if k else batch
+        assert rows(table.read()) == rows(dedup.latest_per_key(whole, ["id"], ["-load"])), k
+    assert told == {0: False, 1: False, 2: False, 3: True}  # nulls come last and never survive here
+    nulls = [spark.createDataFrame([(1, None, x)], "id long, load int, x string") for x in "ba"]
+    for k, df in enumerate(nulls):
+        df.write.parquet(f"{tmp_dir}/n{k}")
+    marks = dedup.lost_places(*[spark.read.parquet(f"{tmp_dir}/n{k}") for k in range(2)], ["id"], ["-load"])
+    assert told[4] and rows(dedup.without_places(spark.read.parquet(f"{tmp_dir}/n0"), marks)) == []
+    assert len(rows(dedup.without_places(spark.read.parquet(f"{tmp_dir}/n1"), marks))) == 1  # the smaller x stays
+
+
 def test_marts_of_one_pass_equal_each_marts_own_partials(spark):
     rng = random.Random(8)
     pick = rng.choice
